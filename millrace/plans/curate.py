@@ -53,17 +53,25 @@ def first_received(readings: DataFrame) -> DataFrame:
     return readings.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") == 1).drop("rn")
 
 
-def sensor_readings(raw: DataFrame) -> DataFrame:
-    keyed = type_sensor(raw).filter(
+def keyed_readings(raw: DataFrame) -> DataFrame:
+    """Typed readings that have an id, a device and a time."""
+    return type_sensor(raw).filter(
         F.col("reading_id").isNotNull() & F.col("device_id").isNotNull() & F.col("ts").isNotNull()
     )
+
+
+def scored_readings(readings: DataFrame) -> DataFrame:
     ts = wall_clock("ts")
-    return first_received(keyed).select(
+    return readings.select(
         "reading_id", "device_id", "location", ts.alias("timestamp_ts"), "temperature", "humidity",
         "status", "is_duplicate", quality_score().alias("data_quality_score"), day(ts).alias("dt"), "zone",
     )
 
 
+def sensor_readings(raw: DataFrame) -> DataFrame:
+    return scored_readings(first_received(keyed_readings(raw)))
+
+
 def social_posts(raw: DataFrame) -> DataFrame:
     posts = type_social(raw).filter(
         F.col("tweet_id").isNotNull() & F.col("username").isNotNull() & F.col("ts").isNotNull()

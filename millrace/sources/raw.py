@@ -40,9 +40,16 @@ def scan_clf(spark: SparkSession, path: str) -> DataFrame:
     return parse_log_lines(spark.read.text(path))
 
 
-def _scan_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool, escape: str) -> DataFrame:
-    return (
-        spark.read.schema(schema)
+def csv_text(reader, path: str, schema: T.StructType, header: bool = True, escape: str = "\\") -> DataFrame:
+    """CSV columns as text, bound by position, through a batch or stream reader.
+
+    A blank field is an empty text. Fields a short row lacks are NULL, so the
+    key checks of the curate plans drop it.
+    """
+    broken = "_broken"
+    read = (
+        reader.schema(T.StructType([*schema.fields, T.StructField(broken, T.StringType())]))
+        .option("columnNameOfCorruptRecord", broken)
         .option("header", header)
         .option("enforceSchema", True)
         .option("sep", ",")
@@ -52,21 +59,23 @@ def _scan_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
         .option("multiLine", False)
         .csv(path)
     )
+    blank = F.col(broken).isNull()
+    return read.select(*[F.when(blank & F.col(c).isNull(), F.lit("")).otherwise(F.col(c)).alias(c) for c in schema.names])
 
 
 def scan_sensor_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """Sensor readings as text columns, bound by position."""
-    return _scan_csv(spark, path, schemas.RAW_SENSOR, header, "\\")
+    """Sensor readings."""
+    return csv_text(spark.read, path, schemas.RAW_SENSOR, header)
 
 
 def scan_social_csv(spark: SparkSession, path: str, header: bool = True, escape: str = "\\") -> DataFrame:
     """Social posts. Pass ``escape='"'`` for files whose writer doubles quotes."""
-    return _scan_csv(spark, path, schemas.RAW_SOCIAL, header, escape)
+    return csv_text(spark.read, path, schemas.RAW_SOCIAL, header, escape)
 
 
 def scan_device_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """Device registry."""
-    return _scan_csv(spark, path, schemas.RAW_DEVICE, header, "\\")
+    return csv_text(spark.read, path, schemas.RAW_DEVICE, header)
 
 
 def type_sensor(raw: DataFrame) -> DataFrame:
