@@ -42,7 +42,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     catalog.create_databases(spark, root)
-    catalog.create_processed_tables(spark)
+    catalog.create_processed_tables(spark, bucketed=False)
     seconds: dict[str, float] = {}
 
     def timed(name: str, work) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from ..functions.measures import rows
 from ..session import TARGET_FILE_BYTES
-from ..sources.catalog import LAYOUTS, PROCESSED_DB
+from ..sources.catalog import LAYOUTS, PROCESSED_DB, is_bucketed
 from ..sources.sinks import staged
 
 SMALL_FILE_BYTES = 16 * 1024 * 1024
@@ -47,7 +47,7 @@ def compact_partition(
     if files <= wanted or size / files >= small_bytes:
         return False
     copy = staged(spark.table(table).filter(_matches(spec)))
-    if layout.bucket_column:
+    if is_bucketed(spark, table):
         bucket = F.pmod(F.hash(layout.bucket_column), F.lit(layout.buckets))
         spread = copy.repartition(max(wanted, layout.buckets), bucket)
     else:

@@ -89,7 +89,10 @@ def create_raw_tables(spark: SparkSession, root: str, database: str = RAW_DB) ->
         )
 
 
-def create_processed_table(spark: SparkSession, name: str, database: str = PROCESSED_DB) -> None:
+def create_processed_table(
+    spark: SparkSession, name: str, database: str = PROCESSED_DB, bucketed: bool = True
+) -> None:
+    """``bucketed=False`` suits tables of a few gigabytes, which buckets would cut into tiny files."""
     layout = LAYOUTS[name]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.PROCESSED[name])
     options = {"orc.compress": layout.compress, **layout.orc}
@@ -102,15 +105,19 @@ def create_processed_table(spark: SparkSession, name: str, database: str = PROCE
     ddl = f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING orc OPTIONS ({listed})"
     if layout.partitions:
         ddl += f" PARTITIONED BY ({', '.join(layout.partitions)})"
-    if layout.bucket_column:
+    if layout.bucket_column and bucketed:
         ddl += (f" CLUSTERED BY ({layout.bucket_column}) SORTED BY ({layout.bucket_column})"
                 f" INTO {layout.buckets} BUCKETS")
     spark.sql(ddl)
 
 
-def create_processed_tables(spark: SparkSession, database: str = PROCESSED_DB) -> None:
+def create_processed_tables(spark: SparkSession, database: str = PROCESSED_DB, bucketed: bool = True) -> None:
     for name in LAYOUTS:
-        create_processed_table(spark, name, database)
+        create_processed_table(spark, name, database, bucketed)
+
+
+def is_bucketed(spark: SparkSession, table: str) -> bool:
+    return any(c.isBucket for c in spark.catalog.listColumns(table))
 
 
 def describe_database(spark: SparkSession, name: str) -> DataFrame:

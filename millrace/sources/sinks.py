@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from .. import schemas
 from ..functions.measures import rows
 from ..session import shared_folder
-from .catalog import LAYOUTS, PROCESSED_DB, Layout
+from .catalog import LAYOUTS, PROCESSED_DB, Layout, is_bucketed
 
 MAX_PARALLEL_WRITES = 8
 
 
-def _gathered(df: DataFrame, layout: Layout) -> DataFrame:
+def _gathered(df: DataFrame, layout: Layout, bucketed: bool) -> DataFrame:
     """Bring the rows of one partition and bucket together before writing.
 
     ``rebalance`` joins small pieces to files of the advisory size and splits
@@ -24,7 +24,7 @@ def _gathered(df: DataFrame, layout: Layout) -> DataFrame:
     """
     if not layout.partitions:
         return df.hint("rebalance")
-    if not layout.bucket_column:
+    if not bucketed:
         return df.hint("rebalance", *layout.partitions)
     bucket = F.pmod(F.hash(layout.bucket_column), F.lit(layout.buckets))
     return df.withColumn("_bucket", bucket).hint("rebalance", *layout.partitions, "_bucket").drop("_bucket")
@@ -42,8 +42,9 @@ def overwrite_table(df: DataFrame, name: str, database: str = PROCESSED_DB, max_
         found = df.select(*layout.partitions).distinct().limit(max_partitions + 1).count()
         if found > max_partitions:
             raise ValueError(f"{name}: more than {max_partitions} partitions")
-    columns = schemas.PROCESSED[name].names
-    _gathered(df.select(*columns), layout).write.insertInto(f"{database}.{name}", overwrite=True)
+    table, columns = f"{database}.{name}", schemas.PROCESSED[name].names
+    bucketed = is_bucketed(df.sparkSession, table)
+    _gathered(df.select(*columns), layout, bucketed).write.insertInto(table, overwrite=True)
 
 
 def overwrite_path(df: DataFrame, path: str, partitions: Sequence[str] = (), **options: str) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.plans import curate, daily_load, rollups, upkeep
+from millrace.session import bucketed_scans
 from millrace.sources import adapters, catalog, raw, sinks
 from millrace.tables import catalog_tables
 
@@ -118,8 +119,9 @@ def test_bucketed_join_needs_no_shuffle(spark, tmp_path):
     catalog.create_database(spark, name, str(tmp_path / "b"), "test", {"layer": "test"})
     for t, make in (("facts", adapters.raw_sensor_readings), ("dims", adapters.raw_device_metadata)):
         make(spark, SMALL).write.bucketBy(8, "device_id").sortBy("device_id").saveAsTable(f"{name}.{t}")
-    joined = spark.table(f"{name}.facts").join(spark.table(f"{name}.dims").hint("merge"), "device_id")
-    plan = plan_of(joined)
+    with bucketed_scans(spark):
+        joined = spark.table(f"{name}.facts").join(spark.table(f"{name}.dims").hint("merge"), "device_id")
+        plan = plan_of(joined)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     spark.sql(f"DROP DATABASE {name} CASCADE")
 
@@ -160,6 +162,21 @@ def test_dimension_is_replaced(spark, database, small_tables):
     assert spark.table(f"{database}.device_metadata").count() == 3
 
 
+def test_scans_do_not_follow_the_bucket_count(spark, loaded):
+    plan = plan_of(spark.table("processed_db.sensor_readings").groupBy("device_id").count())
+    assert "Bucketed: false" in plan and "Exchange" in plan
+
+
+def test_unbucketed_tables_hold_the_same_rows(spark, tmp_path, small_tables):
+    name = f"db{next(_names)}"
+    catalog.create_database(spark, name, str(tmp_path / "u"), "test", {"layer": "test"})
+    catalog.create_processed_table(spark, "web_traffic", name, bucketed=False)
+    sinks.overwrite_table(small_tables.web_traffic, "web_traffic", name)
+    assert same_rows(spark.table(f"{name}.web_traffic"), small_tables.web_traffic)
+    assert len(list((tmp_path / "u").glob("**/*.orc"))) == small_tables.web_traffic.select("dt").distinct().count()
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 def test_partition_guard(database, small_tables):
     with pytest.raises(ValueError):
         sinks.overwrite_table(small_tables.web_traffic, "web_traffic", database, max_partitions=2)
