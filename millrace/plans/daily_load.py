@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import size_shuffles
 from ..sources import catalog, raw
 from ..sources.sinks import csv_export, in_parallel, overwrite_table
 from ..tables import Tables, catalog_tables
@@ -63,8 +64,13 @@ def export_reports(tables: Tables, output_root: str) -> dict[str, int]:
     }
 
 
-def run(spark: SparkSession, root: str) -> dict[str, int]:
-    """Databases, tables, load, statistics and reports under one root folder."""
+def run(spark: SparkSession, root: str, input_bytes: int | None = None) -> dict[str, int]:
+    """Databases, tables, load, statistics and reports under one root folder.
+
+    ``input_bytes`` is the size of the landing zone; it sets the width of the shuffles.
+    """
+    if input_bytes is not None:
+        size_shuffles(spark, input_bytes)
     catalog.create_databases(spark, root)
     catalog.create_raw_tables(spark, root)
     catalog.create_processed_tables(spark)

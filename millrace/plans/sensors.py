@@ -28,7 +28,7 @@ def anomaly_types(t: Tables) -> DataFrame:
             half_up(F.min("temperature"), 2).alias("min_temp_observed"),
             half_up(F.max("temperature"), 2).alias("max_temp_observed"),
         )
-        .orderBy(F.desc("occurrence_count"), "device_id")
+        .orderBy(F.desc("occurrence_count"), "device_id", "zone", "anomaly_type")
     )
 
 
@@ -43,7 +43,7 @@ def anomaly_rate(t: Tables) -> DataFrame:
             half_up(percent(count_where(bad), rows()), 2).alias("anomaly_rate_pct"),
             half_up(mean("data_quality_score"), 3).alias("avg_quality_score"),
         )
-        .orderBy(F.desc("anomaly_rate_pct"))
+        .orderBy(F.desc("anomaly_rate_pct"), "device_id", "zone")
     )
 
 
@@ -121,7 +121,7 @@ def device_health(t: Tables) -> DataFrame:
             F.coalesce("humidity_breaches", zero).alias("humidity_breach_count"),
             half_up(percent(F.coalesce("ok", zero), F.coalesce("n", zero)), 2).alias("health_pct"),
         )
-        .orderBy("sla_tier", "health_pct")
+        .orderBy("sla_tier", "health_pct", "device_id")
     )
 
 
@@ -200,7 +200,7 @@ def anomalies_with_device(t: Tables) -> DataFrame:
             F.col("timestamp_ts").alias("timestamp"), "temperature", "humidity", "status",
             first_match(range_reasons(), V.OTHER_ANOMALY).alias("anomaly_type"),
         )
-        .orderBy(F.desc("timestamp"))
+        .orderBy(F.desc("timestamp"), "reading_id")
     )
 
 

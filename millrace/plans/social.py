@@ -88,7 +88,7 @@ def hashtag_trends(t: Tables) -> DataFrame:
     return ranked.select(
         "trend_date", "hashtag", "mention_count", "total_likes", "total_retweets", "avg_engagement_pct",
         "daily_rank", "overall_rank", "rolling_7d_mentions",
-    ).orderBy("trend_date", F.desc("mention_count"))
+    ).orderBy("trend_date", F.desc("mention_count"), "hashtag")
 
 
 def user_engagement(t: Tables) -> DataFrame:

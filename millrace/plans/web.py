@@ -1,4 +1,9 @@
-"""Web traffic analytics."""
+"""Web traffic analytics.
+
+Results sort by their unique columns last, here and in the other plans: the
+order is then the same in every run, and a sort can split equal values over
+tasks.
+"""
 
 from __future__ import annotations
 
@@ -94,7 +99,7 @@ def hourly_paths(t: Tables) -> DataFrame:
             status_class(F.col("http_status"), V.STATUS_CLASSES_BI).alias("status_class"),
             "http_method", "url_path", "request_count", "unique_visitors", "total_bytes_mb", "avg_response_kb",
         )
-        .orderBy("date", "hour_of_day", F.desc("request_count"))
+        .orderBy("date", "hour_of_day", F.desc("request_count"), "url_path", "http_method", "status_class")
     )
 
 
@@ -108,5 +113,5 @@ def hourly_path_status(t: Tables) -> DataFrame:
             F.countDistinct("client_ip").alias("unique_visitors"),
             half_up(mean("response_bytes"), 2).alias("avg_response_bytes"),
         )
-        .orderBy("request_hour", F.desc("total_requests"))
+        .orderBy("request_hour", F.desc("total_requests"), "url_path", "http_status")
     )

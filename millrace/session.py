@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 MAP_JOIN_LIMIT = 25_000_000
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -23,6 +24,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_FILE_BYTES),
+    "spark.sql.files.maxPartitionBytes": str(TARGET_FILE_BYTES),
     "spark.sql.cbo.enabled": "true",
     "spark.sql.cbo.joinReorder.enabled": "true",
     "spark.sql.statistics.size.autoUpdate.enabled": "true",
@@ -51,6 +53,19 @@ def build_session(app_name: str = "millrace", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with about one partition per 256 MB of input.
+
+    The default of 200 would put half a terabyte of a 100 TB load into each.
+    The runtime joins partitions that turn out small, so too many cost little;
+    the upper limit keeps the number of shuffle blocks in bounds.
+    """
+    wanted = -(-input_bytes // TARGET_FILE_BYTES)
+    number = max(spark.sparkContext.defaultParallelism, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    spark.conf.set("spark.sql.shuffle.partitions", str(number))
+    return number
+
+
 @contextmanager
 def bucketed_scans(spark: SparkSession) -> Iterator[None]:
     """Plan queries inside by buckets, to join two large tables bucketed alike without a shuffle."""

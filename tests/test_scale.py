@@ -2,7 +2,7 @@
 
 from millrace.plans import relational, sensors, social, web
 from millrace.registry import QUERIES
-from millrace.session import shared_folder
+from millrace.session import MAX_SHUFFLE_PARTITIONS, shared_folder, size_shuffles
 
 from conftest import SMALL, plan_of
 
@@ -38,3 +38,13 @@ def test_scans_read_only_the_needed_columns(spark):
 
 def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_shuffles_grow_with_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
+        assert size_shuffles(spark, 10 * 2**40) == 40960
+        assert size_shuffles(spark, 100 * 2**40) == MAX_SHUFFLE_PARTITIONS
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
