@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.measures import rows
+from ..session import shared_folder
 
 
 def rank_by_measure(
     df: DataFrame, measure: str, within: Sequence[str] = (), rank: str = "rank",
     dense_rank: str | None = None, percent_rank: str | None = None, top: int | None = None,
+    of: DataFrame | None = None,
 ) -> DataFrame:
     """Add the rank of each row by ``measure`` descending, within ``within``.
 
@@ -20,11 +23,13 @@ def rank_by_measure(
     is what passes through the window. For positive whole-number measures that
     add up to M it has at most sqrt(2 M) values per group: 1.4 million for a
     trillion mentions, however many rows there are. The rows themselves are
-    never brought together. ``top`` keeps the rows of rank <= top, with all ties.
+    never brought together: they meet the ranks by broadcast, or, within groups,
+    in a join whose large parts Spark splits. ``top`` keeps the rows of rank <= top, with all ties.
+    ``of`` names a plainer frame with the same ranked rows, to count them without the steps ``df`` took since.
     """
     # Histogram columns carry names of their own, as both join sides come from df.
     group = {f"_g{i}": c for i, c in enumerate(within)}
-    hist = df.groupBy(*[F.col(c).alias(n) for n, c in group.items()], F.col(measure).alias("_value")).agg(
+    hist = (df if of is None else of).groupBy(*[F.col(c).alias(n) for n, c in group.items()], F.col(measure).alias("_value")).agg(
         rows().alias("_ties")
     )
     order = Window.partitionBy(*group).orderBy(F.desc("_value"))
@@ -40,31 +45,44 @@ def rank_by_measure(
     same = F.col(measure).eqNullSafe(F.col("_value"))
     for n, c in group.items():
         same = same & F.col(c).eqNullSafe(F.col(n))
+    if not within:
+        ranks = F.broadcast(ranks)  # bounded by sqrt(2 M) rows, see above
     joined = df.join(ranks, same).drop(*group, "_value")
-    out = {rank: F.col("_rank").cast("int")}
+    out = {rank: F.col("_rank")}
     if dense_rank:
-        out[dense_rank] = F.col("_dense").cast("int")
+        out[dense_rank] = F.col("_dense").cast("bigint")
     if percent_rank:
         spread = F.col("_of") - 1
         out[percent_rank] = F.when(spread > 0, (F.col("_rank") - 1) / spread).otherwise(F.lit(0.0))
     return joined.withColumns(out).drop(*values)
 
 
-def number_ties(df: DataFrame, rank: str, key: str, name: str, leading: int = 4) -> DataFrame:
-    """Row number that follows ``rank`` and orders equal ranks by ``key``.
+def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Row number over all rows, of any number, in an order without ties.
 
-    Ties are numbered per leading characters of the key and then shifted by
-    the count of the keys before, so a long run of ties spreads over tasks.
+    A window without partition would bring all rows into one task. Here Spark
+    sorts them over many, and each writes its stretch to the shared folder. A
+    row's number is its place in its file plus the rows of the files before;
+    only the row counts of the files pass through a window. The files also fix
+    the numbers: a task run again reads the same place.
     """
-    head = F.substring(key, 1, leading)
-    marked = df.withColumn("_head", head)
-    sizes = marked.groupBy(rank, "_head").agg(rows().alias("_n"))
-    earlier = Window.partitionBy(rank).orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(rank, "_head", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
-    local = F.row_number().over(Window.partitionBy(rank, "_head").orderBy(key))
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/numbered-{uuid.uuid4().hex}"
+    df.orderBy(*order).write.parquet(folder)
+    stretch = F.struct(*[
+        F.regexp_extract("_metadata.file_name", pattern, 1).try_cast("int").alias(part)
+        for part, pattern in (("task", r"^part-(\d+)-"), ("piece", r"[.-]c(\d+)\."))
+    ])
+    stored = spark.read.schema(df.schema).parquet(folder).select(
+        "*", stretch.alias("_stretch"), F.col("_metadata.row_index").alias("_at")
+    )
+    earlier = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    before = stored.groupBy(F.col("_stretch").alias("_s")).agg(rows().alias("_n")).select(
+        "_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    # Broadcast: one row per file.
     return (
-        marked.withColumn("_local", local)
-        .join(shifts, [rank, "_head"])
-        .withColumn(name, (F.col(rank) - 1 + F.col("_shift") + F.col("_local")).cast("int"))
-        .drop("_head", "_local", "_shift")
+        stored.join(F.broadcast(before), F.col("_stretch") == F.col("_s"))
+        .withColumn(name, F.col("_before") + F.col("_at") + 1)
+        .select(*df.columns, name)
     )

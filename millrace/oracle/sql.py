@@ -118,8 +118,8 @@ FROM (SELECT hashtag, dt, mention_count, lag(mention_count, 1, 0) OVER (PARTITIO
       FROM trending_hashtags_daily WHERE hashtag IN {TOP_FIVE})""")
 
 RANKED = f"""(SELECT hashtag, total_mentions,
-    CAST(rank() OVER down AS INTEGER) AS mention_rank, CAST(dense_rank() OVER down AS INTEGER) AS dense_rank,
-    CAST(row_number() OVER (ORDER BY total_mentions DESC, hashtag) AS INTEGER) AS row_num,
+    rank() OVER down AS mention_rank, dense_rank() OVER down AS dense_rank,
+    row_number() OVER (ORDER BY total_mentions DESC, hashtag) AS row_num,
     {rnd("percent_rank() OVER down", 4)} AS percentile
   FROM {TAG_TOTALS} WINDOW down AS (ORDER BY total_mentions DESC))"""
 
@@ -236,8 +236,8 @@ FROM device_metadata d JOIN (
 
 SQL["d3_hashtag_trends"] = ((TAGS,), f"""
 SELECT dt AS trend_date, hashtag, mention_count, total_likes, total_retweets, {rnd("avg_engagement_rate * 100", 4)} AS avg_engagement_pct,
-       CAST(rank() OVER (PARTITION BY dt ORDER BY mention_count DESC) AS INTEGER) AS daily_rank,
-       CAST(rank() OVER (ORDER BY tag_total DESC) AS INTEGER) AS overall_rank,
+       rank() OVER (PARTITION BY dt ORDER BY mention_count DESC) AS daily_rank,
+       rank() OVER (ORDER BY tag_total DESC) AS overall_rank,
        {big("sum(mention_count) OVER (PARTITION BY hashtag ORDER BY dt ROWS 6 PRECEDING)")} AS rolling_7d_mentions
 FROM (SELECT *, sum(mention_count) OVER (PARTITION BY hashtag) AS tag_total FROM trending_hashtags_daily)""")
 
@@ -378,7 +378,7 @@ SQL["f_partition_range"] = ((SENSORS,), """
 SELECT dt, count(*) AS readings FROM sensor_readings WHERE dt >= '2024-01-15' AND dt <= '2024-01-20' GROUP BY dt""")
 SQL["f_having"] = ((WEB,), "SELECT url_path, count(*) AS requests FROM web_traffic GROUP BY url_path HAVING count(*) >= 10")
 DAY_RANK = """SELECT dt, hashtag, mention_count,
-       CAST(rank() OVER (PARTITION BY dt ORDER BY mention_count DESC) AS INTEGER) AS daily_rank FROM trending_hashtags_daily"""
+       rank() OVER (PARTITION BY dt ORDER BY mention_count DESC) AS daily_rank FROM trending_hashtags_daily"""
 SQL["f_rank_filter"] = ((TAGS,), f"SELECT * FROM ({DAY_RANK}) WHERE daily_rank = 1")
 SQL["case_searched"] = ((SENSORS,), """
 SELECT CASE WHEN data_quality_score >= 1 THEN 'good' WHEN data_quality_score > 0 THEN 'usable' ELSE 'invalid' END AS quality,
@@ -451,7 +451,7 @@ SQL["w_rank_partitioned"] = ((TAGS,), DAY_RANK)
 SQL["w_sum_partition"] = ((TAGS,), f"""
 SELECT dt, hashtag, {big("sum(mention_count) OVER (PARTITION BY hashtag)")} AS hashtag_total FROM trending_hashtags_daily""")
 SQL["w_nested"] = ((TAGS,), f"""
-SELECT *, CAST(rank() OVER (ORDER BY hashtag_total DESC) AS INTEGER) AS overall_rank
+SELECT *, rank() OVER (ORDER BY hashtag_total DESC) AS overall_rank
 FROM (SELECT dt, hashtag, {big("sum(mention_count) OVER (PARTITION BY hashtag)")} AS hashtag_total FROM trending_hashtags_daily)""")
 SQL["w_rolling_rows"] = ((TAGS,), f"""
 SELECT dt, hashtag, {big("sum(mention_count) OVER (PARTITION BY hashtag ORDER BY dt ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)")}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import fixed_values as V
-from ..functions.labels import first_match, no_reading, out_of_range, status_class
+from ..functions.labels import first_match, no_reading, status_class
 from ..functions.measures import count_where, half_up, mean, percent, rows
 from ..operators.toplists import top
 from ..tables import Tables

@@ -8,7 +8,7 @@ from ..functions import fixed_values as V
 from ..functions.labels import day_name, first_match, humidity_breach, no_reading, out_of_range, quality_score, temp_breach
 from ..functions.measures import count_where, half_up, mean, percent, rows
 from ..functions.texts import hashtag_tokens, log_time
-from ..operators.ranking import number_ties, rank_by_measure
+from ..operators.ranking import number_rows, rank_by_measure
 from ..operators.sampling import bucket_sample
 from ..operators.skew import salted_groupby, skew_join
 from ..operators.toplists import keep_top_keys, top
@@ -280,8 +280,7 @@ def dense_rank_all(t: Tables) -> DataFrame:
 
 
 def row_number_all(t: Tables) -> DataFrame:
-    ranked = rank_by_measure(hashtag_totals(t), "total_mentions", rank="mention_rank")
-    return number_ties(ranked, "mention_rank", "hashtag", "row_num").select("hashtag", "total_mentions", "row_num")
+    return number_rows(hashtag_totals(t), [F.desc("total_mentions"), F.col("hashtag")], "row_num")
 
 
 def percent_rank_all(t: Tables) -> DataFrame:

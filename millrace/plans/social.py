@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.measures import half_up, mean, rows
-from ..operators.ranking import number_ties, rank_by_measure
+from ..operators.ranking import number_rows, rank_by_measure
 from ..operators.toplists import keep_top_keys, top
 from ..tables import Tables
 
@@ -62,7 +62,7 @@ def rank_comparison(t: Tables, k: int = 10) -> DataFrame:
         percent_rank="percentile", top=k,
     )
     return (
-        number_ties(ranked, "mention_rank", "hashtag", "row_num")
+        number_rows(ranked, [F.desc("total_mentions"), F.col("hashtag")], "row_num")
         .select("hashtag", "total_mentions", "mention_rank", "dense_rank", "row_num",
                 half_up(F.col("percentile"), 4).alias("percentile"))
         .orderBy("row_num")
@@ -84,7 +84,7 @@ def hashtag_trends(t: Tables) -> DataFrame:
         F.sum("mention_count").over(Window.partitionBy("hashtag")).alias("_total"),
     )
     ranked = rank_by_measure(daily, "mention_count", within=["trend_date"], rank="daily_rank")
-    ranked = rank_by_measure(ranked, "_total", rank="overall_rank")
+    ranked = rank_by_measure(ranked, "_total", rank="overall_rank", of=daily)
     return ranked.select(
         "trend_date", "hashtag", "mention_count", "total_likes", "total_retweets", "avg_engagement_pct",
         "daily_rank", "overall_rank", "rolling_7d_mentions",

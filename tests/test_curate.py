@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.labels import anomaly_reason, rolled_up, status_class, threshold_alert
+from millrace.functions.labels import anomaly_reason, status_class, threshold_alert
 from millrace.functions.measures import half_up, mean
 from millrace.plans import curate, dashboards, rollups, sensors, social, web
 from millrace.tables import Tables

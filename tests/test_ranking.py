@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from millrace.operators.profiling import column_cardinality, column_profile
-from millrace.operators.ranking import number_ties, rank_by_measure
+from millrace.operators.ranking import number_rows, rank_by_measure
 from millrace.operators.sampling import bucket_sample
 from millrace.operators.skew import hot_keys, salted_groupby, skew_join
 from millrace.operators.toplists import keep_top_keys
@@ -27,12 +27,25 @@ def test_ranks_equal_window_functions(spark, rows):
 
 @few
 @given(st.lists(st.integers(1, 3), min_size=1, max_size=20))
-def test_row_numbers_are_a_permutation_in_order(spark, values):
+def test_row_numbers_follow_the_order(spark, values):
     df = spark.createDataFrame([(f"#k{i:03}", v) for i, v in enumerate(values)], "k string, v bigint")
-    out = number_ties(rank_by_measure(df, "v"), "rank", "k", "n", leading=4).collect()
+    out = number_rows(df, [F.desc("v"), F.col("k")], "n").collect()
     want = sorted(((f"#k{i:03}", v) for i, v in enumerate(values)), key=lambda kv: (-kv[1], kv[0]))
-    assert [(r.k, r.v) for r in sorted(out, key=lambda r: r.n)] == want
-    assert sorted(r.n for r in out) == list(range(1, len(values) + 1))
+    assert [(r.k, r.v, r.n) for r in sorted(out, key=lambda r: r.n)] == [(k, v, i + 1) for i, (k, v) in enumerate(want)]
+
+
+def test_row_numbers_over_many_files(spark):
+    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5003).alias("v"))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "300")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = number_rows(df, [F.col("v")], "n")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(out.inputFiles()) > 8
+    plain = df.select("v", F.row_number().over(Window.orderBy("v")).cast("bigint").alias("n"))
+    assert out.exceptAll(plain).isEmpty() and out.count() == 5000
 
 
 @pytest.fixture(scope="module")

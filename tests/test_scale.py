@@ -20,6 +20,18 @@ def test_ranks_do_not_gather_the_rows(small_tables):
     assert "_ties" in single.rsplit("Input [", 1)[1]
 
 
+def test_estimates_are_near_the_exact_counts(small_tables):
+    exact = {r.dt: r.unique_ips for r in relational.count_distinct(small_tables).collect()}
+    near = {r.dt: r.unique_ips_estimate for r in relational.count_distinct_estimate(small_tables).collect()}
+    assert exact.keys() == near.keys() and all(abs(near[d] - n) <= max(1, n * 0.1) for d, n in exact.items())
+
+
+def test_any_rows_are_rows_of_the_table(small_tables):
+    some = relational.limit_sample(small_tables, 5)
+    assert some.count() == 5
+    assert some.distinct().exceptAll(small_tables.web_traffic.select(*some.columns).distinct()).isEmpty()
+
+
 def test_top_lists_do_not_sort_in_full(small_tables):
     for plan in (web.top_urls, social.trending, sensors.threshold_alerts, relational.topk):
         assert "TakeOrderedAndProject" in plan_of(plan(small_tables))

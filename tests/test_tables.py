@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,16 @@ def test_layouts(spark, loaded):
     assert "90_days" in info["Properties"]
 
 
+def test_orc_settings_reach_the_files(loaded):
+    from pyarrow import orc
+
+    root, _ = loaded
+    for name, layout in catalog.LAYOUTS.items():
+        file = orc.ORCFile(next(Path(f"{root}/processed/{name}").glob("**/*.orc")))
+        assert file.compression == layout.compress
+        assert file.row_index_stride == 10000
+
+
 def test_dropping_a_raw_table_keeps_its_files(spark, loaded):
     root, _ = loaded
     spark.sql("DROP TABLE raw_db.raw_sensor_readings")
