@@ -10,7 +10,7 @@ from millrace.operators.profiling import column_cardinality, column_profile
 from millrace.operators.ranking import number_rows, rank_by_measure
 from millrace.operators.sampling import bucket_sample
 from millrace.operators.skew import hot_keys, salted_groupby, skew_join
-from millrace.operators.toplists import keep_top_keys
+from millrace.operators.toplists import keep_top_keys, top
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -86,6 +86,13 @@ def test_top_keys_with_equal_sums_go_by_key(spark):
     assert {r.k for r in keep_top_keys(df, "k", "n", 2).collect()} == {"a", "c"}
 
 
+@pytest.mark.parametrize("k", [1, 150, 900, 5000])
+def test_long_top_lists_are_exact(spark, k):
+    df = spark.range(0, 3000, 1, 11).select((F.col("id") * 7919 % 3001).alias("v"), (F.col("id") % 3).alias("g"))
+    mine = top(df, k, "g", F.desc("v"), spread=["v"])
+    assert mine.collect() == df.orderBy("g", F.desc("v")).limit(k).collect()
+
+
 def test_buckets_part_the_table(skewed):
     parts = [bucket_sample(skewed, "k", b, 4) for b in range(1, 5)]
     assert sum(p.count() for p in parts) == skewed.count()
