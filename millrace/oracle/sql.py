@@ -515,6 +515,19 @@ SQL["p_select_star_subq"] = ((SENSORS,), """
 SELECT s.reading_id, s.device_id, s.location, s.zone, s.ts, s.temperature, s.humidity, s.status, s.is_duplicate, data_quality_score
 FROM typed_sendings s JOIN sensor_readings r ON r.reading_id = s.reading_id""")
 
+# -- files written and read back ----------------------------------------
+
+SQL["scan_clf_files"] = SQL["scan_clf"]
+SQL["scan_sensor_csv"] = SQL["raw_string_typing"]
+SQL["scan_social_csv"] = ((POSTS,), r"""
+SELECT tweet_id, username, user_type, followers, verified, strftime(post_ts, '%Y-%m-%d %H:%M:%S') AS ts,
+       regexp_replace(post_text, '[\r\n]+', ' ', 'g') AS post_text, hashtags, likes, retweets, replies, impressions, language, source
+FROM social_posts""")
+SQL["scan_device_csv"] = SQL["etl_device_metadata"]
+SQL["dynpart_overwrite"] = ((WEB,), """
+SELECT client_ip, http_status, response_bytes, request_ts, dt FROM web_traffic WHERE dt <> '2024-01-15' OR http_status < 400""")
+SQL["csv_tsv_formats"] = SQL["x1_hourly_traffic"]
+
 
 def all_sql() -> dict[str, str]:
     return {name: with_views(sql, *views) if views else sql for name, (views, sql) in SQL.items()}

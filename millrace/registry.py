@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions.measures import half_up
 from .operators.profiling import column_cardinality, column_profile
-from .plans import checks, curate, dashboards, relational as rel, rollups, sensors, social, web
+from .plans import checks, curate, dashboards, relational as rel, rollups, roundtrips, sensors, social, web
 from .sources import adapters, raw
 from .tables import Tables, derived_tables
 
@@ -175,6 +175,9 @@ TABLE_PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "topk": rel.topk,
     "topk_in_subquery": rel.topk_in_subquery,
     "limit_sample": rel.limit_sample,
+    # sinks
+    "dynpart_overwrite": roundtrips.partition_overwrite,
+    "csv_tsv_formats": roundtrips.tsv_report,
     # sets and scalars
     "union_all_3": rel.union_all,
     "fn_request_parts": rel.request_parts,
@@ -191,6 +194,10 @@ QUERIES: dict[str, Query] = {name: _on_tables(plan) for name, plan in TABLE_PLAN
     "raw_string_typing": _on_readings(lambda df: df),
     "p_select_star_subq": _on_readings(rel.select_star_subquery),
     "w_row_number_dedup": _on_readings(rel.dedup),
+    "scan_clf_files": lambda spark, sf_dir: roundtrips.log_files(adapters.web_log_lines(spark, sf_dir)),
+    "scan_sensor_csv": lambda spark, sf_dir: roundtrips.sensor_csv(adapters.raw_sensor_readings(spark, sf_dir)),
+    "scan_social_csv": lambda spark, sf_dir: roundtrips.social_csv(adapters.raw_social_posts(spark, sf_dir)),
+    "scan_device_csv": lambda spark, sf_dir: roundtrips.device_csv(adapters.raw_device_metadata(spark, sf_dir)),
     "chk_weblog_sample": _on_logs(checks.log_sample),
     "chk_sensor_status_counts": _on_readings(checks.status_counts),
     "chk_social_user_type_counts": _on_posts(checks.user_type_counts),

@@ -87,9 +87,13 @@ def multi_insert(
     in_parallel([lambda plan=plan, name=name: overwrite_table(plan(shared), name, database) for plan, name in branches])
 
 
+# Doubled quotes as in RFC 4180, and blanks at the ends of a value kept.
+CSV_VALUES = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def delimited_folder(df: DataFrame, path: str) -> None:
     """Comma-separated rows, no header, no compression."""
-    df.write.mode("overwrite").option("compression", "none").csv(path)
+    df.write.mode("overwrite").options(**CSV_VALUES).option("compression", "none").csv(path)
 
 
 def csv_export(
@@ -104,7 +108,8 @@ def csv_export(
     seen = Observation()
     counted = df.observe(seen, rows().alias("n"))
     out = counted.coalesce(1) if single_file else counted
-    out.write.mode("overwrite").option("header", True).option("sep", sep).option("quoteAll", quote_all).csv(path)
+    writer = out.write.mode("overwrite").options(**CSV_VALUES)
+    writer.option("header", True).option("sep", sep).option("quoteAll", quote_all).csv(path)
     return seen.get["n"]
 
 

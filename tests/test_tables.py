@@ -243,6 +243,10 @@ def test_csv_forms(spark, tmp_path):
     assert sinks.csv_export(df, str(tmp_path / "c"), single_file=True) == 2
     (part,) = (tmp_path / "c").glob("part-*")
     assert part.read_text() == 'x,n\n"a,b",1\nc,2\n'
+    odd = spark.createDataFrame([(' say "hi" ', 1), ("", 2), (None, 3)], "x string, n int").orderBy("n")
+    sinks.csv_export(odd, str(tmp_path / "o"), single_file=True)
+    (part,) = (tmp_path / "o").glob("part-*")
+    assert part.read_text() == 'x,n\n" say ""hi"" ",1\n"",2\n,3\n'
     sinks.csv_export(df, str(tmp_path / "t"), sep="\t", single_file=True)
     (part,) = (tmp_path / "t").glob("part-*")
     assert part.read_text() == "x\tn\na,b\t1\nc\t2\n"
