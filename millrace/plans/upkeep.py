@@ -46,13 +46,13 @@ def compact_partition(
     wanted = max(1, math.ceil(size / target_bytes))
     if files <= wanted or size / files >= small_bytes:
         return False
-    copy = staged(spark.table(table).filter(_matches(spec)))
-    if is_bucketed(spark, table):
-        bucket = F.pmod(F.hash(layout.bucket_column), F.lit(layout.buckets))
-        spread = copy.repartition(max(wanted, layout.buckets), bucket)
-    else:
-        spread = copy.repartition(wanted)
-    spread.write.insertInto(table, overwrite=True)
+    with staged(spark.table(table).filter(_matches(spec))) as copy:
+        if is_bucketed(spark, table):
+            bucket = F.pmod(F.hash(layout.bucket_column), F.lit(layout.buckets))
+            spread = copy.repartition(max(wanted, layout.buckets), bucket)
+        else:
+            spread = copy.repartition(wanted)
+        spread.write.insertInto(table, overwrite=True)
     return True
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -55,16 +56,21 @@ def overwrite_path(df: DataFrame, path: str, partitions: Sequence[str] = (), **o
     writer.orc(path)
 
 
-def staged(df: DataFrame) -> DataFrame:
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
     """Write a result once to the shared folder and go on from the files.
 
-    Later steps read it instead of computing it again, also after an executor
-    is lost.
+    The steps inside read it instead of computing it again, also after an
+    executor is lost. The files go when the block ends.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
-    df.write.orc(folder)
-    return spark.read.schema(df.schema).orc(folder)
+    try:
+        df.write.orc(folder)
+        yield spark.read.schema(df.schema).orc(folder)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def in_parallel(tasks: Sequence[Callable[[], None]]) -> None:
@@ -83,8 +89,10 @@ def multi_insert(
     ``stage=False`` suits a source that is a stored table already: each branch
     then reads only the columns it needs.
     """
-    shared = staged(source) if stage else source
-    in_parallel([lambda plan=plan, name=name: overwrite_table(plan(shared), name, database) for plan, name in branches])
+    with staged(source) if stage else nullcontext(source) as shared:
+        in_parallel(
+            [lambda plan=plan, name=name: overwrite_table(plan(shared), name, database) for plan, name in branches]
+        )
 
 
 # Doubled quotes as in RFC 4180, and blanks at the ends of a value kept.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.plans import curate, daily_load, rollups, upkeep
-from millrace.session import bucketed_scans
+from millrace.session import bucketed_scans, shared_folder
 from millrace.sources import adapters, catalog, raw, sinks
 from millrace.tables import catalog_tables
 
@@ -210,6 +210,7 @@ def test_multi_insert(spark, database, small_tables):
     )
     assert spark.table(f"{database}.sensor_readings").count() == small_tables.sensor_readings.count()
     assert same_rows(spark.table(f"{database}.sensor_daily_summary"), small_tables.sensor_daily_summary)
+    assert list(Path(shared_folder(spark)).glob("staged-*")) == []
 
 
 def test_compaction_keeps_the_rows(spark, database, small_tables):
