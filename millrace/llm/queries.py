@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, sharding, simhash, toxicity
+from . import chat, exact_dedup, sentencepiece_codec, sharding, simhash, toxicity
 from .common import table, text_or_empty
 
 SHARDS = 40
+SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,4 +50,11 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup)}
+def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = SENTENCEPIECE_MODEL) -> DataFrame:
+    vocabulary = sentencepiece_codec.Vocabulary.load(model_path)
+    coded = sentencepiece_codec.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    read = sentencepiece_codec.decoded(coded, vocabulary)
+    return read.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", (F.col("decoded") == text_or_empty()).alias("round_trip"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op9_sentencepiece)}
