@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, sentencepiece_codec, sharding, simhash, toxicity
+from . import chat, decontamination, exact_dedup, sentencepiece_codec, sharding, simhash, toxicity
 from .common import table, text_or_empty
 
 SHARDS = 40
@@ -50,6 +50,10 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = SENTENCEPIECE_MODEL) -> DataFrame:
     vocabulary = sentencepiece_codec.Vocabulary.load(model_path)
     coded = sentencepiece_codec.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
@@ -57,4 +61,4 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = SENTEN
     return read.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", (F.col("decoded") == text_or_empty()).alias("round_trip"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op9_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op7_decontamination, op9_sentencepiece)}
