@@ -194,9 +194,9 @@ def _item_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"item_id": rows["item_id"], "block": rows["block"], "n_words": [len(w) for w in split], "names": [shingles(w) for w in split]})
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, least: float = SIMILAR, items_at_once: int = ITEMS) -> DataFrame:
-    """doc_id, item_id, similarity, first_word, n_words: the best window of each document and item that match."""
-    spark = docs.sparkSession
+def _blocks(benchmark: DataFrame, radius: int, items_at_once: int) -> Iterator:
+    """The items in blocks of about ``items_at_once``, each sent to the executors."""
+    spark = benchmark.sparkSession
     total = benchmark.count()
     blocks = partitions_for(total, items_at_once)
     source = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -204,15 +204,49 @@ def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, least:
     split = source.mapInPandas(_item_shingles, "item_id long, block int, n_words int, names array<string>").filter("n_words > 0")
     having = split.select(F.explode(F.array_distinct("names")).alias("name"), "item_id").groupBy("name").agg(F.count(F.lit(1)).alias("df"))
     weighed = split.select("block", F.explode(F.array_distinct("names")).alias("name")).distinct().join(having, "name")
-    small = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-
-    found = None
     for block in range(blocks):
-        rows = split.filter(F.col("block") == block).collect()  # about items_at_once items
+        rows = split.filter(F.col("block") == block).collect()  # one block of the stated query set
         weights = {r["name"]: float(np.log((1 + total) / (1 + r["df"])) + 1) for r in weighed.filter(F.col("block") == block).collect()}
-        items = _Items([r["item_id"] for r in rows], [Counter(r["names"]) for r in rows], [r["n_words"] for r in rows], weights, float(np.log(1 + total) + 1), radius)
-        part = small.mapInPandas(_searcher(spark.sparkContext.broadcast((items.ids, items.counts, items.sizes, weights, items.rare, radius)), least), MATCHES)
-        found = part if found is None else found.unionByName(part)
+        yield spark.sparkContext.broadcast((
+            [r["item_id"] for r in rows], [Counter(r["names"]) for r in rows], [r["n_words"] for r in rows], weights, float(np.log(1 + total) + 1), radius))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, least: float = SIMILAR, items_at_once: int = ITEMS) -> DataFrame:
+    """doc_id, item_id, similarity, first_word, n_words: the best window of each document and item that match."""
+    small = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    parts = [small.mapInPandas(_searcher(items, least), MATCHES) for items in _blocks(benchmark, radius, items_at_once)]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+def without_matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, least: float = SIMILAR, items_at_once: int = ITEMS) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no item is found."""
+    for items in _blocks(benchmark, radius, items_at_once):
+        docs = docs.filter(~_found(items, least)(F.col("text").cast("string")))
+    return docs
+
+
+def _groups(texts: pd.Series) -> Iterator[pd.Series]:
+    """Runs of rows with a few million characters each."""
+    run = texts.str.len().fillna(0).cumsum() // _CHARS_AT_ONCE
+    for _, part in texts.groupby(run.to_numpy()):
+        yield part
+
+
+def _found(shared, least: float):
+    @F.pandas_udf("boolean")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        items = _Items(*shared.value)
+        for texts in batches:
+            hit, at = np.zeros(len(texts), bool), 0
+            for part in _groups(texts):
+                for d, *_ in items.matches(part.tolist(), least):
+                    hit[at + d] = True
+                at += len(part)
+            yield pd.Series(hit)
+
     return found
 
 
@@ -220,10 +254,9 @@ def _searcher(shared, least: float):
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         items = _Items(*shared.value)
         for batch in batches:
-            group = batch["text"].str.len().fillna(0).cumsum() // _CHARS_AT_ONCE
-            for _, rows in batch.groupby(group.to_numpy()):
-                found = items.matches(rows["text"].tolist(), least)
-                ids = rows["doc_id"].tolist()
+            for part in _groups(batch["text"]):
+                found = items.matches(part.tolist(), least)
+                ids = batch["doc_id"].loc[part.index].tolist()
                 yield pd.DataFrame({
                     "doc_id": pd.array([ids[d] if pd.notna(ids[d]) else None for d, *_ in found], "Int64"),
                     "item_id": pd.array([items.ids[i] for _, i, *_ in found], "Int64"),

@@ -99,6 +99,21 @@ def deduplicated(docs: DataFrame, keys_per_part: int = KEYS_PER_PART) -> DataFra
     )
 
 
+def first_copies(docs: DataFrame, keys_per_part: int = KEYS_PER_PART) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay."""
+    decided = deduplicated(docs, keys_per_part)
+    by_row = decided.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__rows"))
+    named = by_row.withColumnsRenamed({"doc_id": "__id", "text_sha256": "__sha"})
+    rows = docs.withColumn("__digest", F.lower(F.hex(text_digest())))
+    here = rows["doc_id"].eqNullSafe(F.col("__id")) & (rows["__digest"] == F.col("__sha"))
+    kept = rows.join(named.filter(~F.col("__kept")), here, "left_anti")
+    # Rows repeated with one id are rare, and only they are compared as whole rows.
+    repeated = named.filter("__kept and __rows > 1")
+    once = kept.join(repeated, here, "left_anti")
+    again = kept.join(repeated, here, "left_semi").dropDuplicates(["doc_id", "__digest"])
+    return once.unionByName(again).drop("__digest")
+
+
 _STATE = "part int, state binary"
 
 

@@ -158,3 +158,13 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFra
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
     prints = written(fingerprints(docs, words), "simhash-prints")
     return linked(prints, radius).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def group_firsts(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns, with one document of each component left.
+
+    The one with the smallest doc_id stays. Rows that share an id share its
+    fate; rows without an id stay.
+    """
+    dropped = linked(written(fingerprints(docs, words), "simhash-prints"), radius).filter("doc_id <> component_id")
+    return docs.join(dropped.select(F.col("doc_id").alias("__id")).distinct(), docs["doc_id"] == F.col("__id"), "left_anti")

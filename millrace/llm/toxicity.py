@@ -17,7 +17,8 @@ A document without any feature of the vocabulary has no neighbour; its vote is
 the prior, calibrated like all others. Evidence lists the nearest example ids.
 
 Cases: null and empty texts have no feature; labels that are null are not
-learnt from; without labelled rows every score is the prior 0.5; repeated rows
+learnt from; without a feature that tells the classes apart every score is the
+share of toxic rows, 0 without any; repeated rows
 are scored alike; an empty table gives an empty result; other columns are
 ignored, so lang, source and doc_id are never inputs of a score.
 """
@@ -46,8 +47,8 @@ class Settings:
     per_class: int = 2048
     calibration: int = 4096
     terms: int = 512
-    least_docs: int = 8
-    least_chi2: float = 40.0
+    least_docs: int = 3
+    least_chi2: float = 30.0
     neighbours: int = 10
     threshold: float = 0.3
     seed: int = 42
@@ -171,8 +172,11 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     seen = written(sample.mapInPandas(terms_of, "doc_id long, y int, role int, terms array<string>, counts array<int>"), "toxic-examples")
     sizes = {int(r["y"]): int(r["n"]) for r in seen.filter("role = 0").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    natural = seen.filter("role = 1").agg(F.avg("y")).first()[0]
+    base = float(natural) if natural is not None else toxic / max(1, toxic + clean)
+    unlearnt = Model({}, np.zeros(0), BlockMaxIndex(np.zeros((0, 0))), np.zeros((0, 2)), [], base, np.zeros(0), np.zeros(0), s)
     if not toxic or not clean:
-        return Model({}, np.zeros(0), BlockMaxIndex(np.zeros((0, 0))), np.zeros((0, 2)), [], 0.5, np.zeros(0), np.zeros(0), s)
+        return unlearnt
 
     by_term = seen.filter("role = 0").select(F.explode("terms").alias("term"), "y").groupBy("term").agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("n"))
     a, n, nt, nc = F.col("a").cast("double"), F.col("n").cast("double"), F.lit(float(toxic)), F.lit(float(clean))
@@ -182,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     picked = by_term.filter(F.col("n") >= s.least_docs).withColumn("chi2", chi2).filter(F.col("chi2") >= s.least_chi2)
     vocabulary = {r["term"]: i for i, r in enumerate(picked.orderBy(F.desc("chi2"), "term").limit(s.terms).select("term").collect())}
     if not vocabulary:
-        return Model({}, np.zeros(0), BlockMaxIndex(np.zeros((0, 0))), np.zeros((0, 2)), [], 0.5, np.zeros(0), np.zeros(0), s)
+        return unlearnt
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df, total = np.zeros(len(vocabulary), np.int64), 0
@@ -207,7 +211,6 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     learn = (role == 0) & vectors.any(axis=1)
     unique, first, group = np.unique(np.round(vectors[learn], 5), axis=0, return_index=True, return_inverse=True)
     group = group.reshape(-1)
-    base = float(y[role == 1].mean()) if (role == 1).any() else toxic / (toxic + clean)
     # The classes are sampled apart: weigh them back to their shares.
     share = np.where(y[learn] == 1, base / toxic, (1 - base) / clean) * (toxic + clean)
     votes = np.zeros((len(unique), 2))
@@ -240,3 +243,16 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     small = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return small.mapInPandas(each, "doc_id long, score double, predicted int, evidence array<long>, similarity array<double>")
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, that the model does not reject."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by Settings
+
+    @F.pandas_udf("boolean")
+    def rejected(texts: pd.Series) -> pd.Series:
+        m: Model = shared.value
+        parts = [m.score(m.raw(m.vectors(texts.iloc[at:at + _ROWS_AT_ONCE]))[0]) for at in range(0, len(texts), _ROWS_AT_ONCE)]
+        return pd.Series(np.concatenate([np.zeros(0), *parts]) >= m.settings.threshold)
+
+    return docs.filter(~rejected(F.col("text").cast("string")))
