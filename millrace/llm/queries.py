@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontamination, exact_dedup, sentencepiece_codec, sharding, simhash, toxicity
+from . import chat, decontamination, exact_dedup, html_extraction, sentencepiece_codec, sharding, simhash, toxicity
 from .common import table, text_or_empty
 
 SHARDS = 40
@@ -61,4 +61,9 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = SENTEN
     return read.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", (F.col("decoded") == text_or_empty()).alias("round_trip"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op7_decontamination, op9_sentencepiece)}
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extraction.extracted(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op7_decontamination, op9_sentencepiece, op10_html_extraction)}
