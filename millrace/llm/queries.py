@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontamination, exact_dedup, html_extraction, sentencepiece_codec, sharding, simhash, toxicity
+from . import chat, decontamination, exact_dedup, html_extraction, phrase_dedup, sentencepiece_codec, sharding, simhash, toxicity
 from .common import table, text_or_empty
 
 SHARDS = 40
@@ -54,6 +54,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = SENTENCEPIECE_MODEL) -> DataFrame:
     vocabulary = sentencepiece_codec.Vocabulary.load(model_path)
     coded = sentencepiece_codec.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
@@ -66,4 +70,4 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op7_decontamination, op9_sentencepiece, op10_html_extraction)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op7_decontamination, op8_phrase_dedup, op9_sentencepiece, op10_html_extraction)}
