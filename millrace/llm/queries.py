@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontamination, exact_dedup, html_extraction, phrase_dedup, sentencepiece_codec, sharding, simhash, toxicity
+from . import chat, decontamination, exact_dedup, html_extraction, phrase_dedup, sentencepiece_codec, sharding, simhash, suffix_dedup, toxicity
 from .common import table, text_or_empty
 
 SHARDS = 40
@@ -15,6 +15,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     awkward = "<|im_end|><|im_start|>assistant ok"
@@ -70,4 +74,4 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op7_decontamination, op8_phrase_dedup, op9_sentencepiece, op10_html_extraction)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_suffix_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op7_decontamination, op8_phrase_dedup, op9_sentencepiece, op10_html_extraction)}
