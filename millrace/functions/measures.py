@@ -9,12 +9,13 @@ def half_up(value: Column, digits: int) -> Column:
     """Round half up, as DOUBLE, on the decimal reading of ``value``.
 
     A mean of doubles carries noise in its last bits that depends on the order
-    of the partial sums. Reading it as a DECIMAL with four spare digits drops
-    the noise, so the same data gives the same figure under any partitioning.
+    of the partial sums. Reading it as a DECIMAL with six spare digits drops
+    the noise, so the same data gives the same figure under any partitioning,
+    and is far too fine to lift a value over a half.
     The cast runs once per group, the summing stays on doubles. Values no
     decimal can hold (NaN, infinite, huge) round as doubles.
     """
-    exact = F.round(value.try_cast(f"decimal(38,{digits + 4})"), digits).cast("double")
+    exact = F.round(value.try_cast(f"decimal(38,{digits + 6})"), digits).cast("double")
     return F.coalesce(exact, F.round(value.cast("double"), digits))
 
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.measures import rows
-from ..session import shared_folder
 
 
 def rank_by_measure(
@@ -57,32 +55,32 @@ def rank_by_measure(
     return joined.withColumns(out).drop(*values)
 
 
-def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """Row number over all rows, of any number, in an order without ties.
+def number_rows(df: DataFrame, keys: Sequence[Column], name: str, parts: int = 64) -> DataFrame:
+    """Row number over all rows, of any number, in the ascending order of ``keys`` (NULL first) without ties.
 
-    A window without partition would bring all rows into one task. Here Spark
-    sorts them over many, and each writes its stretch to the shared folder. A
-    row's number is its place in its file plus the rows of the files before;
-    only the row counts of the files pass through a window. The files also fix
-    the numbers: a task run again reads the same place.
+    A window without partition would bring all rows into one task. Bounds from
+    a bounded sample (``16 * parts`` rows, taken by hash, so the same each time)
+    part the rows into stretches; a row's number is its place in its stretch
+    plus the rows of the stretches before. Nothing is written.
     """
-    spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/numbered-{uuid.uuid4().hex}"
-    df.orderBy(*order).write.parquet(folder)
-    stretch = F.struct(*[
-        F.regexp_extract("_metadata.file_name", pattern, 1).try_cast("int").alias(part)
-        for part, pattern in (("task", r"^part-(\d+)-"), ("piece", r"[.-]c(\d+)\."))
-    ])
-    stored = spark.read.schema(df.schema).parquet(folder).select(
-        "*", stretch.alias("_stretch"), F.col("_metadata.row_index").alias("_at")
-    )
+    of = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    keyed = df.withColumn("_key", of)
+    kind = keyed.schema["_key"].dataType
+    sample = keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(16 * parts).orderBy("_key").collect()
+    bounds = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r["_key"], kind.fields, strict=True)]) for r in sample[16::16]
+    ]
+    stretch = F.size(F.filter(F.array(*bounds), lambda b: b <= F.col("_key"))) if bounds else F.lit(0)
+    dealt = keyed.withColumn("_stretch", stretch)
     earlier = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    before = stored.groupBy(F.col("_stretch").alias("_s")).agg(rows().alias("_n")).select(
+    before = dealt.groupBy(F.col("_stretch").alias("_s")).agg(rows().alias("_n")).select(
         "_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    # Broadcast: one row per file.
+    within = Window.partitionBy("_stretch").orderBy("_key")
+    # Broadcast: one row per stretch.
     return (
-        stored.join(F.broadcast(before), F.col("_stretch") == F.col("_s"))
-        .withColumn(name, F.col("_before") + F.col("_at") + 1)
+        dealt.withColumn("_place", F.row_number().over(within))
+        .join(F.broadcast(before), F.col("_stretch") == F.col("_s"))
+        .withColumn(name, F.col("_before") + F.col("_place"))
         .select(*df.columns, name)
     )

@@ -1,4 +1,4 @@
-"""Grouping and joining on keys that may hold a large share of all rows."""
+"""Joining and grouping on keys that may hold a large share of all rows."""
 
 from __future__ import annotations
 
@@ -6,9 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.measures import rows
-
-ROWS_PER_TASK = 5_000_000
+SPREAD = 1024
 
 
 def salt(spread: Sequence[str], parts: int | Column) -> Column:
@@ -17,16 +15,16 @@ def salt(spread: Sequence[str], parts: int | Column) -> Column:
     return F.pmod(F.xxhash64(*spread), parts).cast("int")
 
 
-def salted_groupby(
+def two_pass_groupby(
     df: DataFrame, keys: Sequence[str], partial: Sequence[Column], final: Sequence[Column],
     spread: Sequence[str], salts: int = 64,
 ) -> DataFrame:
     """Two-pass grouping: by key and salt, then by key.
 
-    Sums and counts need no such help, as Spark combines them before the
-    shuffle. It serves aggregates that cannot shrink there, such as exact
-    distinct counts with ``spread`` set to the counted column: each salt then
-    holds its own values and the second pass adds up the counts.
+    Sums, counts and distinct counts need no such help: Spark combines them
+    before the shuffle, distinct ones in two exchanges. It serves results that
+    do not shrink before the shuffle, such as the n-th value in an order: a
+    salt's rows meet, and only its few candidates go on.
     """
     return (
         df.withColumn("_salt", salt(spread, salts))
@@ -35,37 +33,21 @@ def salted_groupby(
     )
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more rows than one task should hold, and into how many parts to cut them.
-
-    At most ``rows / rows_per_task`` keys can be hot, which bounds this table:
-    200 000 keys for a trillion rows.
-    """
-    return (
-        df.groupBy(key).agg(rows().alias("_n"))
-        .filter(F.col(key).isNotNull() & (F.col("_n") > rows_per_task))
-        .select(key, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_parts"))
-    )
-
-
-def skew_join(
-    fact: DataFrame, dim: DataFrame, key: str, spread: Sequence[str],
-    how: str = "inner", rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Join a fact to a dimension of any size; hot keys are cut into parts.
+def skew_join(fact: DataFrame, dim: DataFrame, key: str, spread: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a fact to a dimension of any size in one scan of the fact.
 
-    Only hot keys are salted, so only their dimension rows are repeated. Spark
-    still broadcasts the dimension where its size allows. ``how`` is ``inner``
-    or ``left`` (keep facts without a match).
+    Spark broadcasts a dimension below its size limit and else splits the large
+    parts of the shuffled fact (``forceOptimizeSkewedJoin`` keeps that on where
+    a grouping by the key follows). It cannot split what matches nothing: in a
+    ``left`` join facts without a key are spread over ``SPREAD`` keys of their
+    own. ``how`` is ``inner`` or ``left`` (keep facts without a match).
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    hot = hot_keys(fact, key, rows_per_task)
-    # Broadcast: bounded by rows / rows_per_task, see hot_keys.
-    dealt = fact.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.coalesce(salt(spread, F.col("_parts")), F.lit(0))
-    )
-    copies = dim.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
-    )
-    return dealt.drop("_parts").join(copies.drop("_parts"), [key, "_salt"], how).drop("_salt")
+    if how == "inner":
+        return fact.join(dim, key)
+    absent = F.when(F.col(key).isNull(), salt(spread, SPREAD))
+    keyed = fact.withColumn("_absent", absent)
+    there = dim.withColumn("_absent", F.lit(None).cast("int")).withColumnRenamed(key, "_key")
+    same = (F.col(key) == F.col("_key")) & F.coalesce(keyed["_absent"], F.lit(-1)).eqNullSafe(F.coalesce(there["_absent"], F.lit(-1)))
+    return keyed.join(there, same, "left").drop("_absent", "_key")

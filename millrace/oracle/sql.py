@@ -296,7 +296,7 @@ SELECT device_id, timestamp_ts, temperature, humidity, status = 'ANOMALY' AS is_
 WHERE temperature IS NOT NULL AND humidity IS NOT NULL""")
 SQL["p_device_scorecard"] = ((SENSORS, DEVICES), f"""
 SELECT device_id, device_name, sla_tier, ok AS ok_readings, expected AS expected_readings,
-       {rnd("least(ok * 100.0 / greatest(expected, 1), 100)", 2)} AS uptime_pct, mean_temp AS avg_temp, alerts AS alert_count
+       {rnd("ok * 100.0 / greatest(expected, 1)", 2)} AS uptime_pct, mean_temp AS avg_temp, alerts AS alert_count
 FROM (SELECT d.device_id, device_name, sla_tier, {when("status = 'OK'")} AS ok, {rnd("avg(temperature)", 2)} AS mean_temp,
              {big(f"{when(TEMP_BREACH)} + {when(HUMIDITY_BREACH)}")} AS alerts,
              CASE WHEN count(reading_id) = 0 THEN 0
@@ -468,9 +468,9 @@ FROM trending_hashtags_daily""")
 
 SQL["sort_multi"] = ((DEVICES,), "SELECT device_id, zone, sla_tier FROM device_metadata")
 SQL["sort_nulls_last"] = ((DEVICES,), """
-SELECT device_id, battery_level_pct FROM device_metadata ORDER BY battery_level_pct NULLS LAST, device_id LIMIT 10""")
+SELECT device_id, battery_level_pct, row_number() OVER (ORDER BY battery_level_pct NULLS LAST, device_id) AS place FROM device_metadata""")
 SQL["sort_default_nulls"] = ((DEVICES,), """
-SELECT device_id, battery_level_pct FROM device_metadata ORDER BY battery_level_pct NULLS FIRST, device_id LIMIT 10""")
+SELECT device_id, battery_level_pct, row_number() OVER (ORDER BY battery_level_pct NULLS FIRST, device_id) AS place FROM device_metadata""")
 SQL["topk"] = ((WEB,), f"""
 SELECT client_ip, {big("sum(response_bytes)")} AS total_bytes FROM web_traffic GROUP BY client_ip
 ORDER BY total_bytes DESC, client_ip LIMIT 15""")
@@ -520,8 +520,7 @@ FROM typed_sendings s JOIN sensor_readings r ON r.reading_id = s.reading_id""")
 SQL["scan_clf_files"] = SQL["scan_clf"]
 SQL["scan_sensor_csv"] = SQL["raw_string_typing"]
 SQL["scan_social_csv"] = ((POSTS,), r"""
-SELECT tweet_id, username, user_type, followers, verified, strftime(post_ts, '%Y-%m-%d %H:%M:%S') AS ts,
-       regexp_replace(post_text, '[\r\n]+', ' ', 'g') AS post_text, hashtags, likes, retweets, replies, impressions, language, source
+SELECT tweet_id, username, user_type, followers, verified, strftime(post_ts, '%Y-%m-%d %H:%M:%S') AS ts, post_text, hashtags, likes, retweets, replies, impressions, language, source
 FROM social_posts""")
 SQL["scan_device_csv"] = SQL["etl_device_metadata"]
 SQL["dynpart_overwrite"] = ((WEB,), """

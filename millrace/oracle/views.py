@@ -8,8 +8,9 @@ from __future__ import annotations
 
 
 def rnd(expression: str, digits: int) -> str:
-    """Half-up rounding on the decimal reading, as DOUBLE."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,{digits + 4})), {digits}) AS DOUBLE)"
+    """Half-up rounding as DOUBLE arithmetic: a relative nudge of 1e-12 stands in for noise at a tie."""
+    value, scale = f"CAST({expression} AS DOUBLE)", f"1e{digits}"
+    return f"(sign({value}) * floor(abs({value}) * {scale} * (1 + 1e-12) + 0.5) / {scale})"
 
 
 def big(expression: str) -> str:

@@ -10,7 +10,7 @@ from ..functions.measures import count_where, half_up, mean, percent, rows
 from ..functions.texts import hashtag_tokens, log_time
 from ..operators.ranking import number_rows, rank_by_measure
 from ..operators.sampling import bucket_sample
-from ..operators.skew import salted_groupby, skew_join
+from ..operators.skew import skew_join, two_pass_groupby
 from ..operators.toplists import keep_top_keys, top
 from ..tables import Tables
 from .curate import first_received, hashtag_mentions
@@ -154,11 +154,11 @@ def join_shuffle(t: Tables) -> DataFrame:
     )
 
 
-def join_skew(t: Tables, rows_per_task: int = 5_000_000) -> DataFrame:
-    """Mean temperature per tier, hot devices cut into parts."""
+def join_skew(t: Tables) -> DataFrame:
+    """Mean temperature per tier; hot devices are split at run time."""
     joined = skew_join(
         t.sensor_readings.select("device_id", "reading_id", "temperature"),
-        t.device_metadata.select("device_id", "sla_tier"), "device_id", ["reading_id"], rows_per_task=rows_per_task,
+        t.device_metadata.select("device_id", "sla_tier"), "device_id", ["reading_id"],
     )
     return joined.groupBy("sla_tier").agg(rows().alias("readings"), half_up(mean("temperature"), 2).alias("avg_temp"))
 
@@ -208,7 +208,8 @@ def sum_avg_min_max(t: Tables) -> DataFrame:
     return t.web_traffic.groupBy("http_method").agg(
         F.sum("response_bytes").alias("sum_bytes"), half_up(mean("response_bytes"), 4).alias("avg_bytes"),
         F.min("request_ts").alias("first_ts"), F.max("request_ts").alias("last_ts"),
-        F.min("dt").alias("first_dt"), F.max("dt").alias("last_dt"),
+        # Dates have a fixed width and so are hashed; a text would sort the whole fact.
+        F.min(F.col("dt").cast("date")).cast("string").alias("first_dt"), F.max(F.col("dt").cast("date")).cast("string").alias("last_dt"),
     )
 
 
@@ -247,10 +248,10 @@ def case_over_aggregate(t: Tables) -> DataFrame:
 
 
 def skew_two_pass(t: Tables, salts: int = 64) -> DataFrame:
-    """Exact distinct visitors per status in two passes, spread by visitor."""
-    return salted_groupby(
-        t.web_traffic.select("http_status", "client_ip"), ["http_status"],
-        [rows().alias("n"), F.countDistinct("client_ip").alias("ips")],
+    """Requests and exact distinct visitors per status in two passes: distinct rows spread by visitor, then counts."""
+    return two_pass_groupby(
+        t.web_traffic.groupBy("http_status", "client_ip").agg(rows().alias("n")), ["http_status"],
+        [F.sum("n").alias("n"), rows().alias("ips")],
         [F.sum("n").alias("requests"), F.sum("ips").alias("unique_ips")],
         spread=["client_ip"], salts=salts,
     )
@@ -280,7 +281,7 @@ def dense_rank_all(t: Tables) -> DataFrame:
 
 
 def row_number_all(t: Tables) -> DataFrame:
-    return number_rows(hashtag_totals(t), [F.desc("total_mentions"), F.col("hashtag")], "row_num")
+    return number_rows(hashtag_totals(t), [-F.col("total_mentions"), F.col("hashtag")], "row_num")
 
 
 def percent_rank_all(t: Tables) -> DataFrame:
@@ -334,14 +335,14 @@ def sort_multi(t: Tables) -> DataFrame:
 
 
 def sort_nulls_last(t: Tables) -> DataFrame:
-    """The ten lowest battery levels, mains-powered devices after all others."""
-    return top(t.device_metadata.select("device_id", "battery_level_pct"), 10,
-               F.asc_nulls_last("battery_level_pct"), "device_id")
+    """All devices by battery level with their place, mains-powered ones after all others."""
+    level = F.col("battery_level_pct")
+    return number_rows(t.device_metadata.select("device_id", "battery_level_pct"), [level.isNull(), level, F.col("device_id")], "place")
 
 
 def sort_default_nulls(t: Tables) -> DataFrame:
-    """Ascending order puts NULL first."""
-    return top(t.device_metadata.select("device_id", "battery_level_pct"), 10, "battery_level_pct", "device_id")
+    """Ascending order puts NULL first; all devices with their place."""
+    return number_rows(t.device_metadata.select("device_id", "battery_level_pct"), [F.col("battery_level_pct"), F.col("device_id")], "place")
 
 
 def topk(t: Tables) -> DataFrame:

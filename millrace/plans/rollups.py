@@ -112,8 +112,8 @@ def weekly(t: Tables, with_year: bool = False) -> DataFrame:
         keys = ["iso_year", *keys]
     anomalies, readings = F.sum("anomaly_count"), F.sum("total_readings")
     figures = weeks.groupBy(*keys).agg(
-        F.min("dt").alias("week_start_date"),
-        F.max("dt").alias("week_end_date"),
+        F.min(date).cast("string").alias("week_start_date"),
+        F.max(date).cast("string").alias("week_end_date"),
         readings.alias("weekly_readings"),
         half_up(mean("avg_temp"), 2).alias("weekly_avg_temp"),
         half_up(F.min("min_temp"), 2).alias("weekly_min_temp"),

@@ -1,62 +1,59 @@
-"""Sources and sinks as queries: write to the shared folder, read back."""
+"""Sources and sinks as queries: write to the shared folder, read back.
 
-from __future__ import annotations
+What is read back is checkpointed, so the written files can go at once; Spark
+drops a checkpoint when nothing refers to it any more.
+"""
 
-import uuid
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import shared_folder
+from ..session import checkpointed
 from ..sources import raw, sinks
 from ..tables import Tables
 from . import web
 
 
-def _folder(df: DataFrame, kind: str) -> str:
-    return f"{shared_folder(df.sparkSession)}/{kind}-{uuid.uuid4().hex}"
-
-
 def log_files(lines: DataFrame) -> DataFrame:
     """Log lines as text files, through the log scan."""
-    path = _folder(lines, "logs")
-    lines.write.text(path)
-    return raw.scan_clf(lines.sparkSession, path)
+    with sinks.staging_folder(lines.sparkSession, "logs") as path:
+        lines.write.text(path)
+        return checkpointed(raw.scan_clf(lines.sparkSession, path))
 
 
 def sensor_csv(raw_readings: DataFrame) -> DataFrame:
-    path = _folder(raw_readings, "sensors")
-    sinks.csv_export(raw_readings, path)
-    return raw.type_sensor(raw.scan_sensor_csv(raw_readings.sparkSession, path))
+    with sinks.staging_folder(raw_readings.sparkSession, "sensors") as path:
+        sinks.csv_export(raw_readings, path)
+        return checkpointed(raw.type_sensor(raw.scan_sensor_csv(raw_readings.sparkSession, path)))
 
 
 def social_csv(raw_posts: DataFrame) -> DataFrame:
-    """Posts with doubled quotes. A record is one line, so line breaks in the text become blanks."""
-    path = _folder(raw_posts, "posts")
-    one_line = F.regexp_replace("post_text", r"[\r\n]+", " ")
-    sinks.csv_export(raw_posts.withColumn("post_text", one_line), path, quote_all=True)
-    return raw.type_social(raw.scan_social_csv(raw_posts.sparkSession, path, escape='"'))
+    """Posts with their line breaks and doubled quotes."""
+    with sinks.staging_folder(raw_posts.sparkSession, "posts") as path:
+        sinks.csv_export(raw_posts, path, quote_all=True)
+        return checkpointed(raw.type_social(raw.scan_social_csv(raw_posts.sparkSession, path)))
 
 
 def device_csv(raw_devices: DataFrame) -> DataFrame:
-    path = _folder(raw_devices, "devices")
-    sinks.csv_export(raw_devices, path)
-    typed = raw.type_device(raw.scan_device_csv(raw_devices.sparkSession, path))
-    return typed.withColumns({c: F.col(c).cast("string") for c in ("install_date", "last_maintenance")})
+    with sinks.staging_folder(raw_devices.sparkSession, "devices") as path:
+        sinks.csv_export(raw_devices, path)
+        typed = raw.type_device(raw.scan_device_csv(raw_devices.sparkSession, path))
+        return checkpointed(typed.withColumns({c: F.col(c).cast("string") for c in ("install_date", "last_maintenance")}))
 
 
 def partition_overwrite(t: Tables) -> DataFrame:
     """All days of web traffic, then one day again without its failed requests: the others stay."""
     traffic = t.web_traffic.select("client_ip", "http_status", "response_bytes", "request_ts", "dt")
-    path = _folder(traffic, "traffic")
-    sinks.overwrite_path(traffic, path, ["dt"])
-    one_day = traffic.filter((F.col("dt") == "2024-01-15") & (F.col("http_status") < 400))
-    sinks.overwrite_path(one_day, path, ["dt"])
-    return traffic.sparkSession.read.schema(traffic.schema).orc(path)
+    with sinks.staging_folder(traffic.sparkSession, "traffic") as path:
+        sinks.overwrite_path(traffic, path, ["dt"])
+        one_day = traffic.filter((F.col("dt") == "2024-01-15") & (F.col("http_status") < 400))
+        sinks.overwrite_path(one_day, path, ["dt"])
+        return checkpointed(traffic.sparkSession.read.schema(traffic.schema).orc(path))
 
 
 def tsv_report(t: Tables) -> DataFrame:
     """The hourly traffic report as a TSV folder, read back."""
     report = web.hourly_path_status(t)
-    path = _folder(report, "report")
-    sinks.csv_export(report, path, sep="\t")
-    return report.sparkSession.read.schema(report.schema).option("header", True).option("sep", "\t").csv(path)
+    with sinks.staging_folder(report.sparkSession, "report") as path:
+        sinks.csv_export(report, path, sep="\t")
+        return checkpointed(report.sparkSession.read.schema(report.schema).option("header", True).option("sep", "\t").csv(path))

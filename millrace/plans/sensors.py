@@ -78,7 +78,7 @@ def breach_figures(t: Tables) -> DataFrame:
     """Figures per device, breaches of its own thresholds among them.
 
     Breaches need the thresholds next to each reading, so this join comes
-    before the grouping; hot devices are cut into parts.
+    before the grouping; the registry is broadcast or hot devices are split.
     """
     limits = t.device_metadata.select(
         "device_id", "alert_temp_min", "alert_temp_max", "alert_humidity_min", "alert_humidity_max"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.measures import half_up, mean, rows
-from ..operators.ranking import number_rows, rank_by_measure
+from ..operators.ranking import rank_by_measure
 from ..operators.toplists import keep_top_keys, top
 from ..tables import Tables
 
@@ -62,7 +62,8 @@ def rank_comparison(t: Tables, k: int = 10) -> DataFrame:
         percent_rank="percentile", top=k,
     )
     return (
-        number_rows(ranked, [F.desc("total_mentions"), F.col("hashtag")], "row_num")
+        # A short list: ranks up to k with their ties.
+        ranked.withColumn("row_num", F.row_number().over(Window.orderBy(F.desc("total_mentions"), "hashtag")).cast("bigint"))
         .select("hashtag", "total_mentions", "mention_rank", "dense_rank", "row_num",
                 half_up(F.col("percentile"), 4).alias("percentile"))
         .orderBy("row_num")

@@ -6,11 +6,10 @@ import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MAP_JOIN_LIMIT = 25_000_000
 TARGET_FILE_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -22,6 +21,9 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": str(MAP_JOIN_LIMIT),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split hot join keys also where a grouping on the key follows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_FILE_BYTES),
     "spark.sql.files.maxPartitionBytes": str(TARGET_FILE_BYTES),
@@ -57,11 +59,10 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Start shuffles with about one partition per 256 MB of input.
 
     The default of 200 would put half a terabyte of a 100 TB load into each.
-    The runtime joins partitions that turn out small, so too many cost little;
-    the upper limit keeps the number of shuffle blocks in bounds.
+    The runtime joins partitions that turn out small, so too many cost little.
     """
     wanted = -(-input_bytes // TARGET_FILE_BYTES)
-    number = max(spark.sparkContext.defaultParallelism, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    number = max(spark.sparkContext.defaultParallelism, wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(number))
     return number
 
@@ -78,6 +79,14 @@ def bucketed_scans(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage: Spark keeps the rows in the shared folder until nothing refers to them."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 

@@ -40,11 +40,15 @@ def scan_clf(spark: SparkSession, path: str) -> DataFrame:
     return parse_log_lines(spark.read.text(path))
 
 
-def csv_text(reader, path: str, schema: T.StructType, header: bool = True, escape: str = "\\") -> DataFrame:
+def csv_text(
+    reader, path: str, schema: T.StructType, header: bool = True, escape: str = "\\", multi_line: bool = False, short: bool = False,
+) -> DataFrame:
     """CSV columns as text, bound by position, through a batch or stream reader.
 
-    A blank field is an empty text. Fields a short row lacks are NULL, so the
-    key checks of the curate plans drop it.
+    A blank field is an empty text. A record that lacks its last fields is set
+    aside: it is left out, and with ``short`` only such records come, as far as
+    they go. With ``multi_line`` quoted fields may hold line breaks; a file then
+    is one task, so the landing zone needs files of a few hundred MB.
     """
     broken = "_broken"
     read = (
@@ -56,26 +60,30 @@ def csv_text(reader, path: str, schema: T.StructType, header: bool = True, escap
         .option("quote", '"')
         .option("escape", escape)
         .option("mode", "PERMISSIVE")
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
         .csv(path)
     )
     blank = F.col(broken).isNull()
+    lacking = F.col(broken).isNotNull() & F.col(schema.names[-1]).isNull()
+    read = read.filter(lacking if short else ~lacking)
     return read.select(*[F.when(blank & F.col(c).isNull(), F.lit("")).otherwise(F.col(c)).alias(c) for c in schema.names])
 
 
-def scan_sensor_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """Sensor readings."""
-    return csv_text(spark.read, path, schemas.RAW_SENSOR, header)
+def scan_sensor_csv(spark: SparkSession, path: str, header: bool = True, escape: str = '"', **options: bool) -> DataFrame:
+    """Sensor readings; quotes inside a field are doubled unless ``escape`` says otherwise."""
+    return csv_text(spark.read, path, schemas.RAW_SENSOR, header, escape, **options)
 
 
-def scan_social_csv(spark: SparkSession, path: str, header: bool = True, escape: str = "\\") -> DataFrame:
-    """Social posts. Pass ``escape='"'`` for files whose writer doubles quotes."""
-    return csv_text(spark.read, path, schemas.RAW_SOCIAL, header, escape)
+def scan_social_csv(
+    spark: SparkSession, path: str, header: bool = True, escape: str = '"', multi_line: bool = True, **options: bool,
+) -> DataFrame:
+    """Social posts. Texts hold line breaks; quotes inside a field are doubled unless ``escape`` says otherwise."""
+    return csv_text(spark.read, path, schemas.RAW_SOCIAL, header, escape, multi_line, **options)
 
 
-def scan_device_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """Device registry."""
-    return csv_text(spark.read, path, schemas.RAW_DEVICE, header)
+def scan_device_csv(spark: SparkSession, path: str, header: bool = True, escape: str = '"', **options: bool) -> DataFrame:
+    """Device registry; quotes inside a field are doubled unless ``escape`` says otherwise."""
+    return csv_text(spark.read, path, schemas.RAW_DEVICE, header, escape, **options)
 
 
 def type_sensor(raw: DataFrame) -> DataFrame:

@@ -56,6 +56,20 @@ def overwrite_path(df: DataFrame, path: str, partitions: Sequence[str] = (), **o
     writer.orc(path)
 
 
+@contextmanager
+def staging_folder(spark: SparkSession, kind: str) -> Iterator[str]:
+    """The path of a new folder in the shared one; it goes when the block ends.
+
+    Deleting needs the Hadoop client behind a classic session; Connect has none.
+    """
+    folder = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def staged(df: DataFrame) -> Iterator[DataFrame]:
     """Write a result once to the shared folder and go on from the files.
@@ -63,14 +77,9 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
     The steps inside read it instead of computing it again, also after an
     executor is lost. The files go when the block ends.
     """
-    spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
-    try:
+    with staging_folder(df.sparkSession, "staged") as folder:
         df.write.orc(folder)
-        yield spark.read.schema(df.schema).orc(folder)
-    finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        yield df.sparkSession.read.schema(df.schema).orc(folder)
 
 
 def in_parallel(tasks: Sequence[Callable[[], None]]) -> None:

@@ -5,9 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions.measures import half_up
 from millrace.functions.texts import hashtag_tokens, log_time
 from millrace.plans import curate
-from millrace.sources import raw
+from millrace.sources import raw, sinks
 
 GOOD = '10.0.0.1 - - [01/Jan/2024:12:00:01 +0000] "GET /a?x=1?y=2 HTTP/1.1" 200 512 "-" "Mozilla/5.0 (X11)"'
 
@@ -95,11 +96,12 @@ def test_sensor_csv(spark, tmp_path):
     assert (rows[1].temperature, rows[1].humidity, rows[1].is_duplicate, rows[1].location) == (None, None, True, "B, north")
 
 
-def test_blank_is_text_and_short_rows_lack_fields(spark, tmp_path):
+def test_blank_is_text_and_short_rows_are_set_aside(spark, tmp_path):
     (tmp_path / "s.csv").write_text("h\n1,D1,,lab,2024-01-15 09:30:00,,\"\",OK,False\n2,D2\n")
-    rows = raw.scan_sensor_csv(spark, str(tmp_path)).orderBy("reading_id").collect()
-    assert (rows[0].location, rows[0].temperature, rows[0].humidity) == ("", "", "")
-    assert (rows[1].device_id, rows[1].ts, rows[1].status) == ("D2", None, None)
+    (row,) = raw.scan_sensor_csv(spark, str(tmp_path)).collect()
+    assert (row.location, row.temperature, row.humidity) == ("", "", "")
+    (short,) = raw.scan_sensor_csv(spark, str(tmp_path), short=True).collect()
+    assert (short.device_id, short.ts, short.status) == ("D2", None, None)
     kept = curate.sensor_readings(raw.scan_sensor_csv(spark, str(tmp_path)))
     assert [r.reading_id for r in kept.collect()] == [1]
 
@@ -136,3 +138,21 @@ def test_hashtag_tokens(spark):
     df = spark.createDataFrame([("",), ("  #a   #b ",), (None,)], "h string")
     got = [r[0] for r in df.select(hashtag_tokens(F.col("h"))).collect()]
     assert got == [[""], ["#a", "#b"], None]
+
+
+def test_quotes_and_line_breaks_come_back(spark, tmp_path):
+    device = spark.createDataFrame([("D1", 'Probe "north", 2')], "device_id string, device_name string")
+    names = raw.schemas.RAW_DEVICE.names
+    row = device.select(*[F.col(c) if c in device.columns else F.lit("").alias(c) for c in names])
+    sinks.csv_export(row, str(tmp_path / "devices"))
+    assert raw.scan_device_csv(spark, str(tmp_path / "devices")).first().device_name == 'Probe "north", 2'
+    names = raw.schemas.RAW_SOCIAL.names
+    post = spark.range(1).select(*[F.lit('two\nlines, "quoted"' if c == "post_text" else "1").alias(c) for c in names])
+    sinks.csv_export(post, str(tmp_path / "posts"), quote_all=True)
+    (read,) = raw.scan_social_csv(spark, str(tmp_path / "posts")).collect()
+    assert read.post_text == 'two\nlines, "quoted"' and getattr(read, names[-1]) == "1"
+
+
+@pytest.mark.parametrize("value, digits, rounded", [(2.49996, 0, 2.0), (0.1249999, 2, 0.12), (0.125, 2, 0.13), (-0.125, 2, -0.13), (0.12499999999999999, 2, 0.13), (2.5, 0, 3.0)])
+def test_means_are_rounded_once(spark, value, digits, rounded):
+    assert spark.range(1).select(half_up(F.lit(value), digits)).first()[0] == rounded

@@ -9,7 +9,7 @@ from pyspark.sql import Window, functions as F
 from millrace.operators.profiling import column_cardinality, column_profile
 from millrace.operators.ranking import number_rows, rank_by_measure
 from millrace.operators.sampling import bucket_sample
-from millrace.operators.skew import hot_keys, salted_groupby, skew_join
+from millrace.operators.skew import skew_join, two_pass_groupby
 from millrace.operators.toplists import keep_top_keys, top
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -29,21 +29,14 @@ def test_ranks_equal_window_functions(spark, rows):
 @given(st.lists(st.integers(1, 3), min_size=1, max_size=20))
 def test_row_numbers_follow_the_order(spark, values):
     df = spark.createDataFrame([(f"#k{i:03}", v) for i, v in enumerate(values)], "k string, v bigint")
-    out = number_rows(df, [F.desc("v"), F.col("k")], "n").collect()
+    out = number_rows(df, [-F.col("v"), F.col("k")], "n").collect()
     want = sorted(((f"#k{i:03}", v) for i, v in enumerate(values)), key=lambda kv: (-kv[1], kv[0]))
     assert [(r.k, r.v, r.n) for r in sorted(out, key=lambda r: r.n)] == [(k, v, i + 1) for i, (k, v) in enumerate(want)]
 
 
-def test_row_numbers_over_many_files(spark):
+def test_row_numbers_over_many_stretches(spark):
     df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5003).alias("v"))
-    spark.conf.set("spark.sql.files.maxRecordsPerFile", "300")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        out = number_rows(df, [F.col("v")], "n")
-    finally:
-        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(out.inputFiles()) > 8
+    out = number_rows(df, [F.col("v")], "n")
     plain = df.select("v", F.row_number().over(Window.orderBy("v")).cast("bigint").alias("n"))
     assert out.exceptAll(plain).isEmpty() and out.count() == 5000
 
@@ -58,13 +51,34 @@ def skewed(spark):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_skew_join_equals_join(spark, skewed, how):
     dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("unused", 4)], "k string, d int")
-    mine = skew_join(skewed, dim, "k", ["id"], how=how, rows_per_task=50)
+    mine = skew_join(skewed, dim, "k", ["id"], how=how)
     plain = skewed.join(dim, "k", how)
     assert sorted(map(str, mine.select("id", "k", "v", "d").collect())) == sorted(map(str, plain.select("id", "k", "v", "d").collect()))
 
 
-def test_only_the_hot_key_is_cut(skewed):
-    assert [tuple(r) for r in hot_keys(skewed, "k", rows_per_task=50).collect()] == [("hot", 8)]
+def test_hot_key_is_split_and_missing_keys_are_spread(spark, tmp_path):
+    """With broadcasts off and small parts, the run splits the hot key; facts without a key take many keys."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 == 7, None).otherwise(F.concat(F.lit("k"), F.col("id") % 97)).alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    ).write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    dim = spark.range(97).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("d")).union(spark.sql("SELECT 'hot', -1L"))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = skew_join(fact, dim, "k", ["id"])
+        assert len(joined.collect()) == 54_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        left = skew_join(fact, dim, "k", ["id"], how="left")
+        assert left.count() == 60_000 and left.filter("d is null").count() == 6_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_skew_join_rejects_other_kinds(spark, skewed):
@@ -73,7 +87,7 @@ def test_skew_join_rejects_other_kinds(spark, skewed):
 
 
 def test_two_pass_grouping_counts_distinct_exactly(skewed):
-    mine = salted_groupby(
+    mine = two_pass_groupby(
         skewed, ["k"], [F.countDistinct("v").alias("d"), F.count("*").alias("n")],
         [F.sum("d").alias("d"), F.sum("n").alias("n")], spread=["v"], salts=7,
     )

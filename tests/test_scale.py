@@ -1,8 +1,12 @@
 """The plans hold their shape: what is shuffled, broadcast and pruned."""
 
-from millrace.plans import relational, sensors, social, web
+from pathlib import Path
+
+import pytest
+
+from millrace.plans import dashboards, relational, rollups, sensors, social, web
 from millrace.registry import QUERIES
-from millrace.session import MAX_SHUFFLE_PARTITIONS, shared_folder, size_shuffles
+from millrace.session import shared_folder, size_shuffles
 
 from conftest import SMALL, plan_of
 
@@ -57,6 +61,27 @@ def test_shuffles_grow_with_the_input(spark):
     try:
         assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
         assert size_shuffles(spark, 10 * 2**40) == 40960
-        assert size_shuffles(spark, 100 * 2**40) == MAX_SHUFFLE_PARTITIONS
+        assert size_shuffles(spark, 100 * 2**40) == 409600
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("plan", [relational.sum_avg_min_max, relational.skew_two_pass, rollups.weekly, dashboards.current_status])
+def test_facts_are_hashed_not_sorted(small_tables, plan):
+    assert "SortAggregate" not in plan_of(plan(small_tables))
+
+
+@pytest.mark.parametrize("plan", [sensors.breach_figures, relational.join_skew])
+def test_breaches_take_one_scan_of_the_fact(small_tables, plan):
+    """The registry and the readings both come from the events table."""
+    apart = plan_of(small_tables.sensor_readings.select("device_id")).count("Scan parquet") + plan_of(small_tables.device_metadata).count("Scan parquet")
+    assert plan_of(plan(small_tables)).count("Scan parquet") <= apart
+
+
+@pytest.mark.parametrize("name", ["q3c_rank_compare", "w_row_number_global", "scan_clf_files", "scan_sensor_csv", "scan_social_csv", "scan_device_csv", "csv_tsv_formats", "dynpart_overwrite"])
+def test_queries_leave_no_files_of_their_own(spark, name):
+    """What is left in the shared folder are Spark's checkpoints (folders with a rdd- inside)."""
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("*"))
+    assert QUERIES[name](spark, SMALL).count() > 0
+    assert all(any(x.name.startswith("rdd-") for x in p.iterdir()) for p in set(folder.glob("*")) - before if p.is_dir())
