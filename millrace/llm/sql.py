@@ -1,5 +1,56 @@
-"""DuckDB SQL of those text queries that SQL can express."""
+"""DuckDB SQL of those text queries that SQL can express.
+
+The others are tested against brute-force versions: shuffles and models have no
+result SQL determines, DuckDB has no XXH64, and the rest is string work on trees.
+"""
 
 from __future__ import annotations
 
+# Texts below hold no lone NUL and DuckDB's regular expressions know no \x in classes of text, hence the escapes.
+BLANKS = r"[\t\n\x0B\f\r ]+"
+
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op1_exact_dedup"] = rf"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{BLANKS}', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY t)"""
+
+ORACLE_SQL["op2_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+w AS (SELECT doc_id, unnest(range(0, length(h) // 2 - 49)) AS s, h FROM d),
+k AS (SELECT doc_id, s, substr(h, 2 * s + 1, 100) AS win FROM w),
+f AS (SELECT win, min(doc_id) AS first_id, max(doc_id) AS last_id FROM k GROUP BY win HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT k.doc_id, k.s, k.s > 50 + max(k.s) OVER (PARTITION BY k.doc_id ORDER BY k.s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap
+      FROM k JOIN f USING (win) WHERE k.doc_id > f.first_id),
+g AS (SELECT doc_id, s, sum(CASE WHEN gap THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM r),
+spans AS (SELECT doc_id, run, min(s) AS a, max(s) + 50 AS b FROM g GROUP BY doc_id, run),
+cut AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS from_here FROM spans),
+kept AS (SELECT c.doc_id, string_agg(substr(h, 2 * from_here + 1, 2 * (a - from_here)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS t,
+                sum(b - a) AS removed, count(*) AS n FROM cut c JOIN d USING (doc_id) GROUP BY c.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(t, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+_ESCAPED = r"""replace(replace({0}, '\', '\\'), '<|', '<\|')"""
+ORACLE_SQL["op3_chat_formatting"] = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+o AS (SELECT *, row_number() OVER seq AS n, role IS DISTINCT FROM lag(role) OVER seq AS fresh FROM c WINDOW seq AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length({_ESCAPED.format("text")}) + CASE WHEN fresh THEN length('<|im_start|>' || replace({_ESCAPED.format("role")}, chr(10), '<\\n')) + 1 + length('<|im_end|>') + 1
+            ELSE length('<|turn|>') END) AS BIGINT) AS formatted_chars
+FROM o GROUP BY conv_id"""
+
+ORACLE_SQL["op8_phrase_dedup"] = rf"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{BLANKS}'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(0, len(w) - 12)) AS s, w FROM d),
+k AS (SELECT doc_id, s, array_to_string(w[s + 1:s + 13], ' ') AS win FROM p),
+f AS (SELECT win, min(doc_id) AS first_id FROM k GROUP BY win HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS i FROM k JOIN f USING (win) WHERE doc_id > first_id),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM d),
+kept AS (SELECT x.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY x.i) AS t FROM x ANTI JOIN r ON x.doc_id = r.doc_id AND x.i = r.i GROUP BY x.doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
