@@ -91,8 +91,8 @@ ZONE_TOTAL = "=== ZONE TOTAL ==="
 DEVICE_TOTAL = "=== DEVICE TOTAL ==="
 
 # Trending score: mentions + 0.1 per like + 0.5 per retweet.
-LIKE_WEIGHT = "0.1"
-RETWEET_WEIGHT = "0.5"
+LIKE_WEIGHT = 0.1
+RETWEET_WEIGHT = 0.5
 
 # Source names of the cross-source summary.
 SOURCE_WEB = "web_traffic"
@@ -102,6 +102,9 @@ SOURCE_SOCIAL = "social_media"
 # Service level targets in percent.
 SLA_TARGETS = {"GOLD": 99.9, "SILVER": 99.5, "BRONZE": 99.0}
 
+# The zone the day plan asks for by name.
+WATCHED_ZONE = "server_room"
+
 # One access log line: ip, ident, user, [time], "request", status, bytes, "referrer", "agent".
 LOG_LINE = (
     r'^([^ ]*)\s+([^ ]*)\s+([^ ]*)\s+\[([^\]]*)\]\s+"([^"]*)"'

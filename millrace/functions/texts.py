@@ -13,16 +13,27 @@ def typed(column: str | Column, kind: str) -> Column:
     return c.try_cast(kind)
 
 
+def _request_part(request: Column, index: int) -> Column:
+    """A blank-separated part of a request line; empty where there is none, NULL for NULL."""
+    parts = F.split(request, r"\s+")
+    there = (F.get(parts, F.lit(0)) != "") & (F.size(parts) > F.lit(max(index, 1)))
+    return F.when(there, F.get(parts, F.lit(index))).when(request.isNotNull(), F.lit(""))
+
+
 def request_method(request: Column) -> Column:
-    return F.regexp_extract(request, r"^(\S+)\s+", 1)
+    return _request_part(request, 0)
 
 
 def request_target(request: Column) -> Column:
-    return F.regexp_extract(request, r"^\S+\s+(\S+)", 1)
+    return _request_part(request, 1)
 
 
 def request_protocol(request: Column) -> Column:
-    return F.regexp_extract(request, r"(HTTP/[\d.]+)$", 1)
+    """The last part, if it names the protocol and its version."""
+    last = F.substring_index(request, " ", -1)
+    version = F.substring(last, 6, 1 << 20)
+    named = F.startswith(last, F.lit("HTTP/")) & (version != "") & (F.translate(version, "0123456789.", "") == "")
+    return F.when(named, last).when(request.isNotNull(), F.lit(""))
 
 
 def target_part(target: Column, index: int) -> Column:

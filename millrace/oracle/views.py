@@ -27,7 +27,10 @@ def padded(prefix: str, number: str) -> str:
     return f"'{prefix}' || CASE WHEN {number} < 100000 THEN lpad(CAST({number} AS VARCHAR), 5, '0') ELSE CAST({number} AS VARCHAR) END"
 
 
-ZONES = "server_room office warehouse boiler_room cold_storage lab"
+def zone(number: str) -> str:
+    """Six zones, the first of which a query asks for by name."""
+    return f"CASE WHEN {number} % 6 = 0 THEN 'server_room' ELSE 'zone-' || ({number}) % 6 END"
+
 
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {}
 
@@ -60,7 +63,7 @@ FROM logs WHERE NOT broken""")
 
 VIEWS["sendings"] = ((), f"""
 SELECT e.event_id + copy * 1000000000 AS reading_id, {padded("SENSOR-", "user_id")} AS device_id,
-       'Building-' || {pick("A B C D E F G H", "user_id % 8")} AS location, {pick(ZONES, "user_id % 6")} AS zone,
+       'site-' || (user_id % 8) AS location, {zone("user_id")} AS zone,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, date_trunc('second', ts) AS timestamp_ts,
        event_id % 200 = 0 AS blank,
        CAST(CAST(value AS DECIMAL(18,2)) * 0.6 - 41.5 AS DECIMAL(18,2)) AS t,
@@ -89,13 +92,13 @@ QUALIFY row_number() OVER (PARTITION BY device_id, ts ORDER BY reading_id) = 1""
 VIEWS["device_metadata"] = ((), f"""
 SELECT {padded("SENSOR-", "(s_suppkey * 2)")} AS device_id, s_name AS device_name, 'M' || (s_suppkey % 7) AS model,
        'v' || (s_suppkey % 3) || '.' || (s_suppkey % 10) AS firmware_version, n_name AS manufacturer,
-       'Building-' || {pick("A B C D E F G H", "s_suppkey * 2 % 8")} AS location, {pick("G 1 2 B1", "s_suppkey % 4")} AS floor,
-       {pick(ZONES, "s_suppkey * 2 % 6")} AS zone,
+       'site-' || (s_suppkey * 2 % 8) AS location, 'level-' || (s_suppkey % 4) AS floor,
+       {zone("s_suppkey * 2")} AS zone,
        CAST(s_suppkey % 90 AS DOUBLE) AS latitude, CAST(s_suppkey % 180 AS DOUBLE) AS longitude,
        DATE '2022-01-01' + CAST(s_suppkey % 365 AS INTEGER) AS install_date,
        DATE '2022-01-01' + CAST(s_suppkey % 365 + 400 AS INTEGER) AS last_maintenance,
        CAST(CASE WHEN s_suppkey % 4 <> 0 THEN s_suppkey * 37 % 101 END AS INTEGER) AS battery_level_pct,
-       {pick("Ethernet WiFi LoRaWAN Zigbee Cellular", "s_suppkey % 5")} AS connectivity,
+       'link-' || (s_suppkey % 5) AS connectivity,
        CAST(3600 * (s_suppkey % 4 + 1) AS INTEGER) AS sampling_interval_sec,
        CAST(s_suppkey % 5 - 20 AS DOUBLE) AS alert_temp_min, CAST(s_suppkey % 5 + 20 AS DOUBLE) AS alert_temp_max,
        CAST(s_suppkey % 5 + 20 AS DOUBLE) AS alert_humidity_min, CAST(s_suppkey % 5 + 80 AS DOUBLE) AS alert_humidity_max,
@@ -109,7 +112,7 @@ SELECT tweet_id, username, user_type, followers, verified, post_ts, post_text, h
        {rnd("CAST(likes + retweets + replies AS DOUBLE) / greatest(impressions, 1)", 6)} AS engagement_rate,
        source, strftime(post_ts, '%Y-%m-%d') AS dt, language
 FROM (SELECT doc_id AS tweet_id, {padded("user_", "(doc_id % 97)")} AS username,
-             {pick("nano micro mid macro mega", "doc_id % 5")} AS user_type, doc_id * 7919 % 100000 AS followers,
+             'group-' || (doc_id % 5) AS user_type, doc_id * 7919 % 100000 AS followers,
              doc_id % 10 = 0 AS verified,
              TIMESTAMP '2024-01-01' + to_days(CAST(doc_id % 30 AS INTEGER)) + to_seconds(doc_id * 37 % 86400) AS post_ts,
              text AS post_text,
@@ -118,7 +121,7 @@ FROM (SELECT doc_id AS tweet_id, {padded("user_", "(doc_id % 97)")} AS username,
              END AS hashtags,
              n_chars AS likes, n_chars // 5 AS retweets, n_chars // 20 AS replies,
              CASE WHEN doc_id % 33 = 0 THEN 0 ELSE n_chars * 10 END AS impressions,
-             lang AS language, (['Web App', 'iPhone', 'Android', 'Scheduler'])[doc_id % 4 + 1] AS source
+             lang AS language, 'client-' || (doc_id % 4) AS source
       FROM documents)""")
 
 VIEWS["mentions"] = (("social_posts",), """

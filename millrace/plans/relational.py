@@ -50,7 +50,7 @@ def null_or_range(t: Tables) -> DataFrame:
 
 
 def equal_not_equal(t: Tables) -> DataFrame:
-    return t.sensor_readings.filter((F.col("status") != V.STATUS_MISSING) & (F.col("zone") == "server_room")).select(
+    return t.sensor_readings.filter((F.col("status") != V.STATUS_MISSING) & (F.col("zone") == V.WATCHED_ZONE)).select(
         "reading_id", "status", "zone"
     )
 

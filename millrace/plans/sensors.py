@@ -127,7 +127,7 @@ def device_health(t: Tables) -> DataFrame:
     )
 
 
-def zone_day_temps(t: Tables, day: str = "2024-01-15", zone: str = "server_room") -> DataFrame:
+def zone_day_temps(t: Tables, day: str = "2024-01-15", zone: str = V.WATCHED_ZONE) -> DataFrame:
     """Mean temperature per device for one day and zone; prunes to one partition."""
     return (
         t.sensor_readings

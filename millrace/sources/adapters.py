@@ -9,18 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions import fixed_values as V
 from ..functions.labels import first_match
 
 RESENT_OFFSET = 1_000_000_000
 
-# Fixed lists of the derived sources.
-ZONES = ["server_room", "office", "warehouse", "boiler_room", "cold_storage", "lab"]
-BUILDINGS = list("ABCDEFGH")
-USER_TYPES = ["nano", "micro", "mid", "macro", "mega"]
-TIERS = ["GOLD", "SILVER", "BRONZE"]
-CLIENTS = ["Web App", "iPhone", "Android", "Scheduler"]
-FLOORS = ["G", "1", "2", "B1"]
-LINKS = ["Ethernet", "WiFi", "LoRaWAN", "Zigbee", "Cellular"]
+TIERS = list(V.SLA_TARGETS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +25,16 @@ def _pick(values: list[str], index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
+def _numbered(prefix: str, index: Column) -> Column:
+    """A made-up name: prefix and number."""
+    return F.concat(F.lit(prefix), index.cast("string"))
+
+
+def _zone(index: Column) -> Column:
+    """Six zones, the first of which a query asks for by name."""
+    return F.when(index % 6 == 0, F.lit(V.WATCHED_ZONE)).otherwise(_numbered("zone-", index % 6))
+
+
 def _padded(number: Column, prefix: str) -> Column:
     """Prefix and the number with five digits at least."""
     text = number.cast("string")
@@ -96,8 +100,8 @@ def raw_sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select(
         F.explode("sends").alias("reading_id"),
         _padded(user, "SENSOR-").alias("device_id"),
-        F.concat(F.lit("Building-"), _pick(BUILDINGS, user % 8)).alias("location"),
-        _pick(ZONES, user % 6).alias("zone"),
+        _numbered("site-", user % 8).alias("location"),
+        _zone(user).alias("zone"),
         "ts",
         F.when(F.col("blank"), F.lit("")).otherwise(t.cast("string")).alias("temperature"),
         F.when(F.col("blank"), F.lit("")).otherwise(h.cast("string")).alias("humidity"),
@@ -120,15 +124,15 @@ def raw_device_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("M"), text(s % 7)).alias("model"),
         F.concat(F.lit("v"), text(s % 3), F.lit("."), text(s % 10)).alias("firmware_version"),
         F.col("n_name").alias("manufacturer"),
-        F.concat(F.lit("Building-"), _pick(BUILDINGS, k % 8)).alias("location"),
-        _pick(FLOORS, s % 4).alias("floor"),
-        _pick(ZONES, k % 6).alias("zone"),
+        _numbered("site-", k % 8).alias("location"),
+        _numbered("level-", s % 4).alias("floor"),
+        _zone(k).alias("zone"),
         text((s % 90).cast("decimal(9,1)")).alias("latitude"),
         text((s % 180).cast("decimal(9,1)")).alias("longitude"),
         text(F.date_add(start, (s % 365).cast("int"))).alias("install_date"),
         text(F.date_add(start, (s % 365 + 400).cast("int"))).alias("last_maintenance"),
         F.when(s % 4 == 0, F.lit("")).otherwise(text(s * 37 % 101)).alias("battery_level_pct"),
-        _pick(LINKS, s % 5).alias("connectivity"),
+        _numbered("link-", s % 5).alias("connectivity"),
         text(F.lit(3600) * (s % 4 + 1)).alias("sampling_interval_sec"),
         text((s % 5 - 20).cast("decimal(9,1)")).alias("alert_temp_min"),
         text((s % 5 + 20).cast("decimal(9,1)")).alias("alert_temp_max"),
@@ -152,7 +156,7 @@ def raw_social_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         text(i).alias("tweet_id"),
         _padded(i % 97, "user_").alias("username"),
-        _pick(USER_TYPES, i % 5).alias("user_type"),
+        _numbered("group-", i % 5).alias("user_type"),
         text(i * 7919 % 100000).alias("followers"),
         F.when(i % 10 == 0, F.lit("True")).otherwise(F.lit("False")).alias("verified"),
         F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("ts"),
@@ -163,5 +167,5 @@ def raw_social_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         text(_floor_div(n, 20)).alias("replies"),
         F.when(i % 33 == 0, F.lit("0")).otherwise(text(n * 10)).alias("impressions"),
         F.col("lang").alias("language"),
-        _pick(CLIENTS, i % 4).alias("source"),
+        _numbered("client-", i % 4).alias("source"),
     )
