@@ -14,3 +14,20 @@ def bucket_sample(df: DataFrame, column: str, bucket: int, of: int) -> DataFrame
     if not 1 <= bucket <= of:
         raise ValueError("bucket must be between 1 and the number of buckets")
     return df.filter(F.pmod(F.hash(column), F.lit(of)) == bucket - 1)
+
+
+def digest_sample(df: DataFrame, column: str, bucket: int, of: int) -> DataFrame:
+    """The rows of one bucket by the leading 32 bits of the MD5 of ``column``; NULL is in none."""
+    if not 1 <= bucket <= of:
+        raise ValueError("bucket must lie between 1 and of")
+    leading = F.conv(F.substring(F.md5(F.col(column).cast("string")), 1, 8), 16, 10).cast("bigint")
+    return df.filter(leading % of == bucket - 1)
+
+
+def sampled(df: DataFrame, k: int) -> DataFrame:
+    """One row about any k rows of ``df``: ``sampled`` and ``found``, those that the table holds."""
+    some = df.limit(k).withColumn("_whole", F.struct(*df.columns))
+    held = F.broadcast(some.select("_whole").distinct())  # k rows
+    found = df.select(F.struct(*df.columns).alias("_row")).join(held, F.col("_row").eqNullSafe(F.col("_whole")), "left_semi").distinct()
+    number = some.join(F.broadcast(found), F.col("_whole").eqNullSafe(F.col("_row")), "left")
+    return number.agg(F.count(F.lit(1)).alias("sampled"), F.count("_row").alias("found"))

@@ -7,30 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-# Up to this k the candidates of all tasks may meet in one task.
-NARROW_K = 100
-GROUPS = 64
-
-# monotonically_increasing_id counts the rows of a task in its lower 33 bits.
-_ROW_IN_TASK = (1 << 33) - 1
-
-
-def _first_per_task(df: DataFrame, k: int, order: Sequence[Column | str]) -> DataFrame:
-    """The first k rows of every task, without a shuffle."""
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_TASK))
-    return df.sortWithinPartitions(*order).withColumn("_place", place).filter(F.col("_place") < k).drop("_place")
-
+def top(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
+    """The first k rows in an order without ties; every task keeps k rows at most, so nothing is sorted in full."""
+    return df.orderBy(*order).limit(k)
 
-def top(df: DataFrame, k: int, *order: Column | str, spread: Sequence[str] = ()) -> DataFrame:
-    """The first k rows in an order without ties.
 
-    Every task keeps k rows at most, so nothing is sorted in full. For a long
-    list over many tasks even those are too many for one task: with ``spread``
-    (columns of many values) they first meet in groups that keep k rows each.
-    """
-    if k > NARROW_K and spread:
-        df = _first_per_task(_first_per_task(df, k, order).repartition(GROUPS, *spread), k, order)
-    return df.orderBy(*order).limit(k)
+def top_wide(df: DataFrame, k: int, key: str, *order: Column | str) -> DataFrame:
+    """The same for wide rows with a unique ``key``: only the order and the key are ranked, then k rows are fetched."""
+    leaders = top(df, k, *order).select(F.col(key).alias("_leader"))
+    # Broadcast: k keys.
+    return df.join(F.broadcast(leaders), F.col(key) == F.col("_leader"), "left_semi").orderBy(*order)
 
 
 def keep_top_keys(df: DataFrame, key: str, measure: str, k: int) -> DataFrame:

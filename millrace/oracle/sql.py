@@ -407,7 +407,10 @@ SELECT sla_tier, {when(TEMP_BREACH)} AS temp_breaches, {when(HUMIDITY_BREACH)} A
 SQL["topk_in_subquery"] = ((TAGS,), f"""
 SELECT hashtag, count(*) AS days, {big("sum(total_likes)")} AS likes FROM trending_hashtags_daily
 WHERE hashtag IN {TOP_FIVE} GROUP BY hashtag""")
-SQL["join_semi_topk"] = SQL["topk_in_subquery"]
+SQL["join_semi_topk"] = ((SENSORS, DEVICES), """
+SELECT device_id, count(*) AS readings, max(timestamp_ts) AS last_ts FROM sensor_readings
+WHERE device_id IN (SELECT device_id FROM device_metadata WHERE battery_level_pct IS NOT NULL ORDER BY battery_level_pct, device_id LIMIT 5)
+GROUP BY device_id""")
 
 # -- aggregates ---------------------------------------------------------
 
@@ -416,6 +419,8 @@ SQL["agg_groupby_expr"] = ((DAILY,), f"SELECT {WEEK}, {big('sum(total_readings)'
 SQL["agg_count_star_col"] = ((SENSORS,), """
 SELECT zone, count(*) AS all_rows, count(temperature) AS with_temperature FROM sensor_readings GROUP BY zone""")
 SQL["agg_count_distinct"] = ((WEB,), "SELECT dt, count(DISTINCT client_ip) AS unique_ips FROM web_traffic GROUP BY dt")
+SQL["agg_count_distinct_estimate"] = ((WEB,), """
+SELECT dt, count(DISTINCT client_ip) AS unique_ips, TRUE AS estimate_is_near FROM web_traffic GROUP BY dt""")
 SQL["agg_sum_avg_min_max"] = ((WEB,), f"""
 SELECT http_method, {big("sum(response_bytes)")} AS sum_bytes, {rnd("avg(response_bytes)", 4)} AS avg_bytes,
        min(request_ts) AS first_ts, max(request_ts) AS last_ts, min(dt) AS first_dt, max(dt) AS last_dt
@@ -471,6 +476,10 @@ SQL["sort_nulls_last"] = ((DEVICES,), """
 SELECT device_id, battery_level_pct, row_number() OVER (ORDER BY battery_level_pct NULLS LAST, device_id) AS place FROM device_metadata""")
 SQL["sort_default_nulls"] = ((DEVICES,), """
 SELECT device_id, battery_level_pct, row_number() OVER (ORDER BY battery_level_pct NULLS FIRST, device_id) AS place FROM device_metadata""")
+SQL["limit_sample"] = ((WEB,), "SELECT least(count(*), 5) AS sampled, least(count(*), 5) AS found FROM web_traffic")
+SQL["chk_weblog_sample"] = ((LOGS,), "SELECT least(count(*), 5) AS sampled, least(count(*), 5) AS found FROM logs")
+SQL["bucket_sample"] = ((WEB,), """
+SELECT client_ip, count(*) AS requests FROM web_traffic WHERE CAST('0x' || substr(md5(client_ip), 1, 8) AS BIGINT) % 32 = 0 GROUP BY client_ip""")
 SQL["topk"] = ((WEB,), f"""
 SELECT client_ip, {big("sum(response_bytes)")} AS total_bytes FROM web_traffic GROUP BY client_ip
 ORDER BY total_bytes DESC, client_ip LIMIT 15""")

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.measures import rows
+from ..operators.sampling import sampled
 from ..operators.toplists import top
 from ..tables import Tables
 
 
 def log_sample(raw_logs: DataFrame, k: int = 5) -> DataFrame:
-    """Some parsed log rows, in no particular order."""
-    return raw_logs.select("client_ip", "raw_timestamp", "http_request", "http_status", "response_bytes").limit(k)
+    """Some parsed log rows, in no particular order: how many come, and how many of them the table holds."""
+    return sampled(raw_logs.select("client_ip", "raw_timestamp", "http_request", "http_status", "response_bytes"), k)
 
 
 def status_counts(raw_readings: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions.labels import day_name, first_match, humidity_breach, no_readin
 from ..functions.measures import count_where, half_up, mean, percent, rows
 from ..functions.texts import hashtag_tokens, log_time
 from ..operators.ranking import number_rows, rank_by_measure
-from ..operators.sampling import bucket_sample
+from ..operators.sampling import digest_sample, sampled
 from ..operators.skew import skew_join, two_pass_groupby
 from ..operators.toplists import keep_top_keys, top
 from ..tables import Tables
@@ -200,8 +200,11 @@ def count_distinct(t: Tables) -> DataFrame:
 
 
 def count_distinct_estimate(t: Tables) -> DataFrame:
-    """The estimate offered beside the exact count; never the default."""
-    return t.web_traffic.groupBy("dt").agg(F.approx_count_distinct("client_ip", 0.02).alias("unique_ips_estimate"))
+    """The exact count, and whether the estimate offered beside it lies within three of its standard errors."""
+    error = 0.02
+    exact, estimate = F.countDistinct("client_ip"), F.approx_count_distinct("client_ip", error)
+    near = F.abs(estimate - exact) <= F.greatest(exact * (3 * error), F.lit(1.0))
+    return t.web_traffic.groupBy("dt").agg(exact.alias("unique_ips"), near.alias("estimate_is_near"))
 
 
 def sum_avg_min_max(t: Tables) -> DataFrame:
@@ -356,9 +359,16 @@ def topk_in_subquery(t: Tables) -> DataFrame:
     return kept.groupBy("hashtag").agg(rows().alias("days"), F.sum("total_likes").alias("likes"))
 
 
+def semi_topk(t: Tables) -> DataFrame:
+    """Readings of the five devices with the emptiest batteries: rows of one table kept by keys of another."""
+    weakest = top(t.device_metadata.filter("battery_level_pct is not null").select("device_id", "battery_level_pct"), 5, "battery_level_pct", "device_id")
+    kept = t.sensor_readings.join(F.broadcast(weakest.select("device_id")), "device_id", "left_semi")  # five keys
+    return kept.groupBy("device_id").agg(rows().alias("readings"), F.max("timestamp_ts").alias("last_ts"))
+
+
 def limit_sample(t: Tables, k: int = 5) -> DataFrame:
-    """Any k rows."""
-    return t.web_traffic.select("client_ip", "url_path", "http_status").limit(k)
+    """Any k rows: how many come, and how many of them the table holds."""
+    return sampled(t.web_traffic.select("client_ip", "url_path", "http_status"), k)
 
 
 # -- sets, samples, scalars --------------------------------------------
@@ -374,8 +384,8 @@ def union_all(t: Tables) -> DataFrame:
 
 
 def client_bucket(t: Tables) -> DataFrame:
-    """Requests of the visitors in bucket 1 of 32."""
-    return bucket_sample(t.web_traffic, "client_ip", 1, 32).groupBy("client_ip").agg(rows().alias("requests"))
+    """Requests of the visitors in bucket 1 of 32, by a digest that any engine has."""
+    return digest_sample(t.web_traffic, "client_ip", 1, 32).groupBy("client_ip").agg(rows().alias("requests"))
 
 
 def log_fields(raw_logs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions.labels import (
 )
 from ..functions.measures import count_where, half_up, mean, percent, rows
 from ..operators.skew import skew_join
-from ..operators.toplists import top
+from ..operators.toplists import top_wide
 from ..tables import Tables
 
 
@@ -63,9 +63,7 @@ def threshold_alerts(
         "connectivity", "sampling_interval_sec", "alert_temp_min", "alert_temp_max",
         "alert_humidity_min", "alert_humidity_max",
     )
-    leading = top(
-        readings.join(devices, "device_id"), k, "sla_tier", F.desc("timestamp_ts"), "reading_id", spread=["reading_id"]
-    )
+    leading = top_wide(readings.join(devices, "device_id"), k, "reading_id", "sla_tier", F.desc("timestamp_ts"), "reading_id")
     return leading.select(
         "device_id", "device_name", "manufacturer", "model", "zone", "location", "floor", "sla_tier",
         "connectivity", "sampling_interval_sec", "timestamp_ts", "temperature", "humidity", "status",
@@ -189,7 +187,7 @@ def daily_device_report(t: Tables) -> DataFrame:
 
 def anomaly_rows(t: Tables, k: int = 10000) -> DataFrame:
     """The first anomalous readings by id, all columns."""
-    return top(t.sensor_readings.filter(F.col("status") == V.STATUS_ANOMALY), k, "reading_id", spread=["reading_id"])
+    return top_wide(t.sensor_readings.filter(F.col("status") == V.STATUS_ANOMALY), k, "reading_id", "reading_id")
 
 
 def anomalies_with_device(t: Tables) -> DataFrame:

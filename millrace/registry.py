@@ -142,7 +142,7 @@ TABLE_PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "join_common_shuffle": rel.join_shuffle,
     "join_skew": rel.join_skew,
     "join_inequality_post": rel.join_inequality,
-    "join_semi_topk": rel.topk_in_subquery,
+    "join_semi_topk": rel.semi_topk,
     # aggregates
     "agg_hash_groupby": rel.hash_groupby,
     "agg_groupby_expr": rel.groupby_expression,

@@ -43,10 +43,10 @@ def sensor_readings(raw: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 
 def hourly_states(raw: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Readings and anomalies per zone and hour; an hour is final once ``delay`` has passed."""
+    """Readings, each counted once, and anomalies per zone and hour; an hour is final once ``delay`` has passed."""
     timed = curate.keyed_readings(raw).withColumn("event_time", F.col("ts").try_cast("timestamp"))
     return (
-        timed.withWatermark("event_time", delay)
+        timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["device_id", "ts"])
         .groupBy(F.window("event_time", "1 hour").alias("hour"), "zone")
         .agg(rows().alias("readings"), count_where(F.col("status") == V.STATUS_ANOMALY).alias("anomalies"))
         .select(F.col("hour.start").alias("hour_start"), "zone", "readings", "anomalies")

@@ -10,7 +10,7 @@ from millrace.operators.profiling import column_cardinality, column_profile
 from millrace.operators.ranking import number_rows, rank_by_measure
 from millrace.operators.sampling import bucket_sample
 from millrace.operators.skew import skew_join, two_pass_groupby
-from millrace.operators.toplists import keep_top_keys, top
+from millrace.operators.toplists import keep_top_keys, top_wide
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -103,8 +103,7 @@ def test_top_keys_with_equal_sums_go_by_key(spark):
 @pytest.mark.parametrize("k", [1, 150, 900, 5000])
 def test_long_top_lists_are_exact(spark, k):
     df = spark.range(0, 3000, 1, 11).select((F.col("id") * 7919 % 3001).alias("v"), (F.col("id") % 3).alias("g"))
-    mine = top(df, k, "g", F.desc("v"), spread=["v"])
-    assert mine.collect() == df.orderBy("g", F.desc("v")).limit(k).collect()
+    assert top_wide(df, k, "v", "g", F.desc("v")).collect() == df.orderBy("g", F.desc("v")).limit(k).collect()
 
 
 def test_buckets_part_the_table(skewed):
