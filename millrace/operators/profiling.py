@@ -33,3 +33,11 @@ def column_cardinality(df: DataFrame, columns: Sequence[str], rsd: float = 0.02)
     """Estimated number of distinct values per column."""
     figures = [F.approx_count_distinct(c, rsd).alias(f"approx_distinct_{i}") for i, c in enumerate(columns)]
     return _unpivot(df.agg(*figures), columns, ["approx_distinct"])
+
+
+def checked_cardinality(df: DataFrame, columns: Sequence[str], rsd: float = 0.02) -> DataFrame:
+    """Exact distinct values per column, and whether the estimate lies within three of its standard errors."""
+    exact = df.agg(*[F.countDistinct(c).alias(f"distinct_values_{i}") for i, c in enumerate(columns)])
+    both = _unpivot(exact, columns, ["distinct_values"]).join(column_cardinality(df, columns, rsd), "column_name")
+    near = F.abs(F.col("approx_distinct") - F.col("distinct_values")) <= F.greatest(F.col("distinct_values") * (3 * rsd), F.lit(1.0))
+    return both.select("column_name", "distinct_values", near.alias("estimate_is_near"))

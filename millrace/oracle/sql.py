@@ -354,6 +354,11 @@ SQL["column_profile"] = ((SENSORS,), "\nUNION ALL ".join(
     profile(c) for c in ("device_id", "temperature", "humidity", "status", "data_quality_score")
 ))
 
+SQL["column_cardinality"] = ((SENSORS,), "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, TRUE AS estimate_is_near FROM sensor_readings"
+    for c in ("device_id", "temperature", "humidity", "status", "data_quality_score")
+))
+
 # -- projections and filters --------------------------------------------
 
 SQL["p_select_alias"] = ((WEB,), "SELECT client_ip AS visitor, url_path AS page, http_status FROM web_traffic")

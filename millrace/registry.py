@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions.measures import half_up
-from .operators.profiling import column_cardinality, column_profile
+from .operators.profiling import checked_cardinality, column_profile
 from .plans import checks, curate, dashboards, relational as rel, rollups, roundtrips, sensors, social, web
 from .sources import adapters, raw
 from .tables import Tables, derived_tables
@@ -114,7 +114,7 @@ TABLE_PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "p_ip_region": dashboards.ip_regions,
     # profiles and samples
     "column_profile": lambda t: column_profile(t.sensor_readings, PROFILE_COLUMNS),
-    "column_cardinality": lambda t: column_cardinality(t.sensor_readings, PROFILE_COLUMNS),
+    "column_cardinality": lambda t: checked_cardinality(t.sensor_readings, PROFILE_COLUMNS),
     "bucket_sample": rel.client_bucket,
     # projections and filters
     "p_select_alias": rel.select_alias,
