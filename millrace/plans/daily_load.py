@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import size_shuffles
 from ..sources import catalog, raw
-from ..sources.sinks import csv_export, in_parallel, overwrite_table
+from ..sources.sinks import csv_export, folder_bytes, in_parallel, overwrite_table
 from ..tables import Tables, catalog_tables
 from . import curate, rollups, sensors, social, web
 
@@ -40,19 +40,30 @@ def landing_zone(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def load(spark: SparkSession, sources: dict[str, DataFrame], database: str = catalog.PROCESSED_DB) -> None:
-    """Load the given sources, then the daily summaries that rest on them."""
+def load(
+    spark: SparkSession, sources: dict[str, DataFrame], database: str = catalog.PROCESSED_DB,
+    days: tuple[str, str] | None = None,
+) -> None:
+    """Load the given sources, then the daily summaries that rest on them.
+
+    ``days`` (first and last, as texts) limits tables with days to these. The
+    other days stay as they are: a nightly load writes its own days only, and
+    days that retention dropped stay away.
+    """
+    def within(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("dt").between(*days)) if days and "dt" in df.columns else df
+
     in_parallel([
-        lambda name=name, df=df: overwrite_table(STEPS[name](df), name, database) for name, df in sources.items()
+        lambda name=name, df=df: overwrite_table(within(STEPS[name](df)), name, database) for name, df in sources.items()
     ])
     stored = catalog_tables(spark, database)
     summaries = []
     if "sensor_readings" in sources:
         summaries.append(lambda: overwrite_table(
-            curate.sensor_daily_summary(stored.sensor_readings), "sensor_daily_summary", database))
+            curate.sensor_daily_summary(within(stored.sensor_readings)), "sensor_daily_summary", database))
     if "social_posts" in sources:
         summaries.append(lambda: overwrite_table(
-            curate.trending_hashtags_daily(stored.social_posts), "trending_hashtags_daily", database))
+            curate.trending_hashtags_daily(within(stored.social_posts)), "trending_hashtags_daily", database))
     in_parallel(summaries)
 
 
@@ -64,16 +75,19 @@ def export_reports(tables: Tables, output_root: str) -> dict[str, int]:
     }
 
 
-def run(spark: SparkSession, root: str, input_bytes: int | None = None) -> dict[str, int]:
+def run(
+    spark: SparkSession, root: str, input_bytes: int | None = None, days: tuple[str, str] | None = None,
+) -> dict[str, int]:
     """Databases, tables, load, statistics and reports under one root folder.
 
-    ``input_bytes`` is the size of the landing zone; it sets the width of the shuffles.
+    ``input_bytes``, by default the size of the landing zone, sets the width of
+    the shuffles; ``days`` as in ``load``.
     """
-    if input_bytes is not None:
-        size_shuffles(spark, input_bytes)
+    size_shuffles(spark, folder_bytes(spark, f"{root}/raw") if input_bytes is None else input_bytes)
     catalog.create_databases(spark, root)
     catalog.create_raw_tables(spark, root)
     catalog.create_processed_tables(spark)
-    load(spark, landing_zone(spark, root))
+    load(spark, landing_zone(spark, root), days=days)
     catalog.analyze_all(spark)
+    catalog.analyze_raw(spark)
     return export_reports(catalog_tables(spark), f"{root}/output")

@@ -14,6 +14,7 @@ from ..sources.sinks import staged
 
 SMALL_FILE_BYTES = 16 * 1024 * 1024
 RETENTION_DAYS = 90
+DROPPED_AT_ONCE = 500
 
 
 def partition_files(spark: SparkSession, table: str, spec: dict[str, str]) -> tuple[int, int]:
@@ -82,7 +83,7 @@ def prune_partitions(
         .filter((F.col("dt") != "") & (F.col("dt").try_cast("date") < limit))
         .collect()  # partition names only
     )
-    if old:
-        clauses = ", ".join(_partition_clause(r["partition"]) for r in old)
+    for at in range(0, len(old), DROPPED_AT_ONCE):
+        clauses = ", ".join(_partition_clause(r["partition"]) for r in old[at:at + DROPPED_AT_ONCE])
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
     return sorted({r["dt"] for r in old})

@@ -70,6 +70,12 @@ def staging_folder(spark: SparkSession, kind: str) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """The size of all files below a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
 @contextmanager
 def staged(df: DataFrame) -> Iterator[DataFrame]:
     """Write a result once to the shared folder and go on from the files.

@@ -214,10 +214,10 @@ def test_multi_insert(spark, database, small_tables):
 
 def test_compaction_keeps_the_rows(spark, database, small_tables):
     readings = small_tables.sensor_readings
-    spec = {"dt": "2024-01-03", "zone": "lab"}
+    spec = {"dt": "2024-01-03", "zone": "zone-5"}
     sinks.overwrite_table(readings, "sensor_readings", database)
     table = f"{database}.sensor_readings"
-    day = readings.filter("dt = '2024-01-03' and zone = 'lab'").select(*schemas.PROCESSED["sensor_readings"].names)
+    day = readings.filter("dt = '2024-01-03' and zone = 'zone-5'").select(*schemas.PROCESSED["sensor_readings"].names)
     day.repartition(4).write.insertInto(table)  # small files beside those there
     files, _ = upkeep.partition_files(spark, table, spec)
     assert upkeep.compact_partition(spark, "sensor_readings", spec, database)
@@ -279,3 +279,18 @@ def test_finest_grain_adds_up_to_the_total(small_tables):
     (total,) = [r for r in rows if r.date_key == "ALL_DATES"]
     assert sum(r.total_readings for r in fine) == total.total_readings
     assert sum(r.total_anomalies for r in fine) == total.total_anomalies
+
+
+def test_loading_one_day_leaves_the_others(spark, loaded):
+    root, _ = loaded
+    table = "processed_db.web_traffic"
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (dt = '2024-01-03')")
+    before = spark.table(table).filter("dt <> '2024-01-05'").groupBy("dt").count().collect()
+    one_day = spark.table(table).filter("dt = '2024-01-05'").count()
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (dt = '2024-01-05')")
+    daily_load.load(spark, {"web_traffic": daily_load.landing_zone(spark, root)["web_traffic"]}, days=("2024-01-05", "2024-01-05"))
+    after = spark.table(table).groupBy("dt").count()
+    assert sorted(after.filter("dt <> '2024-01-05'").collect()) == sorted(before)
+    assert after.filter("dt = '2024-01-05'").first()["count"] == one_day
+    assert after.filter("dt = '2024-01-03'").isEmpty()
+    daily_load.load(spark, {"web_traffic": daily_load.landing_zone(spark, root)["web_traffic"]}, days=("2024-01-03", "2024-01-03"))
