@@ -123,7 +123,10 @@ def _windows(batch: _Batch, hit: np.ndarray, window: int) -> np.ndarray:
     return batch.whole[low[batch.whole] == batch.low[batch.whole]]
 
 
-_SENT = "key long, check int, id long, start int, words int"
+# ``mark`` holds the second 32 bits of a window's hash and its start (of a removed run:
+# its words and start), ``what`` the id and the kind of the row.
+_SENT = "key long, mark long, what long"
+_WINDOW, _SEVERAL, _RUN = 0, 1, 2
 
 
 def _compare(window: int, phrase: int, shared: int):
@@ -151,16 +154,19 @@ def _compare(window: int, phrase: int, shared: int):
                 # Runs end with their text.
                 starts, sizes = runs_of(gone)
                 starts, sizes = _cut(starts, sizes, batch.starts)
+                # One row for a window of the first document, however often it has it.
                 first = order[d == lead]
                 place = at[first]
                 row, run_row = batch.row[place], batch.row[starts] if len(starts) else np.zeros(0, np.int64)
+                own = np.flatnonzero(np.concatenate([[True], (key[first][1:] != key[first][:-1]) | (check[first][1:] != check[first][:-1]) | (row[1:] != row[:-1])])) if len(first) else np.zeros(0, np.int64)
+                several = np.diff(np.append(own, len(first))) > 1
+                first, place, row = first[own], place[own], row[own]
                 with np.errstate(over="ignore"):
                     apart = mixed(ids[run_row].astype(np.uint64) * TOP + starts.astype(np.uint64)).view(np.int64)
                 yield pd.DataFrame({
-                    "key": np.concatenate([key[first].view(np.int64), apart]), "check": np.concatenate([check[first], np.zeros(len(starts), np.int32)]),
-                    "id": np.concatenate([ids[row], ids[run_row]]),
-                    "start": np.concatenate([place - batch.starts[row], starts - batch.starts[run_row]]).astype(np.int32),
-                    "words": np.concatenate([np.zeros(len(first), np.int32), sizes.astype(np.int32)]),
+                    "key": np.concatenate([key[first].view(np.int64), apart]),
+                    "mark": np.concatenate([check[first].astype(np.int64) << 32 | (place - batch.starts[row]), sizes << 32 | (starts - batch.starts[run_row])]),
+                    "what": np.concatenate([ids[row] * 4 + np.where(several, _SEVERAL, _WINDOW), ids[run_row] * 4 + _RUN]),
                 })
 
     return each
@@ -179,6 +185,16 @@ def _cut(starts: np.ndarray, sizes: np.ndarray, bounds: np.ndarray) -> tuple[np.
     return points, np.minimum(following, ends[run]) - points
 
 
+def _every(words: list[bytes], starts: np.ndarray, sizes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of size zero stand for all windows with the same words."""
+    several = starts[sizes == 0]
+    if not len(several):
+        return starts, sizes
+    keys = gram_hashes(_tokens(words), window)
+    found = np.flatnonzero(np.isin(keys, keys[several]))
+    return np.concatenate([starts[sizes > 0], found]), np.concatenate([sizes[sizes > 0], np.full(len(found), window)])
+
+
 def _finish(window: int):
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -186,7 +202,8 @@ def _finish(window: int):
             for text, starts, sizes in zip(rows["text"], rows["starts"], rows["sizes"], strict=True):
                 words = words_of(text)
                 if starts is not None and len(starts):
-                    gone = covered(np.asarray(starts, np.int64), np.asarray(sizes, np.int64), len(words))
+                    starts, sizes = _every(words, np.asarray(starts, np.int64), np.asarray(sizes, np.int64), window)
+                    gone = covered(starts, sizes, len(words))
                     kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 else:
                     kept = words
@@ -198,14 +215,20 @@ def _finish(window: int):
 
 
 def removed_spans(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
-    """id, text, starts, sizes: the spans of words to remove from each document."""
+    """doc_id, text, starts, sizes: the spans of words to remove from each document.
+
+    A span of size zero stands for all windows of the document with the words of the one at its start.
+    """
     rows, shared = with_ids(docs)
     hs = recurring(rows, _anchors(window, phrase), _CHARS_AT_ONCE)
     sent = rows.join(hs, "id").mapInPandas(_compare(window, phrase, shared), _SENT)
     doc = F.expr(f"id div {shared}")
-    judged = sent.withColumn("lead", F.min(doc).over(Window.partitionBy("key", "check")))
-    gone = judged.filter((F.col("words") > 0) | (doc > F.col("lead")))
-    spans = gone.select("id", "start", F.when(F.col("words") > 0, F.col("words")).otherwise(window).alias("size"))
+    kind, upper = F.col("what").bitwiseAND(F.lit(3)), F.shiftright("mark", 32)
+    opened = sent.repartition("key").select("key", upper.alias("upper"), F.col("mark").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("start"), F.shiftright("what", 2).alias("id"), kind.alias("kind"))
+    judged = opened.withColumn("lead", F.min(doc).over(Window.partitionBy("key", "upper")))
+    gone = judged.filter((F.col("kind") == _RUN) | (doc > F.col("lead")))
+    size = F.when(F.col("kind") == _RUN, F.col("upper")).when(F.col("kind") == _SEVERAL, 0).otherwise(window)
+    spans = gone.select("id", "start", size.cast("int").alias("size"))
     per_doc = spans.groupBy("id").agg(F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes"))
     found = rows.join(per_doc, "id", "left")
     number = F.expr(f"id div {shared}")
