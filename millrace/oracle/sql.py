@@ -540,6 +540,17 @@ SQL["scan_device_csv"] = SQL["etl_device_metadata"]
 SQL["dynpart_overwrite"] = ((WEB,), """
 SELECT client_ip, http_status, response_bytes, request_ts, dt FROM web_traffic WHERE dt <> '2024-01-15' OR http_status < 400""")
 SQL["csv_tsv_formats"] = SQL["x1_hourly_traffic"]
+for _name in ("web_traffic", "sensor_readings", "social_posts", "device_metadata", "sensor_daily_summary", "trending_hashtags_daily"):
+    SQL[f"write_{_name}"] = SQL[f"etl_{_name}"]
+SQL["full_overwrite"] = SQL["etl_device_metadata"]
+SQL["multi_insert"] = ((SENSORS, DAILY), """
+SELECT dt, readings, coalesce(summaries, 0) AS summaries FROM (SELECT dt, count(*) AS readings FROM sensor_readings GROUP BY dt)
+LEFT JOIN (SELECT dt, count(*) AS summaries FROM sensor_daily_summary GROUP BY dt) USING (dt)""")
+SQL["delimited_dir_sink"] = SQL["x1_hourly_traffic"]
+SQL["archive_snapshot"] = SQL["scan_clf"]
+SQL["compact_partition"] = SQL["etl_sensor_readings"]
+SQL["retention_prune"] = ((WEB,), "SELECT * FROM web_traffic WHERE dt >= '2024-01-10'")
+SQL["join_smb_bucket"] = SQL["join_map_broadcast"]
 
 
 def all_sql() -> dict[str, str]:

@@ -6,12 +6,17 @@ drops a checkpoint when nothing refers to it any more.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from ..session import checkpointed
-from ..sources import raw, sinks
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..functions.measures import rows
+from ..session import bucketed_scans, checkpointed
+from ..sources import catalog, raw, sinks
 from ..tables import Tables
-from . import web
+from . import curate, upkeep, web
 
 
 def log_files(lines: DataFrame) -> DataFrame:
@@ -57,3 +62,99 @@ def tsv_report(t: Tables) -> DataFrame:
     with sinks.staging_folder(report.sparkSession, "report") as path:
         sinks.csv_export(report, path, sep="\t")
         return checkpointed(report.sparkSession.read.schema(report.schema).option("header", True).option("sep", "\t").csv(path))
+
+
+# -- tables ------------------------------------------------------------
+
+
+@contextmanager
+def _scratch(spark: SparkSession) -> Iterator[str]:
+    """A database with empty processed tables; it goes when the block ends."""
+    name = f"scratch_{uuid.uuid4().hex[:12]}"
+    with sinks.staging_folder(spark, "tables") as folder:
+        catalog.create_database(spark, name, folder, "round trip", {"layer": "scratch"})
+        try:
+            catalog.create_processed_tables(spark, name)
+            yield name
+        finally:
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def plain_dates(devices: DataFrame) -> DataFrame:
+    return devices.withColumns({c: F.col(c).cast("string") for c in ("install_date", "last_maintenance")})
+
+
+def written_table(t: Tables, name: str) -> DataFrame:
+    """A processed table written by its layout and read back."""
+    df = getattr(t, name)
+    with _scratch(df.sparkSession) as database:
+        sinks.overwrite_table(df, name, database)
+        return checkpointed(df.sparkSession.table(f"{database}.{name}"))
+
+
+def replaced_registry(t: Tables) -> DataFrame:
+    """The device registry written over one that held half of it."""
+    df = t.device_metadata
+    with _scratch(df.sparkSession) as database:
+        sinks.overwrite_table(df.filter("active"), "device_metadata", database)
+        sinks.overwrite_table(df, "device_metadata", database)
+        return checkpointed(plain_dates(df.sparkSession.table(f"{database}.device_metadata")))
+
+
+def several_tables(t: Tables) -> DataFrame:
+    """Readings and their summary from one source computed once; rows of both tables by day."""
+    spark = t.sensor_readings.sparkSession
+    with _scratch(spark) as database:
+        sinks.multi_insert(
+            t.sensor_readings, [(lambda df: df, "sensor_readings"), (curate.sensor_daily_summary, "sensor_daily_summary")], database)
+        readings = spark.table(f"{database}.sensor_readings").groupBy("dt").agg(rows().alias("readings"))
+        summaries = spark.table(f"{database}.sensor_daily_summary").groupBy("dt").agg(rows().alias("summaries"))
+        return checkpointed(readings.join(summaries, "dt", "left").fillna(0, ["summaries"]))
+
+
+def delimited_report(t: Tables) -> DataFrame:
+    """The hourly traffic report without header or compression, read back."""
+    report = web.hourly_path_status(t)
+    with sinks.staging_folder(report.sparkSession, "delimited") as path:
+        sinks.delimited_folder(report, path)
+        return checkpointed(report.sparkSession.read.schema(report.schema).csv(path))
+
+
+def archived_logs(lines: DataFrame) -> DataFrame:
+    """Log files archived under a day and scanned there."""
+    spark = lines.sparkSession
+    with sinks.staging_folder(spark, "archive") as path:
+        lines.write.text(f"{path}/web")
+        return checkpointed(raw.scan_clf(spark, sinks.archive_snapshot(spark, f"{path}/web", f"{path}/old", "2024-01-31", "web_logs")))
+
+
+def compacted_readings(t: Tables, day: str = "2024-01-03", zone: str = "zone-5") -> DataFrame:
+    """Readings with one partition in small files, compacted: the rows stay."""
+    spark = t.sensor_readings.sparkSession
+    with _scratch(spark) as database:
+        table = f"{database}.sensor_readings"
+        sinks.overwrite_table(t.sensor_readings, "sensor_readings", database)
+        part = checkpointed(spark.table(table).filter((F.col("dt") == day) & (F.col("zone") == zone)))
+        part.repartition(8).write.insertInto(table, overwrite=True)
+        upkeep.compact_partition(spark, "sensor_readings", {"dt": day, "zone": zone}, database)
+        return checkpointed(spark.table(table))
+
+
+def pruned_traffic(t: Tables, as_of: str = "2024-01-20", days: int = 10) -> DataFrame:
+    """Web traffic without the days that retention drops."""
+    spark = t.web_traffic.sparkSession
+    with _scratch(spark) as database:
+        sinks.overwrite_table(t.web_traffic, "web_traffic", database)
+        upkeep.prune_partitions(spark, "web_traffic", as_of, database, days)
+        return checkpointed(spark.table(f"{database}.web_traffic"))
+
+
+def bucketed_join(t: Tables) -> DataFrame:
+    """Readings per tier from two tables bucketed alike, joined without a shuffle."""
+    spark = t.sensor_readings.sparkSession
+    with _scratch(spark) as database:
+        for name, df in (("facts", t.sensor_readings.select("device_id")), ("dims", t.device_metadata.select("device_id", "sla_tier"))):
+            df.write.bucketBy(16, "device_id").sortBy("device_id").saveAsTable(f"{database}.{name}")
+        with bucketed_scans(spark):
+            joined = spark.table(f"{database}.facts").join(spark.table(f"{database}.dims").hint("merge"), "device_id")
+            return checkpointed(joined.groupBy("sla_tier").agg(rows().alias("readings")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -178,6 +179,15 @@ TABLE_PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     # sinks
     "dynpart_overwrite": roundtrips.partition_overwrite,
     "csv_tsv_formats": roundtrips.tsv_report,
+    **{f"write_{name}": partial(roundtrips.written_table, name=name) for name in (
+        "web_traffic", "sensor_readings", "social_posts", "sensor_daily_summary", "trending_hashtags_daily")},
+    "write_device_metadata": lambda t: roundtrips.plain_dates(roundtrips.written_table(t, "device_metadata")),
+    "full_overwrite": roundtrips.replaced_registry,
+    "multi_insert": roundtrips.several_tables,
+    "delimited_dir_sink": roundtrips.delimited_report,
+    "compact_partition": roundtrips.compacted_readings,
+    "retention_prune": roundtrips.pruned_traffic,
+    "join_smb_bucket": roundtrips.bucketed_join,
     # sets and scalars
     "union_all_3": rel.union_all,
     "fn_request_parts": rel.request_parts,
@@ -195,6 +205,7 @@ QUERIES: dict[str, Query] = {name: _on_tables(plan) for name, plan in TABLE_PLAN
     "p_select_star_subq": _on_readings(rel.select_star_subquery),
     "w_row_number_dedup": _on_readings(rel.dedup),
     "scan_clf_files": lambda spark, sf_dir: roundtrips.log_files(adapters.web_log_lines(spark, sf_dir)),
+    "archive_snapshot": lambda spark, sf_dir: roundtrips.archived_logs(adapters.web_log_lines(spark, sf_dir)),
     "scan_sensor_csv": lambda spark, sf_dir: roundtrips.sensor_csv(adapters.raw_sensor_readings(spark, sf_dir)),
     "scan_social_csv": lambda spark, sf_dir: roundtrips.social_csv(adapters.raw_social_posts(spark, sf_dir)),
     "scan_device_csv": lambda spark, sf_dir: roundtrips.device_csv(adapters.raw_device_metadata(spark, sf_dir)),
