@@ -82,7 +82,11 @@ class _Batch:
 
 
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
-_SENT = "key long, region int, id long, at int, h long, kind byte"
+# One row is 40 bits of the anchor's hash, 32 of the region's, the id, the place and
+# the kind. Full words keep the shuffled rows small: ``mark`` is the anchor with the
+# region's upper 24 bits, ``rest`` the place, its lower eight bits and the kind. ``h``
+# is the anchor where ``mark`` has a random one to spread the rows.
+_SENT = "mark long, id long, rest long, h long"
 # What a sent row is: an occurrence to judge, a note about its anchor, one that is
 # removed for sure, one that is open for sure.
 _JUDGE, _NOTE, _GONE, _OPEN = 0, 1, 2, 3
@@ -104,7 +108,7 @@ def _occurrences(window: int, gram: int, shared: int):
 
 
 def _sent(batch: _Batch, ids: np.ndarray, at: np.ndarray, h: np.ndarray, row: np.ndarray, shared: int) -> pd.DataFrame:
-    region = batch.region_hashes(at, *batch.regions(at, row)).astype(np.uint32).view(np.int32)
+    region = batch.region_hashes(at, *batch.regions(at, row)) >> np.uint64(32)
     doc = ids[row] // shared
     order = np.lexsort((doc, region, h))
     at, h, row, region, doc = at[order], h[order], row[order], region[order], doc[order]
@@ -116,35 +120,42 @@ def _sent(batch: _Batch, ids: np.ndarray, at: np.ndarray, h: np.ndarray, row: np
     firsts = np.flatnonzero(new_h)
     low, high = np.minimum.reduceat(doc, firsts), np.maximum.reduceat(doc, firsts)
     hot = (variants > MANY) & (low < high)
-    kind = np.where(doc > lead, _GONE, np.where(hot[group], _OPEN, _JUDGE)).astype(np.int8)
+    kind = np.where(doc > lead, _GONE, np.where(hot[group], _OPEN, _JUDGE)).astype(np.int64)
     with np.errstate(over="ignore"):
         apart = mixed(h * TOP + ids[row].astype(np.uint64) + (at.astype(np.uint64) << np.uint64(20)))
-    key = np.where(kind == _JUDGE, h, apart).view(np.int64)
+    key = np.where(kind == _JUDGE, h, apart >> (np.uint64(64) - _HASH_BITS))
     # Two notes tell the rest of the table that a hot anchor has several regions and documents.
     note = np.flatnonzero(hot)
     # A removed occurrence shows that its anchor has a smaller document, which its lead already says.
+    key = np.concatenate([key, h[firsts[note]], h[firsts[note]]])
+    region = np.concatenate([region, np.zeros(len(note), np.uint64), np.full(len(note), np.uint64(2**32 - 1))])
+    place = np.concatenate([at - batch.starts[row], np.zeros(2 * len(note), np.int64)])
+    kind = np.concatenate([kind, np.full(2 * len(note), _NOTE, np.int64)])
     return pd.DataFrame({
-        "key": np.concatenate([key, h[firsts[note]].view(np.int64), h[firsts[note]].view(np.int64)]),
-        "region": np.concatenate([region, np.full(len(note), -2**31, np.int32), np.full(len(note), 2**31 - 1, np.int32)]),
+        "mark": ((key << np.uint64(24)) | (region >> np.uint64(8))).view(np.int64),
         "id": np.concatenate([ids[row], low[note] * shared, high[note] * shared]),
-        "at": np.concatenate([at - batch.starts[row], np.zeros(2 * len(note), np.int64)]).astype(np.int32),
-        "h": pd.arrays.IntegerArray(np.concatenate([h.view(np.int64), np.zeros(2 * len(note), np.int64)]), np.concatenate([kind != _OPEN, np.ones(2 * len(note), bool)])),
-        "kind": np.concatenate([kind, np.full(2 * len(note), _NOTE, np.int8)]),
+        "rest": (place << 10) | ((region & np.uint64(255)).astype(np.int64) << 2) | kind,
+        "h": pd.arrays.IntegerArray(np.concatenate([h.view(np.int64), np.zeros(2 * len(note), np.int64)]), kind != _OPEN),
     })
 
 
 def _judged(sent: DataFrame, shared: int) -> DataFrame:
     """id and its removed (gone) and open occurrences."""
     doc = F.expr(f"id div {shared}")
+    key = F.shiftrightunsigned("mark", 24)
+    # One exchange serves both windows.
+    rows = sent.repartition(key).select(
+        key.alias("key"), (F.shiftleft(F.col("mark").bitwiseAND(F.lit(0xFFFFFF)), 8) + F.shiftright("rest", 2).bitwiseAND(F.lit(255))).alias("region"),
+        "id", F.shiftright("rest", 10).alias("at"), F.col("rest").bitwiseAND(F.lit(3)).alias("kind"), "h")
     same, anchor = Window.partitionBy("key", "region"), Window.partitionBy("key")
-    seen = sent.withColumn("lead", F.min(doc).over(same)).withColumns({
+    seen = rows.withColumn("lead", F.min(doc).over(same)).withColumns({
         "low": F.min("region").over(anchor), "high": F.max("region").over(anchor),
         "first": F.min(doc).over(anchor), "last": F.max(doc).over(anchor), "notes": F.max(F.col("kind") == _NOTE).over(anchor)})
     gone = (F.col("kind") == _GONE) | ((F.col("kind") == _JUDGE) & (doc > F.col("lead")))
     still = (F.col("kind") == _OPEN) | ((F.col("kind") == _JUDGE) & (F.col("low") < F.col("high")) & (F.col("first") < F.col("last")))
     hot = F.col("notes") | (F.col("kind") == _OPEN)
     kept = seen.filter(gone | still).select(
-        "id", "at", F.when(gone, _REMOVED).otherwise(F.coalesce("h", "key") + F.when(hot, _HOT).otherwise(0)).alias("h"))
+        "id", F.col("at").cast("int").alias("at"), F.when(gone, _REMOVED).otherwise(F.coalesce("h", "key") + F.when(hot, _HOT).otherwise(0)).alias("h"))
     return kept.groupBy("id").agg(F.collect_list("at").alias("ats"), F.collect_list("h").alias("hs"))
 
 
