@@ -36,7 +36,9 @@ from .suffixes import common_prefixes, suffix_array
 
 WINDOW = 50
 GRAM = 20
-MANY = 8
+# Regions of an anchor from which they are dealt over all shards: in a run of documents, and in all.
+MANY = 64
+MANY_IN_ALL = 20_000
 SHARD_BYTES = 8 * 1024 * 1024
 _CHARS_AT_ONCE = 2_000_000
 _HASH_BITS = np.uint64(40)
@@ -150,7 +152,7 @@ def _judged(sent: DataFrame, shared: int) -> DataFrame:
     same, anchor = Window.partitionBy("key", "region"), Window.partitionBy("key")
     seen = rows.withColumn("lead", F.min(doc).over(same)).withColumns({
         "low": F.min("region").over(anchor), "high": F.max("region").over(anchor),
-        "first": F.min(doc).over(anchor), "last": F.max(doc).over(anchor), "notes": F.max(F.col("kind") == _NOTE).over(anchor)})
+        "first": F.min(doc).over(anchor), "last": F.max(doc).over(anchor), "notes": (F.max(F.col("kind") == _NOTE).over(anchor)) | (F.count(F.lit(1)).over(anchor) > MANY_IN_ALL)})
     gone = (F.col("kind") == _GONE) | ((F.col("kind") == _JUDGE) & (doc > F.col("lead")))
     still = (F.col("kind") == _OPEN) | ((F.col("kind") == _JUDGE) & (F.col("low") < F.col("high")) & (F.col("first") < F.col("last")))
     hot = F.col("notes") | (F.col("kind") == _OPEN)

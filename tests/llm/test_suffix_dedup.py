@@ -63,10 +63,11 @@ def test_whole_table(spark):
     assert collected(queries.op2_suffix_dedup(spark, SMALL)) == plain(rows, 50)
 
 
-@pytest.mark.parametrize("many", [0, 8])
-def test_random_texts(rows_of, monkeypatch, many):
-    """``many`` = 0 deals every anchor with several regions over all shards."""
+@pytest.mark.parametrize("many, in_all", [(0, 20_000), (64, 20_000), (64, 1), (3, 5)])
+def test_random_texts(rows_of, monkeypatch, many, in_all):
+    """Low bounds deal anchors with several regions over all shards."""
     monkeypatch.setattr(suffix_dedup, "MANY", many)
+    monkeypatch.setattr(suffix_dedup, "MANY_IN_ALL", in_all)
     rng = random.Random(many)
     stock = ["".join(rng.choice("ab " if k % 2 else "abcdefghijé ") for _ in range(rng.randint(30, 200))) for k in range(25)]
     rows = []
