@@ -8,7 +8,9 @@ A shingle weighs ln((1 + items) / (1 + items that have it)) + 1, so a phrase tha
 many items share proves little.
 
 A window that shares no shingle with an item has similarity zero, so only windows
-around shared shingles are formed; no other window could pass.
+around shared shingles are formed; no other window could pass. A document with
+fewer words than the item is one window, compared with every item it shares a
+shingle with.
 
 The items are a stated query set: they go to the tasks in blocks of ``ITEMS``,
 and every document meets every block.
@@ -151,6 +153,11 @@ class _Items:
         for (doc, item), places in hits.items():
             n = self.sizes[item]
             size = min(SHINGLE, n)
+            if len(split[doc]) < n:
+                value = similarity(Counter(shingles(split[doc])), self.counts[item], lambda x: self.weights.get(x, self.rare))
+                if value >= least:
+                    best[doc, item] = (value, 0)
+                continue
             runs, first = [], None
             for p in sorted(places):
                 low, high = max(0, p - n + size), min(p, len(split[doc]) - n)
@@ -261,7 +268,7 @@ def _searcher(shared, least: float):
                     "doc_id": pd.array([ids[d] if pd.notna(ids[d]) else None for d, *_ in found], "Int64"),
                     "item_id": pd.array([items.ids[i] for _, i, *_ in found], "Int64"),
                     "similarity": np.array([s for _, _, s, _ in found], float), "first_word": np.array([w for *_, w in found], np.int32),
-                    "n_words": np.array([items.sizes[i] for _, i, *_ in found], np.int32),
+                    "n_words": np.array([min(items.sizes[i], len(words_of(part.iloc[d]))) for d, i, *_ in found], np.int32),
                 })
 
     return each

@@ -71,3 +71,27 @@ def test_hamming_blocks_find_all():
 def test_empty_tables(rows_of):
     docs, items = rows_of([(1, "a b")], "doc_id long, text string"), rows_of([(1, "a b")], "item_id long, text string")
     assert d.matches(docs.limit(0), items).collect() == [] and d.matches(docs, items.limit(0)).collect() == []
+
+
+def test_documents_shorter_than_the_item(rows_of):
+    rng = random.Random(4)
+    words = ["w%d" % i for i in range(400)]
+    items = [(i, " ".join(rng.choices(words, k=40))) for i in range(20)] + [(50, "a b c d e f g"), (51, "a b c")]
+    docs = [(100 * k + i, " ".join(t.split()[:40 - k])) for i, t in items[:20] for k in (1, 2, 5, 8, 20)]
+    docs += [(i, " ".join(t.split()[1:39])) for i, t in items[:20]] + [(9_000, "a b c d e f"), (9_001, "a b"), (9_002, "b c d e"), (9_003, "")]
+    names = {i: Counter(d.shingles(d.words_of(t))) for i, t in items}
+    having = Counter(s for own in names.values() for s in own)
+    weight = lambda s: log((1 + len(items)) / (1 + having[s])) + 1
+    want = all_windows(docs, items)
+    for doc, text in docs:
+        for item, t in items:
+            own = Counter(d.shingles(d.words_of(text)))
+            value = d.similarity(own, names[item], weight)
+            if len(d.words_of(text)) < len(d.words_of(t)) and value >= 0.8:
+                want[doc, item] = round(value, 9)
+    tables = rows_of(docs, "doc_id long, text string"), rows_of(items, "item_id long, text string")
+    found = d.matches(*tables).collect()
+    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in found} == want
+    assert all((100 * k + i, i) in want for i in range(20) for k in (1, 2, 5)) and all((i, i) in want for i in range(20))
+    assert {r["n_words"] for r in found if r["doc_id"] // 100 == 2} == {38}
+    assert {r["doc_id"] for r in d.without_matches(*tables).collect()} == {i for i, _ in docs} - {i for i, _ in want}
