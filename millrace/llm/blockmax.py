@@ -5,54 +5,116 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 64
+_AT_ONCE = 64
+#: Terms in more than one of so many vectors are kept as full rows, the others as postings.
+_COMMON = 16
+
+
+class Rows:
+    """Sparse rows: columns ``at`` and values ``data`` of row i from ends[i] to ends[i + 1]."""
+
+    def __init__(self, ends: np.ndarray, at: np.ndarray, data: np.ndarray, width: int):
+        self.ends, self.at, self.data, self.width = ends, at, data, width
+
+    @classmethod
+    def of(cls, dense) -> Rows:
+        if isinstance(dense, Rows):
+            return dense
+        row, at = np.nonzero(dense)
+        return cls(np.searchsorted(row, np.arange(len(dense) + 1)), at, dense[row, at].astype(np.float32), dense.shape[1])
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def take(self, which: np.ndarray) -> Rows:
+        sizes = np.diff(self.ends)[which]
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        from_ = np.repeat(self.ends[:-1][which] - ends[:-1], sizes) + np.arange(ends[-1])
+        return Rows(ends, self.at[from_], self.data[from_], self.width)
+
+    def row_numbers(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self)), np.diff(self.ends))
+
+    def toarray(self) -> np.ndarray:
+        out = np.zeros((len(self), self.width), np.float32)
+        out[self.row_numbers(), self.at] = self.data
+        return out
 
 
 class BlockMaxIndex:
-    """Unit vectors in blocks; per term the postings by block and each block's largest weight.
+    """Unit vectors in blocks; per term its postings, and for common terms each block's largest weight.
 
-    A query's upper bound for a block is the sum of its weights times the block
-    maxima. Blocks are scored from the best bound down, until no bound reaches
-    the k-th best similarity found: the neighbours are exact.
+    A query's rare terms are scored through their postings. Its upper bound for a
+    block is the best of these scores in the block plus the sum of its weights of
+    common terms times the block maxima. The best block by bound is scored first,
+    then every block whose bound reaches the k-th best similarity found: the
+    neighbours are exact. Vectors and queries are ``Rows`` or arrays.
     """
 
-    def __init__(self, vectors: np.ndarray, block: int = BLOCK):
-        count, terms = vectors.shape
+    def __init__(self, vectors, block: int = BLOCK):
+        vectors = Rows.of(vectors)
+        count, terms = len(vectors), vectors.width
         # Alike vectors side by side make the maxima tight.
-        strongest = vectors.argmax(axis=1) if count else np.zeros(0, int)
+        strongest = np.array([vectors.at[i + vectors.data[i:j].argmax()] if j > i else 0 for i, j in zip(vectors.ends, vectors.ends[1:])], int)
         self.order = np.lexsort((np.arange(count), strongest))
         self.count, self.terms, self.block = count, terms, block
-        arranged = vectors[self.order].astype(np.float32)
-        self.blocks = []
-        self.maxima = np.zeros((terms, -(-count // block)), np.float32)
-        for b in range(self.maxima.shape[1]):
-            part = arranged[b * block:(b + 1) * block]
-            used = np.flatnonzero(part.any(axis=0))
-            self.blocks.append((used, np.ascontiguousarray(part[:, used].T)))
-            self.maxima[used, b] = part[:, used].max(axis=0)
-
-    def search(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        arranged = vectors.take(self.order)
+        row = arranged.row_numbers()
+        many = np.bincount(arranged.at, minlength=terms) * _COMMON > count
+        self.common = np.full(terms, -1)
+        self.common[many] = np.arange(many.sum())
+        own = many[arranged.at]
+        self.full = np.zeros((int(many.sum()), count), np.float32)
+        self.full[self.common[arranged.at[own]], row[own]] = arranged.data[own]
+        self.starts = np.arange(0, count, block)
+        self.maxima = np.maximum.reduceat(self.full, self.starts, axis=1) if count else self.full
+        by_term = np.argsort(arranged.at[~own], kind="stable")
+        self.holders, self.weights = row[~own][by_term].astype(np.int32), arranged.data[~own][by_term]
+        self.first = np.searchsorted(arranged.at[~own][by_term], np.arange(terms + 1))
+
+    def search(self, queries, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Similarities and positions of the k best for each query, the best first; ties by position."""
-        k, many = min(k, self.count), len(queries)
+        queries = Rows.of(queries)
+        k = min(k, self.count)
+        best = np.full((len(queries), k), -1.0, np.float32)
+        places = np.full((len(queries), k), self.count, np.int64)
+        if k:
+            for at in range(0, len(queries), _AT_ONCE):
+                rows = np.arange(at, min(at + _AT_ONCE, len(queries)))
+                best[rows], places[rows] = self._search(queries.take(rows), k)
+        return best, places
+
+    def _rare(self, queries: Rows) -> np.ndarray:
+        lengths = self.first[queries.at + 1] - self.first[queries.at]
+        ends = np.cumsum(lengths)
+        from_ = np.repeat(self.first[queries.at] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+        cell = np.repeat(queries.row_numbers() * self.count, lengths) + self.holders[from_]
+        found = np.bincount(cell, np.repeat(queries.data, lengths) * self.weights[from_], len(queries) * self.count)
+        return found.reshape(len(queries), self.count).astype(np.float32)
+
+    def _search(self, queries: Rows, k: int) -> tuple[np.ndarray, np.ndarray]:
+        many, rare = len(queries), self._rare(queries)
+        common = np.zeros((many, len(self.full)), np.float32)
+        own = self.common[queries.at] >= 0
+        common[queries.row_numbers()[own], self.common[queries.at[own]]] = queries.data[own]
+        bounds = common @ self.maxima + np.maximum.reduceat(rare, self.starts, axis=1)
         best = np.full((many, k), -1.0, np.float32)
         places = np.full((many, k), self.count, np.int64)
-        if not k or not many:
-            return best, places
-        bounds = queries @ self.maxima
-        turns = np.argsort(-bounds, axis=1, kind="stable")
-        for turn in range(turns.shape[1]):
-            now = turns[:, turn]
-            active = bounds[np.arange(many), now] + 1e-5 >= best[:, -1]
-            if not active.any():
-                break  # bounds only fall from here on
-            rows = np.flatnonzero(active)
-            for b in np.unique(now[rows]):
-                at = rows[now[rows] == b]
-                used, weights = self.blocks[b]
-                found = queries[np.ix_(at, used)] @ weights
-                own = self.order[b * self.block:b * self.block + weights.shape[1]]
-                merged = np.concatenate([best[at], found], axis=1)
-                names = np.concatenate([places[at], np.broadcast_to(own, found.shape)], axis=1)
-                pick = np.lexsort((names, -np.round(merged, 5)))[:, :k]
-                best[at] = np.take_along_axis(merged, pick, 1)
-                places[at] = np.take_along_axis(names, pick, 1)
+
+        def look(b: int, at: np.ndarray) -> None:
+            part = slice(b * self.block, (b + 1) * self.block)
+            found = rare[at, part] + common[at] @ self.full[:, part]
+            merged = np.concatenate([best[at], found], axis=1)
+            names = np.concatenate([places[at], np.broadcast_to(self.order[part], found.shape)], axis=1)
+            pick = np.lexsort((names, -np.round(merged, 5)))[:, :k]
+            best[at] = np.take_along_axis(merged, pick, 1)
+            places[at] = np.take_along_axis(names, pick, 1)
+
+        foremost = bounds.argmax(axis=1)
+        for b in np.unique(foremost):
+            look(b, np.flatnonzero(foremost == b))
+        for b in np.argsort(-bounds.sum(axis=0), kind="stable"):
+            at = np.flatnonzero((bounds[:, b] + 2e-5 >= best[:, -1]) & (foremost != b))
+            if len(at):
+                look(b, at)
         return best, places

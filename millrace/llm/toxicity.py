@@ -4,21 +4,23 @@
    more rows of both, taken by a hash of the id. These bounds are parameters of
    the fit; everything else covers all data.
 2. Features: words in lower case and their beginnings of four and five letters.
-   The vocabulary are those whose presence in the examples depends on the class
-   (chi-square); at most ``terms`` of them.
+   The vocabulary are all features of the examples.
 3. Document frequencies for the vocabulary over all documents; TF-IDF vectors
-   of unit length (1 + ln tf) * (ln((1+n)/(1+df)) + 1).
-4. Each document's nearest examples by exact cosine (block-max inverted index).
-   Examples with equal vectors are one entry with its counts of labels. Votes
-   weigh 1 / (0.05 + distance); a small prior keeps sparse votes moderate.
+   of unit length (1 + ln tf) * (ln((1+n)/(1+df)) + 1) * (1 + chi-square), where
+   chi-square tells how far presence in the examples depends on the class. It
+   weighs features and leaves none out.
+4. Each document's nearest examples by exact cosine (block-max inverted index
+   of sparse postings). Every example is in the index. Examples with equal vectors
+   are one entry with its counts of labels. Votes weigh 1 / (0.05 + distance); a
+   small prior keeps sparse votes moderate.
 5. Isotonic regression on the calibration rows turns votes into scores.
 
-A document without any feature of the vocabulary has no neighbour; its vote is
+A document without any feature of the examples has no neighbour; its vote is
 the prior, calibrated like all others. Evidence lists the nearest example ids.
 
 Cases: null and empty texts have no feature; labels that are null are not
-learnt from; without a feature that tells the classes apart every score is the
-share of toxic rows, 0 without any; repeated rows
+learnt from; without examples of both classes every score is the share of toxic
+rows, 0 without any; repeated rows
 are scored alike; an empty table gives an empty result; other columns are
 ignored, so lang, source and doc_id are never inputs of a score.
 """
@@ -34,7 +36,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .blockmax import BlockMaxIndex
+from .blockmax import BlockMaxIndex, Rows
 from .common import written
 
 _WORD = re.compile(r"[^\W_]+")
@@ -46,9 +48,6 @@ _ROWS_AT_ONCE = 512
 class Settings:
     per_class: int = 2048
     calibration: int = 4096
-    terms: int = 512
-    least_docs: int = 3
-    least_chi2: float = 30.0
     neighbours: int = 10
     threshold: float = 0.3
     seed: int = 42
@@ -87,7 +86,7 @@ def _chosen(labels: DataFrame, s: Settings) -> DataFrame:
 @dataclass
 class Model:
     vocabulary: dict[str, int]
-    idf: np.ndarray
+    weights: np.ndarray
     index: BlockMaxIndex
     votes: np.ndarray
     ids: list[int]
@@ -96,10 +95,10 @@ class Model:
     levels: np.ndarray
     settings: Settings
 
-    def vectors(self, texts) -> np.ndarray:
-        return _vectors([_known(t, self.vocabulary) for t in texts], self.idf)
+    def vectors(self, texts) -> Rows:
+        return _vectors([_known(t, self.vocabulary) for t in texts], self.weights)
 
-    def raw(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def raw(self, vectors: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Votes, and the similarities and places of the neighbours."""
         near, places = self.index.search(vectors, self.settings.neighbours)
         weights = np.where(near > 1e-6, 1 / (0.05 + np.clip(1 - near, 0, 1)), 0)
@@ -124,14 +123,14 @@ def _known(text: str | None, vocabulary: dict[str, int]) -> dict[int, int]:
     return found
 
 
-def _vectors(known: list[dict[int, int]], idf: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(known), len(idf)), np.float32)
-    for i, counts in enumerate(known):
-        if counts:
-            at = np.fromiter(counts.keys(), int, len(counts))
-            row = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * idf[at]
-            out[i, at] = row / np.sqrt((row * row).sum())
-    return out
+def _vectors(known: list[dict[int, int]], weights: np.ndarray) -> Rows:
+    known = [sorted(counts.items()) for counts in known]
+    ends = np.cumsum([0, *map(len, known)])
+    at = np.fromiter((x for counts in known for x, _ in counts), np.int64, ends[-1])
+    tf = np.fromiter((n for counts in known for _, n in counts), float, ends[-1])
+    data = (1 + np.log(tf)) * weights[at]
+    row = np.repeat(np.arange(len(known)), np.diff(ends))
+    return Rows(ends, at, (data / np.sqrt(np.bincount(row, data * data, len(known)))[row]).astype(np.float32), len(weights))
 
 
 def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,52 +173,60 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     natural = seen.filter("role = 1").agg(F.avg("y")).first()[0]
     base = float(natural) if natural is not None else toxic / max(1, toxic + clean)
-    unlearnt = Model({}, np.zeros(0), BlockMaxIndex(np.zeros((0, 0))), np.zeros((0, 2)), [], base, np.zeros(0), np.zeros(0), s)
+    unlearnt = Model({}, np.zeros(0), BlockMaxIndex(np.zeros((0, 0), np.float32)), np.zeros((0, 2)), [], base, np.zeros(0), np.zeros(0), s)
     if not toxic or not clean:
         return unlearnt
 
-    by_term = seen.filter("role = 0").select(F.explode("terms").alias("term"), "y").groupBy("term").agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("n"))
-    a, n, nt, nc = F.col("a").cast("double"), F.col("n").cast("double"), F.lit(float(toxic)), F.lit(float(clean))
-    all_n = nt + nc
-    spread = n * (all_n - n) * nt * nc
-    chi2 = all_n * F.pow(a * nc - (n - a) * nt, 2) / F.greatest(spread, F.lit(1.0))
-    picked = by_term.filter(F.col("n") >= s.least_docs).withColumn("chi2", chi2).filter(F.col("chi2") >= s.least_chi2)
-    vocabulary = {r["term"]: i for i, r in enumerate(picked.orderBy(F.desc("chi2"), "term").limit(s.terms).select("term").collect())}
-    if not vocabulary:
-        return unlearnt
+    # All terms of at most 2 * per_class examples, a bound of the settings.
+    by_term = seen.filter("role = 0").select(F.explode("terms").alias("term"), "y").groupBy("term").agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("n")).orderBy("term").toPandas()
+    vocabulary = {term: i for i, term in enumerate(by_term["term"])}
+    a, n, all_n = by_term["a"].to_numpy(float), by_term["n"].to_numpy(float), float(toxic + clean)
+    chi2 = all_n * (a * clean - (n - a) * toxic) ** 2 / np.maximum(n * (all_n - n) * toxic * clean, 1)
+    words = spark.sparkContext.broadcast(vocabulary)
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df, total = np.zeros(len(vocabulary), np.int64), 0
+        df, total = np.zeros(len(words.value), np.int64), 0
         for rows in batches:
             for t in rows["text"]:
-                df[list(_known(t, vocabulary))] += 1
+                df[list(_known(t, words.value))] += 1
             total += len(rows)
-        yield pd.DataFrame({"term": np.arange(-1, len(df)), "df": np.concatenate([[total], df])})
+        some = np.flatnonzero(df)
+        yield pd.DataFrame({"term": np.concatenate([[-1], some]), "df": np.concatenate([[total], df[some]])})
 
     counted = small.select("text").mapInPandas(frequencies, "term int, df long").groupBy("term").agg(F.sum("df").alias("df"))
-    df = {int(r["term"]): int(r["df"]) for r in counted.collect()}  # one row per term of the vocabulary
-    idf = np.array([np.log((1 + df[-1]) / (1 + df[i])) + 1 for i in range(len(vocabulary))])
-
-    in_vocabulary = F.broadcast(spark.createDataFrame(list(vocabulary.items()), "term string, at int"))
-    pairs = seen.select("doc_id", "y", "role", F.explode(F.arrays_zip("terms", "counts")).alias("x")).select("doc_id", F.col("x.terms").alias("term"), F.col("x.counts").alias("n"))
-    known = pairs.join(in_vocabulary, "term").groupBy("doc_id").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
-    # One row per example: bounded by the settings, at most ``terms`` numbers each.
-    rows = seen.select("doc_id", "y", "role").join(known, "doc_id", "left").orderBy("doc_id").collect()
-    vectors = _vectors([dict(zip(r["at"] or [], r["n"] or [], strict=True)) for r in rows], idf)
+    counted = counted.toPandas()  # one row per term of the vocabulary
+    total, df = counted.loc[counted["term"] < 0, "df"].sum(), np.zeros(len(vocabulary))
+    counted = counted[counted["term"] >= 0]
+    df[counted["term"].to_numpy(int)] = counted["df"]
+    weights = (np.log((1 + total) / (1 + df)) + 1) * (1 + chi2)
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            known = [{words.value[t]: n for t, n in zip(*x, strict=True) if t in words.value} for x in zip(rows["terms"], rows["counts"], strict=True)]
+            yield pd.DataFrame({"doc_id": rows["doc_id"], "y": rows["y"], "role": rows["role"],
+                                "at": [np.fromiter(k, np.int32, len(k)).tobytes() for k in known], "n": [np.fromiter(k.values(), np.int32, len(k)).tobytes() for k in known]})
+
+    # One row per example: bounded by the settings.
+    rows = seen.mapInPandas(packed, "doc_id long, y int, role int, at binary, n binary").orderBy("doc_id").collect()
+    vectors = _vectors([dict(zip(np.frombuffer(r["at"], np.int32).tolist(), np.frombuffer(r["n"], np.int32).tolist(), strict=True)) for r in rows], weights)
     y, role = np.array([r["y"] for r in rows]), np.array([r["role"] for r in rows])
 
-    learn = (role == 0) & vectors.any(axis=1)
-    unique, first, group = np.unique(np.round(vectors[learn], 5), axis=0, return_index=True, return_inverse=True)
-    group = group.reshape(-1)
+    learn = role == 0
+    own = vectors.take(np.flatnonzero(learn))
+    places: dict[tuple[bytes, bytes], int] = {}
+    ends, rounded = own.ends, np.round(own.data, 5)
+    group = np.array([places.setdefault((own.at[i:j].tobytes(), rounded[i:j].tobytes()), len(places)) for i, j in zip(ends, ends[1:])], int)
+    first = np.unique(group, return_index=True)[1]
+    unique = own.take(first)
     # The classes are sampled apart: weigh them back to their shares.
     share = np.where(y[learn] == 1, base / toxic, (1 - base) / clean) * (toxic + clean)
     votes = np.zeros((len(unique), 2))
     np.add.at(votes[:, 0], group, share * (y[learn] == 1))
     np.add.at(votes[:, 1], group, share)
     ids = [int(rows[i]["doc_id"]) for i in np.flatnonzero(learn)[first]] if len(first) else []
-    model = Model(vocabulary, idf, BlockMaxIndex(unique), votes, ids, base, np.zeros(0), np.zeros(0), s)
+    model = Model(vocabulary, weights, BlockMaxIndex(unique), votes, ids, base, np.zeros(0), np.zeros(0), s)
     if (role == 1).sum() >= 50:
-        model.cuts, model.levels = _isotonic(model.raw(vectors[role == 1])[0], y[role == 1])
+        model.cuts, model.levels = _isotonic(model.raw(vectors.take(np.flatnonzero(role == 1)))[0], y[role == 1])
     return model
 
 

@@ -90,3 +90,21 @@ def test_given_documents(spark):
     clean = [r for r in rows if labels[r["doc_id"]] == 0]
     assert sum(r["predicted"] for r in clean) <= 0.03 * len(clean)
     assert sum(r["predicted"] for r in rows if labels[r["doc_id"]] == 1) >= 5
+
+
+def test_every_word_and_example_counts(rows_of):
+    """Neighbours equal a dense cosine over all features; no example and no document with a known word is left out."""
+    rng = random.Random(9)
+    rows, labels = planted(rng, 240)
+    docs = rows_of(rows, "doc_id long, text string, lang string")
+    model = toxicity.fit(docs, rows_of(labels, "doc_id long, quality int, toxic int"))
+    chosen = [r["__id"] for r in toxicity._chosen(rows_of(labels, "doc_id long, quality int, toxic int"), toxicity.Settings()).filter("role = 0").collect()]
+    seen = {f for i in chosen for f in toxicity.features(toxicity.word_counts(rows[i][1]))}
+    assert set(model.vocabulary) == seen and set(model.ids) == set(chosen)
+    assert (model.weights > 0).all()
+    texts = {i: t for i, t, _ in rows}
+    examples = model.vectors([texts[i] for i in model.ids]).toarray()
+    for r in toxicity.scored(docs, model).collect():
+        own = model.vectors([texts[r["doc_id"]]]).toarray()[0]
+        scores = np.sort(examples @ own)[::-1]
+        assert len(r["evidence"]) == 3 and np.allclose(r["similarity"], scores[:3], atol=1e-4)
