@@ -4,7 +4,7 @@ Tokens of a page are its tags and words, each with the path of open elements
 it stands in. Over the pages of one host, tokens with equal occurrence vectors
 (how often each page has them) form an equivalence class; a vector is summed up
 by adding a hash of (page, count) over the pages, so classes come out of one
-grouped sum and no host is ever gathered. Classes that occur once in nearly every
+grouped sum and no host is ever gathered. Equal pages of a host count as one page. Classes that occur once in nearly every
 page are the template's skeleton; classes whose tokens lie inside the skeleton
 and occur a varying number of times are its repeated parts. Valid classes nest:
 each class's paths extend a path of the class around it. What is not covered by
@@ -33,11 +33,10 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 LEAST_PAGES = 8
 COMMON = 0.9
@@ -140,11 +139,8 @@ def blocks(page: str | None) -> list[tuple[str, bool, int, str]]:
     return out
 
 
-def host_of(url: str | None) -> str:
-    try:
-        return (urlsplit(url or "").hostname or "").lower()
-    except ValueError:
-        return ""
+def _host() -> Column:
+    return F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
 def tokens(page_blocks: list[tuple[str, bool, int, str]]) -> Counter:
@@ -167,25 +163,27 @@ def _signature(page: int, count: int) -> int:
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per batch and host, what each token adds to its occurrence vector's sum."""
     for rows in batches:
-        total: dict[tuple[str, int], list] = {}
-        for page, url, source in zip(rows["page"], rows["url"], rows["html"], strict=True):
-            host, own = host_of(url), blocks(source)
+        total: dict[tuple[str, int, int], list] = {}
+        for page, host, copied, source in zip(rows["page"], rows["host"], rows["copied"], rows["html"], strict=True):
+            own = blocks(source)
             chars = Counter()
             for path, furniture, _, words in own:
                 if not furniture:
                     chars["<" + path] += len(words)
             for token, n in [*tokens(own).items(), ("", 1)]:
-                x = total.setdefault((host, _hash(token)), [0, 0, 0, token[:1] == "<", token if token[:1] == "<" else ""])
+                x = total.setdefault((host, _hash(token), page if copied else 0), [0, 0, 0, token[:1] == "<", token if token[:1] == "<" else ""])
+                if copied and x[1]:
+                    continue
                 x[0] += _signature(page, n)
                 x[1] += 1
                 x[2] += chars.get(token, 0)
         keys = list(total)
         yield pd.DataFrame({
-            "host": [k[0] for k in keys], "token": [k[1] for k in keys], "vector": [total[k][0] % 2**53 for k in keys], "pages": [total[k][1] for k in keys],
+            "host": [k[0] for k in keys], "token": [k[1] for k in keys], "copy_of": [k[2] for k in keys], "vector": [total[k][0] % 2**53 for k in keys], "pages": [total[k][1] for k in keys],
             "chars": [total[k][2] for k in keys], "tag": [total[k][3] for k in keys], "path": [total[k][4] for k in keys]})
 
 
-_SUMS = "host string, token long, vector long, pages long, chars long, tag boolean, path string"
+_SUMS = "host string, token long, copy_of long, vector long, pages long, chars long, tag boolean, path string"
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -193,8 +191,14 @@ def templates(pages: DataFrame) -> DataFrame:
 
     A host with fewer than ``LEAST_PAGES`` pages has no row.
     """
-    numbered = pages.select(F.xxhash64("page_id", "html").alias("page"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    sums = numbered.mapInPandas(_occurrences, _SUMS).groupBy("host", "token").agg(
+    # Equal pages of a host count once: those with copies send rows of their own, of which one is taken.
+    numbered = pages.select(F.xxhash64("html").alias("page"), _host().alias("host"), F.col("html").cast("string").alias("html"))
+    copies = numbered.groupBy("host", "page").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("host").alias("h"), F.col("page").alias("p"))
+    marked = numbered.join(copies, (F.col("host") == F.col("h")) & (F.col("page") == F.col("p")), "left").select("page", "host", "html", F.col("p").isNotNull().alias("copied"))
+    # One shuffle serves both groupings.
+    parts = marked.mapInPandas(_occurrences, _SUMS).repartition("host", "token").groupBy("host", "token", "copy_of").agg(
+        *(F.when(F.col("copy_of") == 0, F.sum(c)).otherwise(F.max(c)).alias(c) for c in ("vector", "pages", "chars")), F.max("tag").alias("tag"), F.max("path").alias("path"))
+    sums = parts.groupBy("host", "token").agg(
         F.expr("pmod(sum(vector), 9007199254740992)").alias("vector"), F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.max("tag").alias("tag"), F.max("path").alias("path"))
     sizes = sums.filter(F.col("token") == _hash("")).filter(F.col("pages") >= LEAST_PAGES).select(F.col("host").alias("of"), F.col("pages").alias("all_pages"))
     # Only tokens that many pages share can belong to a class of the template.
@@ -238,8 +242,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every page."""
     found = templates(pages)
     keyed = pages.select(F.col("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    joined = keyed.withColumn("__host", host).join(found, F.col("__host") == found["host"], "left").select("page_id", "url", "html", "words", "main_path")
+    joined = keyed.withColumn("__host", _host()).join(found, F.col("__host") == found["host"], "left").select("page_id", "url", "html", "words", "main_path")
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:

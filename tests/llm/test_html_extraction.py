@@ -51,3 +51,14 @@ def test_furniture_inside_and_around(rows_of):
     got = sorted(((r["page_id"] or -1), r["text"]) for r in h.extracted(rows_of(rows, PAGES)).collect())
     assert got == [(-1, "deep"), (1, "Head line One two, three four five <b>"), (2, ""), (3, ""), (4, "cut"), (4, "cut"), (5, "plain & text < 3")]
     assert h.extracted(rows_of([], PAGES)).collect() == []
+
+
+def test_copies_of_one_article(rows_of):
+    """Nearly all pages of the host are one article: its text is no template."""
+    rng = random.Random(11)
+    top = "<div class=top>Home</div>"
+    same = "".join(f"<p>{words(rng, 30)}</p>" for _ in range(3))
+    bodies = [same] * 200 + ["".join(f"<p>{words(rng, 30)}</p>" for _ in range(3)) for _ in range(10)]
+    rows = [(i, "http://copies.example/%d" % i, f"<body>{top}<div class=content>{b}</div></body>", "", "") for i, b in enumerate(bodies)]
+    got = {r["page_id"]: r["text"] for r in h.extracted(rows_of(rows, PAGES).repartition(5)).collect()}
+    assert got == {i: " ".join(re.findall("<p>(.*?)</p>", b)) for i, b in enumerate(bodies)}
