@@ -16,8 +16,8 @@ furniture (menus, headers, footers, sidebars, notices, adverts, forms, comments)
 The article region is the element named as such (article, main); on pages without
 one it is the element of the host's template that holds the most slot text.
 Words of the template itself (same words in the same place of the host's pages)
-are left out, unless an element named as the article holds them or a host has
-too few pages to tell.
+are left out everywhere, also inside the article, unless a host has too few pages
+to tell.
 
 Character references are decoded, white space in a block becomes one space,
 blocks are joined by one space in page order. Cut-off markup is read as far as it
@@ -53,6 +53,7 @@ _FURNITURE = re.compile(
     r"(?:^|[-_ ])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|aside|ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|popup|modal|overlay|"
     r"newsletter|subscribe|share|sharing|social|related|recommend\w*|comments?|respond|replies|disqus|login|signup|search|form|widget|pagination|pager|toolbar|skip|copyright|legal)(?:$|[-_ ])")
 _MAIN = re.compile(r"(?:^|[-_ ])(?:article|main|content|post|entry|story|article-?body|post-?content|entry-?content|main-?content)(?:$|[-_ ])")
+_OWN = re.compile(r"(?:^|[-_ ])(?:article|main|post|entry|story)(?:$|[-_ ])")
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|$)|[^<]+|<", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
@@ -71,7 +72,9 @@ class Element:
         self.path = path + "/" + self.label
         own_main = 2 if name in ("article", "main") or role in ("main", "article") or attributes.get("itemprop") == "articleBody" else 1 if marks and _MAIN.search(marks) else 0
         odd = name in FURNITURE_TAGS or role in FURNITURE_ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true"
-        odd |= name == "header" and main < 2 or bool(marks) and name not in ("html", "body", "article", "main") and not own_main and bool(_FURNITURE.search(marks))
+        # An article may be a reader's comment or an advert, unless it is named as the page's own.
+        named = bool(_OWN.search(marks)) if name in ("article", "main") else own_main > 0
+        odd |= name == "header" and main < 2 or bool(marks) and name not in ("html", "body") and not named and bool(_FURNITURE.search(marks))
         self.furniture = furniture or odd
         self.main = max(main, 0 if self.furniture else own_main)
 
@@ -214,7 +217,7 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def article(own: list[tuple[str, bool, int, str]], words: set[int], main_path: str | None) -> str:
     """The slots of the article region, joined."""
-    slots = [(path, main, text) for path, furniture, main, text in own if not furniture and (main == 2 or _hash(path + ">" + text) not in words)]
+    slots = [(path, main, text) for path, furniture, main, text in own if not furniture and _hash(path + ">" + text) not in words]
     sure = max((main for _, main, _ in slots), default=0)
     if not sure and slots:
         region = _region(slots, main_path)

@@ -62,3 +62,20 @@ def test_copies_of_one_article(rows_of):
     rows = [(i, "http://copies.example/%d" % i, f"<body>{top}<div class=content>{b}</div></body>", "", "") for i, b in enumerate(bodies)]
     got = {r["page_id"]: r["text"] for r in h.extracted(rows_of(rows, PAGES).repartition(5)).collect()}
     assert got == {i: " ".join(re.findall("<p>(.*?)</p>", b)) for i, b in enumerate(bodies)}
+
+
+def test_template_inside_the_article(rows_of):
+    """Repeated blocks without a telling name inside the article element are template, too."""
+    rng, rows, want = random.Random(12), [], {}
+    for i in range(30):
+        first, second = words(rng, 40), words(rng, 40)
+        rows.append((i, f"http://inside.example/{i}", f"<body><article><h1>Title {i}</h1><p>{first}</p><div>Tell a friend</div><p>{second}</p><p>Get our app now</p></article></body>", "", ""))
+        want[i] = f"Title {i} {first} {second}"
+    got = {r["page_id"]: r["text"] for r in h.extracted(rows_of(rows, PAGES)).collect()}
+    assert got == want
+
+
+def test_comment_articles(rows_of):
+    page = ("<main><article class='post comments-open'><p>Own text</p></article><article class='comment'><p>Reader</p></article>"
+            "<article class='comment-content'><p>Other reader</p></article><article id=promo><p>Buy</p></article></main>")
+    assert [r["text"] for r in h.extracted(rows_of([(1, "http://c.example", page, "", "")], PAGES)).collect()] == ["Own text"]
