@@ -126,11 +126,15 @@ def _known(text: str | None, vocabulary: dict[str, int]) -> dict[int, int]:
 def _vectors(known: list[dict[int, int]], weights: np.ndarray) -> Rows:
     known = [sorted(counts.items()) for counts in known]
     ends = np.cumsum([0, *map(len, known)])
-    at = np.fromiter((x for counts in known for x, _ in counts), np.int64, ends[-1])
-    tf = np.fromiter((n for counts in known for _, n in counts), float, ends[-1])
+    at = np.fromiter((x for counts in known for x, _ in counts), np.int32, ends[-1])
+    return _weighed(ends, at, np.fromiter((n for counts in known for _, n in counts), np.int32, ends[-1]), weights)
+
+
+def _weighed(ends: np.ndarray, at: np.ndarray, tf: np.ndarray, weights: np.ndarray) -> Rows:
     data = (1 + np.log(tf)) * weights[at]
-    row = np.repeat(np.arange(len(known)), np.diff(ends))
-    return Rows(ends, at, (data / np.sqrt(np.bincount(row, data * data, len(known)))[row]).astype(np.float32), len(weights))
+    sizes = np.diff(ends)
+    norms = np.sqrt(np.bincount(np.repeat(np.arange(len(sizes)), sizes), data * data, len(sizes)))
+    return Rows(ends, at, (data / np.repeat(norms, sizes)).astype(np.float32), len(weights))
 
 
 def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -202,14 +206,16 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            known = [{words.value[t]: n for t, n in zip(*x, strict=True) if t in words.value} for x in zip(rows["terms"], rows["counts"], strict=True)]
+            known = [dict(sorted((words.value[t], n) for t, n in zip(*x, strict=True) if t in words.value)) for x in zip(rows["terms"], rows["counts"], strict=True)]
             yield pd.DataFrame({"doc_id": rows["doc_id"], "y": rows["y"], "role": rows["role"],
                                 "at": [np.fromiter(k, np.int32, len(k)).tobytes() for k in known], "n": [np.fromiter(k.values(), np.int32, len(k)).tobytes() for k in known]})
 
     # One row per example: bounded by the settings.
     rows = seen.mapInPandas(packed, "doc_id long, y int, role int, at binary, n binary").orderBy("doc_id").collect()
-    vectors = _vectors([dict(zip(np.frombuffer(r["at"], np.int32).tolist(), np.frombuffer(r["n"], np.int32).tolist(), strict=True)) for r in rows], weights)
-    y, role = np.array([r["y"] for r in rows]), np.array([r["role"] for r in rows])
+    ends = np.cumsum([0, *(len(r["at"]) // 4 for r in rows)])
+    vectors = _weighed(ends, *(np.frombuffer(b"".join(r[c] for r in rows), np.int32) for c in ("at", "n")), weights)
+    y, role, names = (np.array([r[c] for r in rows]) for c in ("y", "role", "doc_id"))
+    del rows
 
     learn = role == 0
     own = vectors.take(np.flatnonzero(learn))
@@ -223,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     votes = np.zeros((len(unique), 2))
     np.add.at(votes[:, 0], group, share * (y[learn] == 1))
     np.add.at(votes[:, 1], group, share)
-    ids = [int(rows[i]["doc_id"]) for i in np.flatnonzero(learn)[first]] if len(first) else []
+    ids = [int(names[i]) for i in np.flatnonzero(learn)[first]] if len(first) else []
     model = Model(vocabulary, weights, BlockMaxIndex(unique), votes, ids, base, np.zeros(0), np.zeros(0), s)
     if (role == 1).sum() >= 50:
         model.cuts, model.levels = _isotonic(model.raw(vectors.take(np.flatnonzero(role == 1)))[0], y[role == 1])
