@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontamination, exact_dedup, html_extraction, phrase_dedup, sentencepiece_codec, sharding, simhash, suffix_dedup, toxicity
+from . import (
+    chat, collocations, decontamination, exact_dedup, html_extraction, phrase_dedup, sentencepiece_codec, sharding, simhash, suffix_dedup, toxicity,
+)
 from .common import table, text_or_empty
 
 SHARDS = 40
@@ -74,4 +76,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_suffix_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op7_decontamination, op8_phrase_dedup, op9_sentencepiece, op10_html_extraction)}
+def op13_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_suffix_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op7_decontamination, op8_phrase_dedup,
+    op9_sentencepiece, op10_html_extraction, op13_collocation_mining,
+)}

@@ -54,3 +54,22 @@ x AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM d),
 kept AS (SELECT x.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY x.i) AS t FROM x ANTI JOIN r ON x.doc_id = r.doc_id AND x.i = r.i GROUP BY x.doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
+
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLE_SQL["op13_collocation_mining"] = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_ALPHABET}', '{_ALPHABET.lower()}'), '[.,;:!?
+]')) AS piece
+           FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[	 ]+'), lambda x: x <> '') AS w FROM p),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+x AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+f AS (SELECT lang, k, w[i:i + k - 1] AS gram, count(*) AS f FROM x, (VALUES (1), (2), (3)) t(k) WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 10),
+around AS (SELECT lang, gram, max(f) AS f FROM (SELECT lang, gram[1:2] AS gram, f FROM f WHERE k = 3 UNION ALL SELECT lang, gram[2:3], f FROM f WHERE k = 3) GROUP BY ALL),
+c AS (SELECT f.* FROM f LEFT JOIN around USING (lang, gram) WHERE k > 1 AND (around.f IS NULL OR 100 * around.f < 50 * f.f)),
+cuts AS (SELECT c.lang, c.gram, c.f AS a, cut, l.f AS l, r.f AS r, CAST(1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+         FROM c, (VALUES (1), (2)) t(cut), f AS l, f AS r
+         WHERE cut < c.k AND l.lang = c.lang AND r.lang = c.lang AND l.gram = c.gram[1:cut] AND r.gram = c.gram[cut + 1:c.k]),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, cut) = 1),
+named AS (SELECT *, array_to_string(gram, ' ') AS phrase FROM weakest)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM named JOIN total USING (lang) QUALIFY rank <= 2000"""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.llm import chat, exact_dedup, queries, sharding, simhash
 from millrace.llm.components import components
 from millrace.llm.cuckoo import CuckooIndex
+from tests.llm.rows import rows_of  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, digest string"

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 
 from millrace.llm import decontamination as d, queries
+from tests.llm.rows import rows_of  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

@@ -9,6 +9,7 @@ import re
 import pandas as pd
 
 from millrace.llm import html_extraction as h, queries
+from tests.llm.rows import rows_of  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 PAGES = "page_id long, url string, html string, text string, words string"

@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 
 from millrace.llm import phrase_dedup, queries
+from tests.llm.rows import rows_of  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

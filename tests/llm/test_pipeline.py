@@ -5,10 +5,12 @@ from __future__ import annotations
 import pandas as pd
 
 import corpus_pipeline
-from millrace.llm import decontamination, simhash
+from millrace.llm import decontamination
 from millrace.llm.common import table
-from tests.llm.test_basic_operators import group_fingerprints, norm
+from tests.llm.test_basic_operators import norm
 from tests.llm.test_decontamination import all_windows
+from tests.llm.test_near_copies import brute as near_group_firsts
+from tests.llm.rows import rows_of  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -34,8 +36,7 @@ def test_stages(spark, tmp_path):
     assert left == set(firsts.values())
 
     texts, left = kept["SimHash near-dedup"]
-    groups = group_fingerprints({i: simhash.fingerprint(t) for i, t in texts.items()}, corpus_pipeline.NEAR_BITS)
-    assert left == {i for i, g in groups.items() if i == g}
+    assert left == near_group_firsts(texts)
 
     texts, left = kept["benchmark decontamination"]
     items = list(pd.read_parquet(f"{SMALL}/benchmark.parquet")[["item_id", "text"]].itertuples(index=False))

@@ -9,6 +9,7 @@ import pytest
 
 from millrace.llm import queries
 from millrace.llm.sentencepiece_codec import BLANK, Codec, Encoder, Vocabulary, decoded, encoded
+from tests.llm.rows import rows_of  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

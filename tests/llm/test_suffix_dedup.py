@@ -11,6 +11,7 @@ import pytest
 
 from millrace.llm import queries, suffix_dedup
 from millrace.llm.suffixes import common_prefixes, suffix_array
+from tests.llm.rows import rows_of  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

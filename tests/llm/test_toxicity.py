@@ -10,6 +10,7 @@ import pytest
 from millrace.llm import queries, toxicity
 from millrace.llm.blockmax import BlockMaxIndex
 from millrace.llm.common import table
+from tests.llm.rows import rows_of  # noqa: F401
 
 
 @pytest.mark.parametrize("block", [1, 7, 64])
