@@ -2,12 +2,14 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from millrace.oracle.sql import all_sql
+from millrace.registry import QUERIES
 from verify import compare, connect
 
 from conftest import SMALL, plan_of
 
-SQL = oracle_sql()
+SQL = all_sql()
 
 # Results that SQL does not determine: any k rows, estimates, Spark's own hash.
 ROWS_ONLY = {
@@ -21,13 +23,13 @@ def duck():
 
 
 def test_every_query_has_a_check():
-    assert set(queries()) - set(SQL) == ROWS_ONLY
-    assert set(SQL) <= set(queries())
+    assert set(QUERIES) - set(SQL) == ROWS_ONLY
+    assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    query = queries()[name](spark, SMALL)
+    query = QUERIES[name](spark, SMALL)
     plan = plan_of(query)
     for avoided in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert avoided not in plan
