@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    chat, collocations, decontamination, exact_dedup, html_extraction, phrase_dedup, sentencepiece_codec, sharding, simhash, suffix_dedup, toxicity,
+    chat, collocations, decontamination, exact_dedup, html_extraction, phrase_dedup, quality_rules, sentencepiece_codec, sharding, simhash,
+    suffix_dedup, toxicity,
 )
 from .common import table, text_or_empty
 
@@ -76,11 +77,16 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op13_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_suffix_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op7_decontamination, op8_phrase_dedup,
-    op9_sentencepiece, op10_html_extraction, op13_collocation_mining,
+    op9_sentencepiece, op10_html_extraction, op12_quality_rules, op13_collocation_mining,
 )}

@@ -6,6 +6,8 @@ result SQL determines, DuckDB has no XXH64, and the rest is string work on trees
 
 from __future__ import annotations
 
+from . import quality_rules
+
 # Texts below hold no lone NUL and DuckDB's regular expressions know no \x in classes of text, hence the escapes.
 BLANKS = r"[\t\n\x0B\f\r ]+"
 
@@ -58,7 +60,8 @@ FROM d LEFT JOIN kept USING (doc_id)"""
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ORACLE_SQL["op13_collocation_mining"] = rf"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_ALPHABET}', '{_ALPHABET.lower()}'), '[.,;:!?
-]')) AS piece
+
+]')) AS piece
            FROM documents),
 w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[	 ]+'), lambda x: x <> '') AS w FROM p),
 total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
@@ -73,3 +76,31 @@ weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gra
 named AS (SELECT *, array_to_string(gram, ' ') AS phrase FROM weakest)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM named JOIN total USING (lang) QUALIFY rank <= 2000"""
+
+_RULES, _LOSS = quality_rules.RULES, quality_rules.RISK / len(quality_rules.RULES)
+_LADDER = ", ".join(f"({i}, {s}, {c})" for i, r in enumerate(_RULES) for s, c in enumerate(r.steps()))
+_VALUES = ", ".join(f"{'-' if r.low else ''}(1000 * {r.count} // greatest(n_words, 1))" for r in _RULES)
+ORACLE_SQL["op12_quality_rules"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(lang, 'und') AS lang, coalesce(text, '') AS t,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '{BLANKS}'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT row, unnest(range(0, len(w) - 4)) AS s, w FROM d),
+k AS (SELECT row, s, count(*) OVER (PARTITION BY row, w[s + 1:s + 5]) AS n FROM p),
+rep AS (SELECT row, count(DISTINCT i) AS n FROM (SELECT row, unnest(range(s, s + 5)) AS i FROM k WHERE n > 1) GROUP BY row),
+l AS (SELECT row, unnest(string_split(t, chr(10))) AS line FROM d),
+dup AS (SELECT row, count(*) - count(DISTINCT line) AS n FROM l WHERE regexp_replace(line, '{BLANKS}', '', 'g') <> '' GROUP BY row),
+m AS (SELECT row, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '{BLANKS}', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+      FROM d LEFT JOIN dup USING (row) LEFT JOIN rep USING (row)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, [{_VALUES}] AS v FROM m),
+label AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+held AS (SELECT doc_id, lang, good, r, max(v[r + 1]) AS v FROM b JOIN label USING (doc_id), range(0, {len(_RULES)}) t(r) WHERE NOT base_failed GROUP BY ALL),
+tally AS (SELECT lang, r, step, cutoff, count(*) FILTER (good) AS good, count(*) FILTER (NOT good) AS bad, count(*) FILTER (good AND v > cutoff) AS lost,
+                 count(*) FILTER (NOT good AND v > cutoff) AS caught FROM held, (VALUES {_LADDER}) c(r2, step, cutoff) WHERE r2 = r GROUP BY ALL),
+open AS (SELECT *, (SELECT count(DISTINCT lang) FROM tally WHERE good > 0) * {len(_RULES)} AS tests FROM tally WHERE good > 0 AND lost < good * {_LOSS!r}),
+chance AS (SELECT lang, r, step, sum(exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln({_LOSS!r}) + (good - i) * ln(1 - {_LOSS!r}))) AS p
+           FROM (SELECT *, unnest(range(0, lost + 1)) AS i FROM open) GROUP BY ALL),
+chosen AS (SELECT lang, r, cutoff FROM open JOIN chance USING (lang, r, step) WHERE p <= {quality_rules.ERROR!r} / tests AND caught::HUGEINT * good > lost::HUGEINT * bad
+           QUALIFY row_number() OVER (PARTITION BY lang, r ORDER BY caught::HUGEINT * good - lost::HUGEINT * bad DESC, step) = 1),
+bad AS (SELECT DISTINCT row FROM b JOIN chosen USING (lang) WHERE v[r + 1] > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.row IS NULL AS kept FROM b LEFT JOIN bad USING (row)"""
