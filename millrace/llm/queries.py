@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    chat, collocations, decontamination, exact_dedup, html_extraction, phrase_dedup, quality_rules, sentencepiece_codec, sharding, simhash,
+    chat, collocations, conversation_trie, decontamination, exact_dedup, html_extraction, phrase_dedup, quality_rules, sentencepiece_codec, sharding, simhash,
     suffix_dedup, toxicity,
 )
 from .common import table, text_or_empty
@@ -77,6 +77,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, members = conversation_trie.rebuilt(conversation_trie.placed(table(spark, sf_dir, "conversations")))
+    return conversation_trie.trie(turns, members).drop("left_over")
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -88,5 +93,5 @@ def op13_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_suffix_dedup, op3_chat_formatting, op4_sharding, op5_toxicity, op6_simhash_dedup, op7_decontamination, op8_phrase_dedup,
-    op9_sentencepiece, op10_html_extraction, op12_quality_rules, op13_collocation_mining,
+    op9_sentencepiece, op10_html_extraction, op11_conversation_trie, op12_quality_rules, op13_collocation_mining,
 )}

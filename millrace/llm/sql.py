@@ -104,3 +104,32 @@ chosen AS (SELECT lang, r, cutoff FROM open JOIN chance USING (lang, r, step) WH
            QUALIFY row_number() OVER (PARTITION BY lang, r ORDER BY caught::HUGEINT * good - lost::HUGEINT * bad DESC, step) = 1),
 bad AS (SELECT DISTINCT row FROM b JOIN chosen USING (lang) WHERE v[r + 1] > cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.row IS NULL AS kept FROM b LEFT JOIN bad USING (row)"""
+
+# DuckDB has no CRC-32: the table of its byte steps, by its rule.
+_STEPS = ("SELECT i, list_reduce(list_concat([i::UBIGINT], range(8)::UBIGINT[]), "
+          "lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END) AS step FROM range(256) t(i)")
+ORACLE_SQL["op11_conversation_trie"] = rf"""
+WITH RECURSIVE steps AS ({_STEPS}), table_of AS (SELECT list(step ORDER BY i) AS steps FROM steps),
+c AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS t, 0 AS i, 4294967295::UBIGINT AS x FROM c
+        UNION ALL SELECT conv_id, t, i + 1, xor(x // 256, steps[1 + xor(x % 256, ascii(t[i + 1])::UBIGINT)::BIGINT]) FROM crc, table_of WHERE i < length(t)),
+h AS (SELECT conv_id, CAST(xor(x, 4294967295::UBIGINT) % 4 AS BIGINT) AS h, conv_id - conv_id % 20 AS base FROM crc WHERE i = length(t)),
+r AS (SELECT h.conv_id, p AS i, role, text FROM h JOIN c ON c.conv_id = base AND p < h
+      UNION ALL SELECT conv_id, h + p, role, text FROM h JOIN c USING (conv_id) WHERE p >= h),
+s AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS depth FROM r),
+m AS (SELECT conv_id, depth, text, sha256(string_agg(sha256(role || chr(10)) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS k FROM s
+      UNION ALL SELECT conv_id, 0, '', '' FROM h),
+n AS (SELECT depth, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(text) AS text FROM m GROUP BY depth, k),
+named AS (SELECT m.conv_id AS member, m.depth, n.conv_id, n_convs, n.text, m.depth = max(m.depth) OVER (PARTITION BY m.conv_id) AS final FROM m JOIN n USING (depth, k)),
+pairs AS (SELECT DISTINCT a.depth, a.conv_id, b.depth AS below, b.conv_id AS below_id FROM named a JOIN named b ON a.member = b.member AND b.depth >= a.depth),
+kids AS (SELECT depth, conv_id, count(*) FILTER (below = depth + 1) AS n_children FROM pairs GROUP BY ALL),
+own AS (SELECT n.conv_id, n.depth, n_convs, n_children,
+               (n_convs - 1) * len(list_filter(regexp_split_to_array(text, '{BLANKS}'), lambda x: x <> '')) AS saved FROM n JOIN kids USING (depth, conv_id)),
+under AS (SELECT p.depth, p.conv_id, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+          FROM pairs p JOIN own ON own.depth = below AND own.conv_id = below_id GROUP BY ALL),
+ends AS (SELECT depth, conv_id, sha256(string_agg(CAST(member AS VARCHAR), ',' ORDER BY member)) AS ends_sha256 FROM named WHERE final GROUP BY ALL),
+above AS (SELECT below AS depth, below_id AS conv_id, conv_id AS parent_conv_id FROM pairs WHERE below = depth + 1)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM own JOIN under USING (depth, conv_id) LEFT JOIN ends USING (depth, conv_id) LEFT JOIN above USING (depth, conv_id)"""
