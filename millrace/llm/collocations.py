@@ -41,6 +41,7 @@ INSIDE_PERCENT = 50
 LEAVES_PER_GROUP = 1_500_000
 CHUNK_CHARS = 16 << 20
 LEAST_CELLS = 1 << 12
+PARTS = 32
 SCALE = 1_000_000
 
 _UPPER, _LOWER, _CUTS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b".,;:!?\n\x0b\x0c\r"
@@ -269,7 +270,9 @@ def counts(docs: DataFrame, least: int = LEAST, leaves_per_group: int = LEAVES_P
         weights[depth][part["cell"]] = part["n"]
     partition = Partition.packed(weights, leaves_per_group)
     dealt = rows.mapInPandas(_deal(partition, of, chunk_chars), "lang string, group int, block binary")
-    nodes = written(dealt.groupBy("lang", "group").applyInPandas(_subtree(partition, of, least), _NODES), "phrase-counts")
+    # About one group per task.
+    tasks = partitions_for(int(weights[0].sum()), leaves_per_group, docs.sparkSession.sparkContext.defaultParallelism)
+    nodes = written(dealt.repartition(tasks, "lang", "group").groupBy("lang", "group").applyInPandas(_subtree(partition, of, least), _NODES), "phrase-counts")
     shares = nodes.filter("not whole").groupBy("lang", "depth", "first", "second", "third").agg(F.sum("n").alias("n"))
     return nodes.filter("whole").drop("whole").unionByName(shares.filter((F.col("depth") == 0) | (F.col("n") >= least)))
 
@@ -316,7 +319,11 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, inside_per
         "lang", F.concat_ws(" ", "first", "second", "third").alias("phrase"), "a",
         F.array(*[F.struct(F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r")) for k in (1, 2)]).alias("cuts"))
     scored = two.unionByName(three).mapInPandas(_scores, "lang string, phrase string, a long, l long, r long, score long")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    best = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # A language's phrases are first cut down in parts, so its last task gets PARTS * top rows at most.
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    parted = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    first = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    last = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    best = parted.withColumn("rank", first).filter(F.col("rank") <= top).withColumn("rank", last).filter(F.col("rank") <= top)
     words = of[0].select("lang", "n")
     return best.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
