@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import schemas
 from ..functions import fixed_values as V
 from ..functions.texts import typed
+from . import split_csv
 
 # No line holds a line feed, so it can part the captured fields.
 _FIELD_BREAK = "\n"
+_BROKEN = "_broken"
 
 
 def parse_log_lines(lines: DataFrame) -> DataFrame:
@@ -48,12 +50,11 @@ def csv_text(
     A blank field is an empty text. A record that lacks its last fields is set
     aside: it is left out, and with ``short`` only such records come, as far as
     they go. With ``multi_line`` quoted fields may hold line breaks; a file then
-    is one task, so the landing zone needs files of a few hundred MB.
+    is one task (``quoted_csv`` cuts it).
     """
-    broken = "_broken"
     read = (
-        reader.schema(T.StructType([*schema.fields, T.StructField(broken, T.StringType())]))
-        .option("columnNameOfCorruptRecord", broken)
+        reader.schema(_with_broken(schema))
+        .option("columnNameOfCorruptRecord", _BROKEN)
         .option("header", header)
         .option("enforceSchema", True)
         .option("sep", ",")
@@ -63,10 +64,32 @@ def csv_text(
         .option("multiLine", multi_line)
         .csv(path)
     )
-    blank = F.col(broken).isNull()
-    lacking = F.col(broken).isNotNull() & F.col(schema.names[-1]).isNull()
+    return _whole_records(read, schema, short)
+
+
+def _with_broken(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
+
+
+def _whole_records(read: DataFrame, schema: T.StructType, short: bool, keep: tuple[str, ...] = ()) -> DataFrame:
+    blank = F.col(_BROKEN).isNull()
+    lacking = F.col(_BROKEN).isNotNull() & F.col(schema.names[-1]).isNull()
     read = read.filter(lacking if short else ~lacking)
-    return read.select(*[F.when(blank & F.col(c).isNull(), F.lit("")).otherwise(F.col(c)).alias(c) for c in schema.names])
+    return read.select(*[F.when(blank & F.col(c).isNull(), F.lit("")).otherwise(F.col(c)).alias(c) for c in schema.names], *keep)
+
+
+def quoted_csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True, short: bool = False, with_file: bool = False,
+) -> DataFrame:
+    """The same rows as ``csv_text`` with ``multi_line`` and doubled quotes, from several tasks per file.
+
+    ``with_file`` adds the column ``_file``.
+    """
+    found = split_csv.records(spark, path)
+    found = found.filter(~F.col("first")) if header else found
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _with_broken(schema))
+    parsed = found.select(F.col("file").alias("_file"), split_csv.fields(F.col("text"), columns, columnNameOfCorruptRecord=_BROKEN).alias("_r"))
+    return _whole_records(parsed.select("_file", "_r.*"), schema, short, ("_file",) if with_file else ())
 
 
 def scan_sensor_csv(spark: SparkSession, path: str, header: bool = True, escape: str = '"', **options: bool) -> DataFrame:
@@ -77,7 +100,12 @@ def scan_sensor_csv(spark: SparkSession, path: str, header: bool = True, escape:
 def scan_social_csv(
     spark: SparkSession, path: str, header: bool = True, escape: str = '"', multi_line: bool = True, **options: bool,
 ) -> DataFrame:
-    """Social posts. Texts hold line breaks; quotes inside a field are doubled unless ``escape`` says otherwise."""
+    """Social posts. Texts hold line breaks; quotes inside a field are doubled unless ``escape`` says otherwise.
+
+    Files with doubled quotes are read in several tasks each.
+    """
+    if multi_line and escape == '"':
+        return quoted_csv(spark, path, schemas.RAW_SOCIAL, header, **options)
     return csv_text(spark.read, path, schemas.RAW_SOCIAL, header, escape, multi_line, **options)
 
 
