@@ -536,12 +536,16 @@ SQL["scan_sensor_csv"] = SQL["raw_string_typing"]
 SQL["scan_social_csv"] = ((POSTS,), r"""
 SELECT tweet_id, username, user_type, followers, verified, strftime(post_ts, '%Y-%m-%d %H:%M:%S') AS ts, post_text, hashtags, likes, retweets, replies, impressions, language, source
 FROM social_posts""")
+SQL["scan_social_csv_blocks"] = SQL["scan_social_csv"]
 SQL["scan_device_csv"] = SQL["etl_device_metadata"]
 SQL["dynpart_overwrite"] = ((WEB,), """
 SELECT client_ip, http_status, response_bytes, request_ts, dt FROM web_traffic WHERE dt <> '2024-01-15' OR http_status < 400""")
 SQL["csv_tsv_formats"] = SQL["x1_hourly_traffic"]
 for _name in ("web_traffic", "sensor_readings", "social_posts", "device_metadata", "sensor_daily_summary", "trending_hashtags_daily"):
     SQL[f"write_{_name}"] = SQL[f"etl_{_name}"]
+    SQL[f"load_new_{_name}"] = SQL[f"etl_{_name}"]
+    if _name != "device_metadata":
+        SQL[f"stream_{_name}"] = SQL[f"etl_{_name}"]
 SQL["full_overwrite"] = SQL["etl_device_metadata"]
 SQL["multi_insert"] = ((SENSORS, DAILY), """
 SELECT dt, readings, coalesce(summaries, 0) AS summaries FROM (SELECT dt, count(*) AS readings FROM sensor_readings GROUP BY dt)

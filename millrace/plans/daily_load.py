@@ -10,7 +10,7 @@ from ..session import size_shuffles
 from ..sources import catalog, raw
 from ..sources.sinks import csv_export, folder_bytes, in_parallel, overwrite_table
 from ..tables import Tables, catalog_tables
-from . import curate, rollups, sensors, social, web
+from . import curate, incremental, rollups, sensors, social, web
 
 STEPS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "web_traffic": curate.web_traffic,
@@ -77,17 +77,22 @@ def export_reports(tables: Tables, output_root: str) -> dict[str, int]:
 
 def run(
     spark: SparkSession, root: str, input_bytes: int | None = None, days: tuple[str, str] | None = None,
+    only_new: bool = False,
 ) -> dict[str, int]:
     """Databases, tables, load, statistics and reports under one root folder.
 
     ``input_bytes``, by default the size of the landing zone, sets the width of
-    the shuffles; ``days`` as in ``load``.
+    the shuffles; ``days`` as in ``load``. ``only_new`` scans only files that landed since
+    the last such load and rewrites their days (``incremental``).
     """
     size_shuffles(spark, folder_bytes(spark, f"{root}/raw") if input_bytes is None else input_bytes)
     catalog.create_databases(spark, root)
     catalog.create_raw_tables(spark, root)
     catalog.create_processed_tables(spark)
-    load(spark, landing_zone(spark, root), days=days)
+    if only_new:
+        incremental.load_new_files(spark, root)
+    else:
+        load(spark, landing_zone(spark, root), days=days)
     catalog.analyze_all(spark)
     catalog.analyze_raw(spark)
     return export_reports(catalog_tables(spark), f"{root}/output")

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.measures import rows
 from ..session import bucketed_scans, checkpointed
 from ..sources import catalog, raw, sinks
+from ..streaming import ingest
 from ..tables import Tables
-from . import curate, upkeep, web
+from . import curate, incremental, upkeep, web
 
 
 def log_files(lines: DataFrame) -> DataFrame:
@@ -68,13 +69,13 @@ def tsv_report(t: Tables) -> DataFrame:
 
 
 @contextmanager
-def _scratch(spark: SparkSession) -> Iterator[str]:
+def _scratch(spark: SparkSession, bucketed: bool = True) -> Iterator[str]:
     """A database with empty processed tables; it goes when the block ends."""
     name = f"scratch_{uuid.uuid4().hex[:12]}"
     with sinks.staging_folder(spark, "tables") as folder:
         catalog.create_database(spark, name, folder, "round trip", {"layer": "scratch"})
         try:
-            catalog.create_processed_tables(spark, name)
+            catalog.create_processed_tables(spark, name, bucketed)
             yield name
         finally:
             spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
@@ -158,3 +159,61 @@ def bucketed_join(t: Tables) -> DataFrame:
         with bucketed_scans(spark):
             joined = spark.table(f"{database}.facts").join(spark.table(f"{database}.dims").hint("merge"), "device_id")
             return checkpointed(joined.groupBy("sla_tier").agg(rows().alias("readings")))
+
+
+# -- loads of what arrived ---------------------------------------------
+
+
+def _land(rows: DataFrame, folder: str, portion: str) -> None:
+    """Raw rows as landed files: lines as text, the rest as CSV."""
+    if rows.columns == ["value"]:
+        rows.write.text(f"{folder}/{portion}")
+    else:
+        sinks.csv_export(rows, f"{folder}/{portion}", quote_all=True)
+
+
+def _portions(rows: DataFrame) -> list[tuple[str, DataFrame]]:
+    """Two thirds and one third of raw rows by a hash of the first column: most days lie in both."""
+    last = F.crc32(F.col(rows.columns[0]).cast("binary")) % 3 == 0
+    return [("first", rows.filter(~last)), ("second", rows.filter(last))]
+
+
+def loaded_by_new_files(raw_rows: DataFrame, name: str, result: str | None = None) -> DataFrame:
+    """A table after two loads of new files: one load of everything would give the same."""
+    spark = raw_rows.sparkSession
+    with sinks.staging_folder(spark, "landing") as root, _scratch(spark, bucketed=False) as database:
+        for portion, rows in _portions(raw_rows):
+            _land(rows, f"{root}/raw/{incremental.SOURCES[name].folder}", portion)
+            incremental.load_new_files(spark, root, database, [name])
+        return checkpointed(spark.table(f"{database}.{result or name}"))
+
+
+def streamed_by_days(raw_rows: DataFrame, name: str, result: str | None = None) -> DataFrame:
+    """A table after two runs of the stream that replaces days."""
+    spark = raw_rows.sparkSession
+    with sinks.staging_folder(spark, "stream") as root, _scratch(spark, bucketed=False) as database:
+        for portion, rows in _portions(raw_rows):
+            _land(rows, f"{root}/in", portion)
+            stream = ingest.raw_stream(spark, name, f"{root}/in/*")
+            ingest.replace_days_of(stream, name, f"{root}/arrivals", f"{root}/checkpoint", database, once=True).awaitTermination()
+        return checkpointed(spark.table(f"{database}.{result or name}"))
+
+
+@contextmanager
+def _blocks_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Let a task read so many bytes of a file."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def social_csv_in_blocks(raw_posts: DataFrame) -> DataFrame:
+    """Posts from one file that several tasks read."""
+    spark = raw_posts.sparkSession
+    with sinks.staging_folder(spark, "posts") as path, _blocks_of(spark, 256 * 1024):
+        sinks.csv_export(raw_posts, path, quote_all=True, single_file=True)
+        return checkpointed(raw.type_social(raw.scan_social_csv(spark, path)))

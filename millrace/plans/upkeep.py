@@ -68,6 +68,13 @@ def _partition_clause(listed: str) -> str:
     return f"PARTITION ({', '.join(parts)})"
 
 
+def drop_partitions(spark: SparkSession, table: str, listed: list[str]) -> None:
+    """Drop partitions named as SHOW PARTITIONS does."""
+    for at in range(0, len(listed), DROPPED_AT_ONCE):
+        clauses = ", ".join(_partition_clause(p) for p in listed[at:at + DROPPED_AT_ONCE])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
+
+
 def prune_partitions(
     spark: SparkSession, name: str, as_of: str, database: str = PROCESSED_DB, days: int = RETENTION_DAYS
 ) -> list[str]:
@@ -83,7 +90,5 @@ def prune_partitions(
         .filter((F.col("dt") != "") & (F.col("dt").try_cast("date") < limit))
         .collect()  # partition names only
     )
-    for at in range(0, len(old), DROPPED_AT_ONCE):
-        clauses = ", ".join(_partition_clause(r["partition"]) for r in old[at:at + DROPPED_AT_ONCE])
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
+    drop_partitions(spark, table, [r["partition"] for r in old])
     return sorted({r["dt"] for r in old})

@@ -49,6 +49,15 @@ def _summary_variant(t: Tables) -> DataFrame:
     return variant.withColumns({c: half_up(F.col(c), 9) for c in ("avg_temp", "avg_humidity")})
 
 
+_RAW_ROWS = {
+    "web_traffic": adapters.web_log_lines, "sensor_readings": adapters.raw_sensor_readings, "social_posts": adapters.raw_social_posts,
+}
+
+
+def _two_loads(load: Callable[[DataFrame, str, str], DataFrame], name: str, result: str) -> Query:
+    return lambda spark, sf_dir: load(_RAW_ROWS[name](spark, sf_dir), name, result)
+
+
 TABLE_PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     # processed tables
     "etl_web_traffic": lambda t: t.web_traffic,
@@ -208,7 +217,15 @@ QUERIES: dict[str, Query] = {name: _on_tables(plan) for name, plan in TABLE_PLAN
     "archive_snapshot": lambda spark, sf_dir: roundtrips.archived_logs(adapters.web_log_lines(spark, sf_dir)),
     "scan_sensor_csv": lambda spark, sf_dir: roundtrips.sensor_csv(adapters.raw_sensor_readings(spark, sf_dir)),
     "scan_social_csv": lambda spark, sf_dir: roundtrips.social_csv(adapters.raw_social_posts(spark, sf_dir)),
+    "scan_social_csv_blocks": lambda spark, sf_dir: roundtrips.social_csv_in_blocks(adapters.raw_social_posts(spark, sf_dir)),
     "scan_device_csv": lambda spark, sf_dir: roundtrips.device_csv(adapters.raw_device_metadata(spark, sf_dir)),
+    # loads of what arrived
+    **{f"{kind}_{result}": _two_loads(load, name, result) for kind, load in (
+        ("load_new", roundtrips.loaded_by_new_files), ("stream", roundtrips.streamed_by_days)) for name, result in (
+        ("web_traffic", "web_traffic"), ("sensor_readings", "sensor_readings"), ("sensor_readings", "sensor_daily_summary"),
+        ("social_posts", "social_posts"), ("social_posts", "trending_hashtags_daily"))},
+    "load_new_device_metadata": lambda spark, sf_dir: roundtrips.plain_dates(
+        roundtrips.loaded_by_new_files(adapters.raw_device_metadata(spark, sf_dir), "device_metadata")),
     "chk_weblog_sample": _on_logs(checks.log_sample),
     "chk_sensor_status_counts": _on_readings(checks.status_counts),
     "chk_social_user_type_counts": _on_posts(checks.user_type_counts),

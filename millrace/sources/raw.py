@@ -14,8 +14,8 @@ _FIELD_BREAK = "\n"
 _BROKEN = "_broken"
 
 
-def parse_log_lines(lines: DataFrame) -> DataFrame:
-    """Access log lines (column ``value``) to nine columns.
+def parse_log_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Access log lines (column ``value``) to nine columns, after those to ``keep``.
 
     The expression rewrites a matching line once into its nine fields; a line
     that does not match stays in one piece and becomes a row of NULLs. Going
@@ -28,13 +28,13 @@ def parse_log_lines(lines: DataFrame) -> DataFrame:
         F.regexp_replace("value", V.LOG_LINE, _FIELD_BREAK.join(f"${i}" for i in range(1, 10))),
         _FIELD_BREAK,
     )
-    parsed = lines.select(F.explode_outer(F.array(fields)).alias("f"))
+    parsed = lines.select(*keep, F.explode_outer(F.array(fields)).alias("f"))
     whole = F.size("f") == 9
     at = {name: F.when(whole, F.get("f", F.lit(i))) for i, name in enumerate(schemas.RAW_WEB_COLUMNS)}
     at["http_status"] = typed(at["http_status"], "int")
     for name in ("rfc_ident", "auth_user"):
         at[name] = F.nullif(at[name], F.lit("-"))
-    return parsed.select(*[c.alias(name) for name, c in at.items()])
+    return parsed.select(*keep, *[c.alias(name) for name, c in at.items()])
 
 
 def scan_clf(spark: SparkSession, path: str) -> DataFrame:
@@ -44,13 +44,14 @@ def scan_clf(spark: SparkSession, path: str) -> DataFrame:
 
 def csv_text(
     reader, path: str, schema: T.StructType, header: bool = True, escape: str = "\\", multi_line: bool = False, short: bool = False,
+    with_file: bool = False,
 ) -> DataFrame:
     """CSV columns as text, bound by position, through a batch or stream reader.
 
     A blank field is an empty text. A record that lacks its last fields is set
     aside: it is left out, and with ``short`` only such records come, as far as
     they go. With ``multi_line`` quoted fields may hold line breaks; a file then
-    is one task (``quoted_csv`` cuts it).
+    is one task (``quoted_csv`` cuts it). ``with_file`` adds the column ``_file``.
     """
     read = (
         reader.schema(_with_broken(schema))
@@ -64,7 +65,9 @@ def csv_text(
         .option("multiLine", multi_line)
         .csv(path)
     )
-    return _whole_records(read, schema, short)
+    if with_file:
+        read = read.withColumn("_file", F.col("_metadata.file_path"))
+    return _whole_records(read, schema, short, ("_file",) if with_file else ())
 
 
 def _with_broken(schema: T.StructType) -> T.StructType:

@@ -1,12 +1,13 @@
-"""The load of logs and readings as streams over the landing folders.
+"""The load as streams over the landing folders.
 
 The landing zone only ever gains files, so the batch steps carry over: the
-same parsing and scoring run on each new file.
+same parsing and scoring run on each new file. ``append_to`` adds rows as they
+come; ``replace_days_of`` keeps the tables as a batch load would leave them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,8 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas
 from ..functions.measures import count_where, rows
 from ..functions import fixed_values as V
-from ..plans import curate
+from ..plans import curate, incremental
+from ..sources.catalog import PROCESSED_DB
 from ..sources.raw import csv_text, parse_log_lines
+from ..sources.sinks import overwrite_path
 
 
 def log_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -26,6 +29,23 @@ def sensor_stream(spark: SparkSession, path: str) -> DataFrame:
     return csv_text(spark.readStream, path, schemas.RAW_SENSOR)
 
 
+def post_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Posts with line breaks; a landed file is one task here."""
+    return csv_text(spark.readStream, path, schemas.RAW_SOCIAL, escape='"', multi_line=True)
+
+
+def raw_stream(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """The raw rows that feed a table with days."""
+    match name:
+        case "web_traffic":
+            return parse_log_lines(log_stream(spark, path))
+        case "sensor_readings":
+            return csv_text(spark.readStream, path, schemas.RAW_SENSOR, escape='"')
+        case "social_posts":
+            return post_stream(spark, path)
+    raise KeyError(name)
+
+
 def web_traffic(lines: DataFrame) -> DataFrame:
     """Parsing keeps no state: every line stands for itself."""
     return curate.web_traffic(parse_log_lines(lines))
@@ -69,3 +89,38 @@ def append_to(
     if once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def day_replacer(name: str, arrivals: str, database: str = PROCESSED_DB) -> Callable[[DataFrame, int], None]:
+    """A step for ``foreachBatch`` that leaves the tables as a batch load of all arrived rows would.
+
+    Raw rows are kept in ``arrivals`` by day and batch, and each day a batch touches is built from all its
+    arrivals: duplicates from different batches meet, late rows find their day, and the daily summary follows.
+    A batch that comes again, after a failure, replaces its own arrivals and writes the same days once more.
+    """
+    source = incremental.SOURCES[name]
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        dated = source.dated(batch).withColumn("arrival_day", F.nullif("_day", F.lit(incremental.NO_DAY))).drop("_day")
+        overwrite_path(dated.withColumn("arrival_batch", F.lit(number).cast("long")), arrivals, ["arrival_day", "arrival_batch"])
+        schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in batch.schema)}, arrival_day string, arrival_batch long"
+        kept = spark.read.schema(schema).orc(arrivals).withColumn("arrival_day", F.coalesce("arrival_day", F.lit(incremental.NO_DAY)))
+        days = [r[0] for r in kept.filter(F.col("arrival_batch") == number).select("arrival_day").distinct().collect()]  # calendar days
+        if days:
+            rows = kept.filter(F.col("arrival_day").isin(days)).select(*batch.columns)
+            incremental.rewrite(rows, name, days, database)
+
+    return write
+
+
+def replace_days_of(
+    stream: DataFrame, name: str, arrivals: str, checkpoint: str, database: str = PROCESSED_DB, once: bool = False,
+) -> StreamingQuery:
+    """Feed a table with days, and its daily summary, from raw rows; see ``day_replacer``.
+
+    ``arrivals`` and ``checkpoint`` must lie in shared storage. ``once`` works off what is there and stops.
+    The stream writes in a session of its own: one that read the tables before calls ``refreshTable``.
+    """
+    writer = stream.writeStream.foreachBatch(day_replacer(name, arrivals, database)).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
