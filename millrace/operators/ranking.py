@@ -1,4 +1,4 @@
-"""Ranks over a count measure without sorting all rows in one task."""
+"""Ranks and row numbers without sorting all rows in one task."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.measures import rows
+from ..session import checkpointed
 
 
 def rank_by_measure(
@@ -55,32 +56,52 @@ def rank_by_measure(
     return joined.withColumns(out).drop(*values)
 
 
-def number_rows(df: DataFrame, keys: Sequence[Column], name: str, parts: int = 64) -> DataFrame:
+def _in_order(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """The rows in order over range partitions, with ``_stretch`` (partition) and ``_place`` (from 0) in it.
+
+    Checkpointed: the bounds come from a sample, so the rows must be dealt once and for all.
+    """
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    kept = checkpointed(ordered)
+    return kept.withColumns({"_stretch": F.shiftright("_at", 33), "_place": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_at")
+
+
+def number_rows(df: DataFrame, keys: Sequence[Column], name: str) -> DataFrame:
     """Row number over all rows, of any number, in the ascending order of ``keys`` (NULL first) without ties.
 
-    A window without partition would bring all rows into one task. Bounds from
-    a bounded sample (``16 * parts`` rows, taken by hash, so the same each time)
-    part the rows into stretches; a row's number is its place in its stretch
-    plus the rows of the stretches before. Nothing is written.
+    A window without partition would bring all rows into one task. Range partitions are sorted side by side
+    instead, as many as shuffles have; a row's number is its place plus the rows of the partitions before.
     """
-    of = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
-    keyed = df.withColumn("_key", of)
-    kind = keyed.schema["_key"].dataType
-    sample = keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(16 * parts).orderBy("_key").collect()
-    bounds = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r["_key"], kind.fields, strict=True)]) for r in sample[16::16]
-    ]
-    stretch = F.size(F.filter(F.array(*bounds), lambda b: b <= F.col("_key"))) if bounds else F.lit(0)
-    dealt = keyed.withColumn("_stretch", stretch)
-    earlier = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    before = dealt.groupBy(F.col("_stretch").alias("_s")).agg(rows().alias("_n")).select(
-        "_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
-    within = Window.partitionBy("_stretch").orderBy("_key")
-    # Broadcast: one row per stretch.
-    return (
-        dealt.withColumn("_place", F.row_number().over(within))
-        .join(F.broadcast(before), F.col("_stretch") == F.col("_s"))
-        .withColumn(name, F.col("_before") + F.col("_place"))
-        .select(*df.columns, name)
-    )
+    dealt = _in_order(df, [k.asc_nulls_first() for k in keys])
+    earlier = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = dealt.groupBy("_stretch").agg(rows().alias("_n")).select("_stretch", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    # Broadcast: one row per partition.
+    return dealt.join(F.broadcast(before), "_stretch").withColumn(name, F.col("_before") + F.col("_place") + 1).select(*df.columns, name)
+
+
+def rank_by_range(
+    df: DataFrame, measure: str, rank: str = "rank", dense_rank: str | None = None, percent_rank: str | None = None,
+) -> DataFrame:
+    """Add the rank of each row by a measure of any type and any number of values, descending, NULL last.
+
+    The distinct values with their ties are ranked in range partitions: rows and values of the partitions
+    before, plus those before in the partition. Rows meet their value's ranks in a join that Spark sizes: it
+    broadcasts few values, else it shuffles and splits the parts of a value that many rows have.
+    """
+    values = df.groupBy(F.col(measure).alias("_value")).agg(rows().alias("_ties"))
+    dealt = _in_order(values, [F.desc_nulls_last("_value")])
+    within = Window.partitionBy("_stretch").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy("_stretch").agg(F.sum("_ties").alias("_n"), rows().alias("_v")).select(
+        "_stretch", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_rows_before"),
+        F.coalesce(F.sum("_v").over(earlier), F.lit(0)).alias("_values_before"), F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("_of"))
+    # Broadcast: one row per partition.
+    ranked = dealt.withColumn("_ahead", F.coalesce(F.sum("_ties").over(within), F.lit(0))).join(F.broadcast(totals), "_stretch").select(
+        "_value", (F.col("_rows_before") + F.col("_ahead") + 1).alias("_rank"), (F.col("_values_before") + F.col("_place") + 1).alias("_dense"), "_of")
+    out = {rank: F.col("_rank")}
+    if dense_rank:
+        out[dense_rank] = F.col("_dense")
+    if percent_rank:
+        out[percent_rank] = F.when(F.col("_of") > 1, (F.col("_rank") - 1) / (F.col("_of") - 1)).otherwise(F.lit(0.0))
+    joined = df.join(ranked, F.col(measure).eqNullSafe(F.col("_value")))
+    return joined.withColumns(out).drop("_value", "_rank", "_dense", "_of")

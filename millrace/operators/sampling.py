@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def bucket_sample(df: DataFrame, column: str, bucket: int, of: int) -> DataFrame:
@@ -16,6 +16,25 @@ def bucket_sample(df: DataFrame, column: str, bucket: int, of: int) -> DataFrame
     return df.filter(F.pmod(F.hash(column), F.lit(of)) == bucket - 1)
 
 
+def table_bucket_sample(spark: SparkSession, table: str, bucket: int, of: int) -> DataFrame:
+    """The same rows of a bucketed table from the files of that bucket alone.
+
+    Spark writes the bucket's number into a file's name and drops files by a condition on their names before
+    it reads them. ``of`` may divide the table's number of buckets or be a multiple of it; else, and on tables
+    with other buckets, all files are read. Files without a number count as holding any bucket.
+    """
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    columns = described.get("Bucket Columns", "[]").strip("[]").replace("`", "").split(", ")
+    if len(columns) != 1 or not columns[0]:
+        raise ValueError(f"{table} has no single bucket column")
+    buckets, sample = int(described["Num Buckets"]), bucket_sample(spark.table(table), columns[0], bucket, of)
+    if buckets % of and of % buckets:
+        return sample
+    wanted = [b for b in range(buckets) if b % of == bucket - 1] if of <= buckets else [(bucket - 1) % buckets]
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{5})(?:\.c\d+)?\.[^_]*$", 1)
+    return sample.filter(number.isin(["", *(f"{b:05}" for b in wanted)]))
+
+
 def digest_sample(df: DataFrame, column: str, bucket: int, of: int) -> DataFrame:
     """The rows of one bucket by the leading 32 bits of the MD5 of ``column``; NULL is in none."""
     if not 1 <= bucket <= of:

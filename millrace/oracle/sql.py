@@ -555,6 +555,24 @@ SQL["archive_snapshot"] = SQL["scan_clf"]
 SQL["compact_partition"] = SQL["etl_sensor_readings"]
 SQL["retention_prune"] = ((WEB,), "SELECT * FROM web_traffic WHERE dt >= '2024-01-10'")
 SQL["join_smb_bucket"] = SQL["join_map_broadcast"]
+SQL["bucket_sample_files"] = ((WEB,), "SELECT client_ip, count(*) AS requests FROM web_traffic GROUP BY client_ip")
+SQL["w_rank_double"] = ((SENSORS,), f"""
+SELECT reading_id, temperature, rank() OVER w AS rank, dense_rank() OVER w AS dense, {rnd("percent_rank() OVER w", 6)} AS pr
+FROM sensor_readings WINDOW w AS (ORDER BY temperature DESC NULLS LAST)""")
+SQL["agg_count_distinct_grains"] = ((WEB,), """
+SELECT coalesce(dt, 'ALL') AS dt, coalesce(request_hour, -1) AS request_hour, count(DISTINCT client_ip) AS unique_visitors
+FROM web_traffic GROUP BY GROUPING SETS ((dt, request_hour), (dt), ())""")
+
+
+def _statistics(column: str, number: bool) -> str:
+    low, high = (f"CAST({f}({column}) AS {'DOUBLE' if number else 'VARCHAR'})" for f in ("min", "max"))
+    numbers, texts = (f"{low} AS min_{{0}}, {high} AS max_{{0}}", "CAST(NULL AS {1}) AS min_{0}, CAST(NULL AS {1}) AS max_{0}")[::1 if number else -1]
+    return (f"SELECT '{column}' AS column_name, count(*) AS row_count, count(*) FILTER ({column} IS NULL) AS null_count, {numbers.format('number', 'DOUBLE')}, "
+            f"{texts.format('text', 'VARCHAR')}, count(DISTINCT {column}) AS distinct_values, TRUE AS estimate_is_near FROM sensor_readings")
+
+
+SQL["column_statistics_daily"] = ((SENSORS,), " UNION ALL ".join(
+    _statistics(c, c not in ("device_id", "status")) for c in ("device_id", "temperature", "humidity", "status", "data_quality_score")))
 
 
 def all_sql() -> dict[str, str]:

@@ -8,7 +8,8 @@ from ..functions import fixed_values as V
 from ..functions.labels import day_name, first_match, humidity_breach, no_reading, out_of_range, quality_score, temp_breach
 from ..functions.measures import count_where, half_up, mean, percent, rows
 from ..functions.texts import hashtag_tokens, log_time
-from ..operators.ranking import number_rows, rank_by_measure
+from ..operators.distinct import bitmaps, dictionary, distinct_by_grain
+from ..operators.ranking import number_rows, rank_by_measure, rank_by_range
 from ..operators.sampling import digest_sample, sampled
 from ..operators.skew import skew_join, two_pass_groupby
 from ..operators.toplists import keep_top_keys, top
@@ -276,11 +277,11 @@ def lag(t: Tables) -> DataFrame:
 
 
 def rank_all(t: Tables) -> DataFrame:
-    return rank_by_measure(hashtag_totals(t), "total_mentions", rank="mention_rank")
+    return rank_by_range(hashtag_totals(t), "total_mentions", rank="mention_rank")
 
 
 def dense_rank_all(t: Tables) -> DataFrame:
-    return rank_by_measure(hashtag_totals(t), "total_mentions", dense_rank="mention_dense_rank").drop("rank")
+    return rank_by_range(hashtag_totals(t), "total_mentions", dense_rank="mention_dense_rank").drop("rank")
 
 
 def row_number_all(t: Tables) -> DataFrame:
@@ -288,10 +289,25 @@ def row_number_all(t: Tables) -> DataFrame:
 
 
 def percent_rank_all(t: Tables) -> DataFrame:
-    ranked = rank_by_measure(hashtag_totals(t), "total_mentions", percent_rank="pr")
+    ranked = rank_by_range(hashtag_totals(t), "total_mentions", percent_rank="pr")
     return ranked.select("hashtag", "total_mentions", half_up(F.col("pr"), 4).alias("percentile"))
 
 
+def rank_of_readings(t: Tables) -> DataFrame:
+    """Readings by temperature, a measure with many values and NULLs."""
+    readings = t.sensor_readings.select("reading_id", "temperature")
+    ranked = rank_by_range(readings, "temperature", dense_rank="dense", percent_rank="pr")
+    return ranked.withColumn("pr", half_up(F.col("pr"), 6))
+
+
+def visitors_by_grain(t: Tables) -> DataFrame:
+    """Visitors per hour, per day and in all, from the bitmaps of hours."""
+    traffic, by = t.web_traffic.select("client_ip", "dt", "request_hour"), ["dt", "request_hour"]
+    hourly = bitmaps(traffic, "client_ip", dictionary(traffic, "client_ip"), by)
+    return distinct_by_grain(hourly, by, [by, ["dt"], []], "unique_visitors").select(
+        F.coalesce("dt", F.lit("ALL")).alias("dt"), F.coalesce("request_hour", F.lit(-1)).alias("request_hour"), "unique_visitors")
+
+
 def rank_per_day(t: Tables) -> DataFrame:
     listed = t.trending_hashtags_daily.select("dt", "hashtag", "mention_count")
     return rank_by_measure(listed, "mention_count", within=["dt"], rank="daily_rank")

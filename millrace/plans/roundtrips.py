@@ -7,12 +7,13 @@ drops a checkpoint when nothing refers to it any more.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.measures import rows
+from ..operators import sampling, statistics
 from ..session import bucketed_scans, checkpointed
 from ..sources import catalog, raw, sinks
 from ..streaming import ingest
@@ -113,6 +114,32 @@ def several_tables(t: Tables) -> DataFrame:
         return checkpointed(readings.join(summaries, "dt", "left").fillna(0, ["summaries"]))
 
 
+def sampled_bucket_files(t: Tables, of: int = 4) -> DataFrame:
+    """All samples of one bucket, each from its own files: together every row once."""
+    spark = t.web_traffic.sparkSession
+    with _scratch(spark) as database:
+        sinks.overwrite_table(t.web_traffic, "web_traffic", database)
+        table, found = f"{database}.web_traffic", None
+        for bucket in range(1, of + 1):
+            own = sampling.table_bucket_sample(spark, table, bucket, of).groupBy("client_ip").agg(rows().alias("requests"))
+            found = own if found is None else found.unionByName(own)
+        return checkpointed(found)
+
+
+def merged_profile(t: Tables, columns: Sequence[str]) -> DataFrame:
+    """Statistics kept by day, one day replaced, merged; and whether the estimates are near."""
+    readings = t.sensor_readings
+    spark = readings.sparkSession
+    with sinks.staging_folder(spark, "statistics") as path:
+        sinks.overwrite_path(statistics.daily_statistics(readings, columns), path, ["dt"])
+        one_day = readings.filter(F.col("dt") == readings.agg(F.min("dt")).first()[0])
+        sinks.overwrite_path(statistics.daily_statistics(one_day, columns), path, ["dt"])
+        merged = checkpointed(statistics.merged_statistics(spark.read.orc(path)))
+    exact = readings.agg(*[F.countDistinct(c).alias(c) for c in columns]).unpivot([], list(columns), "column_name", "distinct_values")
+    near = F.abs(F.col("approx_distinct") - F.col("distinct_values")) <= F.greatest(F.col("distinct_values") * statistics.SKETCH_ERROR, F.lit(1.0))
+    return merged.join(exact, "column_name").withColumn("estimate_is_near", near).drop("approx_distinct")
+
+
 def delimited_report(t: Tables) -> DataFrame:
     """The hourly traffic report without header or compression, read back."""
     report = web.hourly_path_status(t)

@@ -126,6 +126,8 @@ TABLE_PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "column_profile": lambda t: column_profile(t.sensor_readings, PROFILE_COLUMNS),
     "column_cardinality": lambda t: checked_cardinality(t.sensor_readings, PROFILE_COLUMNS),
     "bucket_sample": rel.client_bucket,
+    "bucket_sample_files": roundtrips.sampled_bucket_files,
+    "column_statistics_daily": lambda t: roundtrips.merged_profile(t, PROFILE_COLUMNS),
     # projections and filters
     "p_select_alias": rel.select_alias,
     "p_literal_cols": rel.literal_columns,
@@ -158,6 +160,7 @@ TABLE_PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "agg_groupby_expr": rel.groupby_expression,
     "agg_count_star_col": rel.count_star_and_column,
     "agg_count_distinct": rel.count_distinct,
+    "agg_count_distinct_grains": rel.visitors_by_grain,
     "agg_count_distinct_estimate": rel.count_distinct_estimate,
     "agg_sum_avg_min_max": rel.sum_avg_min_max,
     "agg_conditional_sum": rel.conditional_sum,
@@ -172,6 +175,7 @@ TABLE_PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "w_dense_rank": rel.dense_rank_all,
     "w_row_number_global": rel.row_number_all,
     "w_percent_rank": rel.percent_rank_all,
+    "w_rank_double": rel.rank_of_readings,
     "w_rank_partitioned": rel.rank_per_day,
     "w_sum_partition": rel.sum_per_key,
     "w_nested": rel.rank_of_sum,
