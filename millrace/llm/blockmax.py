@@ -98,23 +98,26 @@ class BlockMaxIndex:
         own = self.common[queries.at] >= 0
         common[queries.row_numbers()[own], self.common[queries.at[own]]] = queries.data[own]
         bounds = common @ self.maxima + np.maximum.reduceat(rare, self.starts, axis=1)
-        best = np.full((many, k), -1.0, np.float32)
-        places = np.full((many, k), self.count, np.int64)
+        found = np.full((many, self.count), -1.0, np.float32)
 
         def look(b: int, at: np.ndarray) -> None:
             part = slice(b * self.block, (b + 1) * self.block)
-            found = rare[at, part] + common[at] @ self.full[:, part]
-            merged = np.concatenate([best[at], found], axis=1)
-            names = np.concatenate([places[at], np.broadcast_to(self.order[part], found.shape)], axis=1)
-            pick = np.lexsort((names, -np.round(merged, 5)))[:, :k]
-            best[at] = np.take_along_axis(merged, pick, 1)
-            places[at] = np.take_along_axis(names, pick, 1)
+            found[at, part] = rare[at, part] + common[at] @ self.full[:, part]
 
         foremost = bounds.argmax(axis=1)
         for b in np.unique(foremost):
             look(b, np.flatnonzero(foremost == b))
-        for b in np.argsort(-bounds.sum(axis=0), kind="stable"):
-            at = np.flatnonzero((bounds[:, b] + 2e-5 >= best[:, -1]) & (foremost != b))
-            if len(at):
-                look(b, at)
-        return best, places
+        # What a block must promise: the k-th best so far, less than any block could hide behind rounding.
+        least = np.partition(found, self.count - k, axis=1)[:, self.count - k]
+        wanted = bounds + 2e-5 >= least[:, None]
+        wanted[np.arange(many), foremost] = False
+        for b in np.flatnonzero(wanted.any(axis=0)):
+            look(b, np.flatnonzero(wanted[:, b]))
+        rounded = np.round(found, 5)
+        least = np.partition(rounded, self.count - k, axis=1)[:, self.count - k]
+        row, col = np.nonzero(rounded >= least[:, None])
+        names = self.order[col]
+        pick = np.lexsort((names, -rounded[row, col], row))
+        first = np.searchsorted(row, np.arange(many))
+        pick = pick[first[:, None] + np.arange(k)]
+        return found[row[pick], col[pick]], names[pick]

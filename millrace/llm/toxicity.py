@@ -4,7 +4,7 @@
    more rows of both, taken by a hash of the id. These bounds are parameters of
    the fit; everything else covers all data.
 2. Features: words in lower case and their beginnings of four and five letters.
-   The vocabulary are all features of the examples.
+   The vocabulary are all features of the examples, as sorted 64-bit hashes.
 3. Document frequencies for the vocabulary over all documents; TF-IDF vectors
    of unit length (1 + ln tf) * (ln((1+n)/(1+df)) + 1) * (1 + chi-square), where
    chi-square tells how far presence in the examples depends on the class. It
@@ -13,7 +13,8 @@
    of sparse postings). Every example is in the index. Examples with equal vectors
    are one entry with its counts of labels. Votes weigh 1 / (0.05 + distance); a
    small prior keeps sparse votes moderate.
-5. Isotonic regression on the calibration rows turns votes into scores.
+5. Isotonic regression on the calibration rows turns votes into scores, where there
+   are ``least_calibration`` of them; else votes are the scores.
 
 A document without any feature of the examples has no neighbour; its vote is
 the prior, calibrated like all others. Evidence lists the nearest example ids.
@@ -34,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .blockmax import BlockMaxIndex, Rows
@@ -42,6 +44,7 @@ from .common import written
 _WORD = re.compile(r"[^\W_]+")
 PREFIXES = (4, 5)
 _ROWS_AT_ONCE = 512
+_CHARS_AT_ONCE = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -49,6 +52,7 @@ class Settings:
     per_class: int = 2048
     calibration: int = 4096
     neighbours: int = 10
+    least_calibration: int = 50
     threshold: float = 0.3
     seed: int = 42
 
@@ -66,6 +70,54 @@ def features(counts: Counter) -> Counter:
     return found
 
 
+def term_hash(term: str) -> int:
+    return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"))
+
+
+def occurrences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, feature (as a hash) and count, sorted, of each feature of each text."""
+    words = [_WORD.findall((t or "").lower()) for t in texts]
+    text = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    flat = np.empty(len(text), object)
+    flat[:] = [w for own in words for w in own]
+    codes, unique = pd.factorize(flat)
+    cell, n = np.unique(text * max(1, len(unique)) + codes, return_counts=True)
+    text, code = np.divmod(cell, max(1, len(unique)))
+    hashed = [np.array([term_hash(w) for w in unique], np.uint64)]
+    long_enough = [np.ones(len(unique), bool)]
+    for size in PREFIXES:
+        long_enough.append(np.array([len(w) >= size for w in unique], bool))
+        hashed.append(np.array([term_hash("^" + w[:size]) for w in unique], np.uint64))
+    kept = [fits[code] for fits in long_enough]
+    text, count = (np.concatenate([x[k] for k in kept]) for x in (text, n))
+    term = np.concatenate([h[code[k]] for h, k in zip(hashed, kept, strict=True)])
+    order = np.lexsort((term, text))
+    text, term, count = text[order], term[order], count[order]
+    starts = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (text[1:] != text[:-1]))) if len(text) else np.zeros(0, int)
+    return text[starts], term[starts], np.add.reduceat(count, starts) if len(starts) else count
+
+
+def _placed(vocabulary: np.ndarray, term: np.ndarray) -> np.ndarray:
+    """The places of hashes in the vocabulary, -1 for others."""
+    if not len(vocabulary):
+        return np.full(len(term), -1)
+    at = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
+    return np.where(vocabulary[at] == term, at, -1)
+
+
+def _portions(texts: pd.Series) -> Iterator[list[str | None]]:
+    """A batch in parts of bounded rows and characters."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text or "")
+        if len(held) >= _ROWS_AT_ONCE or size >= _CHARS_AT_ONCE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
@@ -85,7 +137,7 @@ def _chosen(labels: DataFrame, s: Settings) -> DataFrame:
 
 @dataclass
 class Model:
-    vocabulary: dict[str, int]
+    vocabulary: np.ndarray
     weights: np.ndarray
     index: BlockMaxIndex
     votes: np.ndarray
@@ -96,7 +148,11 @@ class Model:
     settings: Settings
 
     def vectors(self, texts) -> Rows:
-        return _vectors([_known(t, self.vocabulary) for t in texts], self.weights)
+        text, term, n = occurrences(list(texts))
+        at = _placed(self.vocabulary, term)
+        known = at >= 0
+        ends = np.searchsorted(text[known], np.arange(len(texts) + 1))
+        return _weighed(ends, at[known].astype(np.int32), n[known], self.weights)
 
     def raw(self, vectors: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Votes, and the similarities and places of the neighbours."""
@@ -112,24 +168,6 @@ class Model:
         return np.interp(raw, self.cuts, self.levels)
 
 
-def _known(text: str | None, vocabulary: dict[str, int]) -> dict[int, int]:
-    found: dict[int, int] = {}
-    get = vocabulary.get
-    for word, n in word_counts(text).items():
-        for name in (word, "^" + word[:4] if len(word) >= 4 else None, "^" + word[:5] if len(word) >= 5 else None):
-            at = get(name)
-            if at is not None:
-                found[at] = found.get(at, 0) + n
-    return found
-
-
-def _vectors(known: list[dict[int, int]], weights: np.ndarray) -> Rows:
-    known = [sorted(counts.items()) for counts in known]
-    ends = np.cumsum([0, *map(len, known)])
-    at = np.fromiter((x for counts in known for x, _ in counts), np.int32, ends[-1])
-    return _weighed(ends, at, np.fromiter((n for counts in known for _, n in counts), np.int32, ends[-1]), weights)
-
-
 def _weighed(ends: np.ndarray, at: np.ndarray, tf: np.ndarray, weights: np.ndarray) -> Rows:
     data = (1 + np.log(tf)) * weights[at]
     sizes = np.diff(ends)
@@ -169,21 +207,27 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
 
     def terms_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            counts = [dict(features(word_counts(t))) for t in rows["text"]]
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "y": rows["y"], "role": rows["role"], "terms": [list(c) for c in counts], "counts": [list(c.values()) for c in counts]})
-
-    seen = written(sample.mapInPandas(terms_of, "doc_id long, y int, role int, terms array<string>, counts array<int>"), "toxic-examples")
+            for _, one in rows.groupby(np.arange(len(rows)) // _ROWS_AT_ONCE):
+                text, term, n = occurrences(list(one["text"]))
+                ends = np.searchsorted(text, np.arange(len(one) + 1))
+                parts = list(zip(ends, ends[1:]))
+                yield pd.DataFrame({"doc_id": one["doc_id"].array, "y": one["y"].array, "role": one["role"].array,
+                                    "terms": [term[i:j].view(np.int64) for i, j in parts], "counts": [n[i:j].astype(np.int32) for i, j in parts]})
+
+    seen = written(sample.mapInPandas(terms_of, "doc_id long, y int, role int, terms array<long>, counts array<int>"), "toxic-examples")
     sizes = {int(r["y"]): int(r["n"]) for r in seen.filter("role = 0").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     natural = seen.filter("role = 1").agg(F.avg("y")).first()[0]
     base = float(natural) if natural is not None else toxic / max(1, toxic + clean)
-    unlearnt = Model({}, np.zeros(0), BlockMaxIndex(np.zeros((0, 0), np.float32)), np.zeros((0, 2)), [], base, np.zeros(0), np.zeros(0), s)
+    unlearnt = Model(np.zeros(0, np.uint64), np.zeros(0), BlockMaxIndex(np.zeros((0, 0), np.float32)), np.zeros((0, 2)), [], base, np.zeros(0), np.zeros(0), s)
     if not toxic or not clean:
         return unlearnt
 
     # All terms of at most 2 * per_class examples, a bound of the settings.
-    by_term = seen.filter("role = 0").select(F.explode("terms").alias("term"), "y").groupBy("term").agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("n")).orderBy("term").toPandas()
-    vocabulary = {term: i for i, term in enumerate(by_term["term"])}
+    by_term = seen.filter("role = 0").select(F.explode("terms").alias("term"), "y").groupBy("term").agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("n")).toPandas()
+    term = by_term["term"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(term)
+    vocabulary, by_term = term[order], by_term.iloc[order]
     a, n, all_n = by_term["a"].to_numpy(float), by_term["n"].to_numpy(float), float(toxic + clean)
     chi2 = all_n * (a * clean - (n - a) * toxic) ** 2 / np.maximum(n * (all_n - n) * toxic * clean, 1)
     words = spark.sparkContext.broadcast(vocabulary)
@@ -191,8 +235,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df, total = np.zeros(len(words.value), np.int64), 0
         for rows in batches:
-            for t in rows["text"]:
-                df[list(_known(t, words.value))] += 1
+            for texts in _portions(rows["text"]):
+                at = _placed(words.value, occurrences(texts)[1])
+                df += np.bincount(at[at >= 0], minlength=len(df))
             total += len(rows)
         some = np.flatnonzero(df)
         yield pd.DataFrame({"term": np.concatenate([[-1], some]), "df": np.concatenate([[total], df[some]])})
@@ -206,9 +251,12 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            known = [dict(sorted((words.value[t], n) for t, n in zip(*x, strict=True) if t in words.value)) for x in zip(rows["terms"], rows["counts"], strict=True)]
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "y": rows["y"], "role": rows["role"],
-                                "at": [np.fromiter(k, np.int32, len(k)).tobytes() for k in known], "n": [np.fromiter(k.values(), np.int32, len(k)).tobytes() for k in known]})
+            at, n = [], []
+            for terms, counts in zip(rows["terms"], rows["counts"], strict=True):
+                place = _placed(words.value, np.asarray(terms, np.int64).view(np.uint64))
+                at.append(place[place >= 0].astype(np.int32).tobytes())
+                n.append(np.asarray(counts, np.int32)[place >= 0].tobytes())
+            yield pd.DataFrame({"doc_id": rows["doc_id"], "y": rows["y"], "role": rows["role"], "at": at, "n": n})
 
     # One row per example: bounded by the settings.
     rows = seen.mapInPandas(packed, "doc_id long, y int, role int, at binary, n binary").orderBy("doc_id").collect()
@@ -231,7 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     np.add.at(votes[:, 1], group, share)
     ids = [int(names[i]) for i in np.flatnonzero(learn)[first]] if len(first) else []
     model = Model(vocabulary, weights, BlockMaxIndex(unique), votes, ids, base, np.zeros(0), np.zeros(0), s)
-    if (role == 1).sum() >= 50:
+    if (role == 1).sum() >= s.least_calibration:
         model.cuts, model.levels = _isotonic(model.raw(vectors.take(np.flatnonzero(role == 1)))[0], y[role == 1])
     return model
 
@@ -243,16 +291,17 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m: Model = shared.value
         for batch in batches:
-            for at in range(0, len(batch), _ROWS_AT_ONCE):
-                rows = batch.iloc[at:at + _ROWS_AT_ONCE]
-                raw, near, places = m.raw(m.vectors(rows["text"]))
+            at = 0
+            for texts in _portions(batch["text"]):
+                raw, near, places = m.raw(m.vectors(texts))
                 score = np.clip(m.score(raw), 0, 1)
                 real = near > 1e-6
                 yield pd.DataFrame({
-                    "doc_id": rows["doc_id"].array, "score": score.astype(float), "predicted": (score >= m.settings.threshold).astype(np.int32),
+                    "doc_id": batch["doc_id"].iloc[at:at + len(texts)].array, "score": score.astype(float), "predicted": (score >= m.settings.threshold).astype(np.int32),
                     "evidence": [[m.ids[p] for p in row[ok][:3]] for row, ok in zip(places, real, strict=True)],
                     "similarity": [[float(v) for v in row[ok][:3]] for row, ok in zip(near, real, strict=True)],
                 })
+                at += len(texts)
 
     small = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return small.mapInPandas(each, "doc_id long, score double, predicted int, evidence array<long>, similarity array<double>")
@@ -265,7 +314,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     @F.pandas_udf("boolean")
     def rejected(texts: pd.Series) -> pd.Series:
         m: Model = shared.value
-        parts = [m.score(m.raw(m.vectors(texts.iloc[at:at + _ROWS_AT_ONCE]))[0]) for at in range(0, len(texts), _ROWS_AT_ONCE)]
+        parts = [m.score(m.raw(m.vectors(part))[0]) for part in _portions(texts)]
         return pd.Series(np.concatenate([np.zeros(0), *parts]) >= m.settings.threshold)
 
     return docs.filter(~rejected(F.col("text").cast("string")))

@@ -101,7 +101,7 @@ def test_every_word_and_example_counts(rows_of):
     model = toxicity.fit(docs, rows_of(labels, "doc_id long, quality int, toxic int"))
     chosen = [r["__id"] for r in toxicity._chosen(rows_of(labels, "doc_id long, quality int, toxic int"), toxicity.Settings()).filter("role = 0").collect()]
     seen = {f for i in chosen for f in toxicity.features(toxicity.word_counts(rows[i][1]))}
-    assert set(model.vocabulary) == seen and set(model.ids) == set(chosen)
+    assert set(model.vocabulary.tolist()) == set(map(toxicity.term_hash, seen)) and set(model.ids) == set(chosen)
     assert (model.weights > 0).all()
     texts = {i: t for i, t, _ in rows}
     examples = model.vectors([texts[i] for i in model.ids]).toarray()
