@@ -39,7 +39,7 @@ LEAST = 10
 TOP = 2_000
 INSIDE_PERCENT = 50
 LEAVES_PER_GROUP = 1_500_000
-CHUNK_CHARS = 16 << 20
+CHUNK_CHARS = 8 << 20
 LEAST_CELLS = 1 << 12
 PARTS = 32
 SCALE = 1_000_000
