@@ -1,10 +1,12 @@
 """Text to SentencePiece ids and back, by a streaming Viterbi search.
 
 The best segmentation is the one with the largest sum of piece scores, as the
-unigram model defines it, over the pieces and scores of the vocabulary file. The
-search keeps scores for one window of the longest piece only. It commits ids as
-soon as all surviving backpointer paths meet in one boundary, so a text of any
-length needs little memory. A space becomes U+2581, a dummy one goes in front,
+unigram model defines it, over the pieces and scores of the vocabulary file. Open
+paths end within the longest piece of the position reached; ids are committed as
+soon as all backpointer paths meet in one boundary. A word of up to 32 characters
+is searched with others side by side; longer stretches are fed in portions, and the
+window holds one portion and what no meeting has settled yet. Time is linear in the
+length. A space becomes U+2581, a dummy one goes in front,
 and a character that no piece covers falls back to its UTF-8 bytes. U+2581 itself
 in a text goes to bytes too, which makes decoding exact.
 
@@ -29,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 BLANK = "▁"
 _CHECK_EVERY = 64
+_FED = 4096
 _NONE = float("-inf")
 _AT_ONCE = 4_000_000
 
@@ -71,20 +74,34 @@ class Vocabulary:
 
 
 class Encoder:
-    """``feed`` takes text with blanks replaced and returns the ids that are settled; ``finish`` the rest."""
+    """``feed`` takes text with blanks replaced and returns the ids that are settled; ``finish`` the rest.
+
+    Positions count from the start of ``text``; those before ``start`` are committed
+    and leave the window at the next ``feed``.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self._reset()
 
     def _reset(self) -> None:
-        self.text = ""                 # from the last committed boundary on
-        self.best = [0.0]              # by position behind that boundary
+        self.text = ""
+        self.start = 0                 # the last committed boundary
+        self.best = [0.0]              # best sum from that boundary to each position
         self.back = [(0, None)]        # where the best last piece starts, and its id (None: bytes)
         self.done = 0                  # positions whose pieces have been tried
         self.ends = 0                  # the farthest end of a tried piece
+        self.check = _CHECK_EVERY      # where to look for a meeting next
+
+    def _forget(self) -> None:
+        cut, self.start = self.start, 0
+        self.text, self.best = self.text[cut:], self.best[cut:]
+        self.back = [(s - cut, p) for s, p in self.back[cut:]]
+        self.done, self.ends, self.check = self.done - cut, self.ends - cut, self.check - cut
 
     def feed(self, text: str, last: bool = False) -> list[int]:
+        if self.start:
+            self._forget()
         text = self.text = self.text + text
         v, table, best, back = self.v, self.v.table, self.best, self.back
         unknown, longest = v.unknown_score, v.longest
@@ -93,7 +110,7 @@ class Encoder:
         best += [_NONE] * (known + 1 - len(best))
         back += [(0, None)] * (known + 1 - len(back))
         usable = known if last else known - longest + 1
-        done, ends = self.done, self.ends
+        done, ends, check = self.done, self.ends, self.check
         while done < usable:
             base = best[done]
             j = done + 1
@@ -113,16 +130,18 @@ class Encoder:
                         ends = j
                 j += 1
             done += 1
-            if ends > done and done % _CHECK_EVERY:
+            if ends > done and done < check:
                 continue
             self.done, self.ends = done, ends
             # Where nothing reaches past here there is one survivor.
             cut = done if ends == done else self._meeting()
-            if cut:
+            if cut > self.start:
                 ids += self._commit(cut)
-                text, best, back = self.text, self.best, self.back
-                known, usable, done, ends = known - cut, usable - cut, self.done, self.ends
-        self.done, self.ends = done, ends
+                check = done + _CHECK_EVERY
+            else:
+                # Paths that stay apart are walked again only when they have doubled.
+                check = done + max(_CHECK_EVERY, done - self.start)
+        self.done, self.ends, self.check = done, ends, check
         return ids
 
     def _meeting(self) -> int:
@@ -136,21 +155,19 @@ class Encoder:
 
     def _commit(self, cut: int) -> list[int]:
         steps, at = [], cut
-        while at:
+        while at > self.start:
             start, piece = self.back[at]
             steps.append([piece] if piece is not None else [self.v.byte_ids[b] for b in self.text[start:at].encode("utf-8", "surrogatepass")])
             at = start
-        self.text = self.text[cut:]
-        self.best, base = self.best[cut:], self.best[cut]
-        self.best = [s - base for s in self.best]
-        self.back = [(s - cut, p) for s, p in self.back[cut:]]
-        self.done -= cut
-        self.ends -= cut
+        base = self.best[cut]
+        for p in range(cut, self.ends + 1):
+            self.best[p] -= base
+        self.start = cut
         return list(chain.from_iterable(reversed(steps)))
 
     def finish(self) -> list[int]:
         ids = self.feed("", last=True)
-        if self.text:
+        if len(self.text) > self.start:
             ids += self._commit(len(self.text))
         self._reset()
         return ids
@@ -272,7 +289,12 @@ class Codec:
         return parts
 
     def _stream(self, part: str) -> list[int]:
-        return self.encoder.feed(part) + self.encoder.finish() if part else self.literal
+        if not part:
+            return self.literal
+        ids = []
+        for at in range(0, len(part), _FED):
+            ids += self.encoder.feed(part[at:at + _FED])
+        return ids + self.encoder.finish()
 
     def _distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each word, one after the other, and where each begins."""

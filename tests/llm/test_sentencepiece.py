@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pandas as pd
 import pytest
@@ -75,6 +76,50 @@ def test_window_stays_small():
     assert most < 400
 
 
+def test_long_stretches(vocabulary):
+    """Without a blank, the window stays bounded and time grows with the length only."""
+    rng, codec = random.Random(14), Codec(vocabulary)
+    for text in ("".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(100_000)), "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000))):
+        began = time.perf_counter()
+        ids = codec.encode(text)
+        assert time.perf_counter() - began < 10
+        assert codec.decode(ids) == text
+        assert codec.encode(text[:3000]) == whole(vocabulary, BLANK + text[:3000])
+        widest, encoder = 0, Encoder(vocabulary)
+        for at in range(0, len(text), 1000):
+            encoder.feed(text[at:at + 1000])
+            widest = max(widest, len(encoder.best))
+        assert widest < 1000 + 20 * vocabulary.longest
+
+
+def whole(v, text):
+    """The ids of the best path, with every position kept; of equal sums the first found stays."""
+    best, back = [0.0] + [float("-inf")] * len(text), [None] * (len(text) + 1)
+    for i in range(len(text)):
+        for j in range(i + 1, min(len(text), i + v.longest) + 1):
+            options = [(v.unknown_score, None)] if j == i + 1 else []
+            if text[i:j] in v.scores:
+                options.append(v.scores[text[i:j]])
+            for score, piece in options:
+                if best[i] + score > best[j]:
+                    best[j], back[j] = best[i] + score, (i, piece)
+    steps, at = [], len(text)
+    while at:
+        start, piece = back[at]
+        steps.append([piece] if piece is not None else [v.byte_ids[b] for b in text[start:at].encode()])
+        at = start
+    return [i for s in reversed(steps) for i in s]
+
+
+def test_paths_that_never_meet():
+    """Only pairs are pieces: odd and even boundaries stay apart to the end."""
+    v = Vocabulary.of({"aa": (-1.0, 256)}, list(range(256)), [bytes([b]) for b in range(256)] + [b"aa"])
+    began = time.perf_counter()
+    encoder = Encoder(v)
+    ids = encoder.feed("a" * 200_001) + encoder.finish()
+    assert time.perf_counter() - began < 10 and ids.count(256) == 100_000 and ids.count(97) == 1
+
+
 def test_library_agrees(vocabulary):
     """The library's unigram search keeps sums in floats: compare texts without unknown characters."""
     pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
