@@ -40,14 +40,13 @@ def shuffled(docs: DataFrame, shards: int, seed: int = 42, bucket_bytes: int = B
     ranks = Window.partitionBy("__bucket").orderBy("__place", "doc_id")
     numbered = scattered.withColumn("__rank", F.row_number().over(ranks))
 
-    # One row per bucket: where it starts in the whole order, and its permutation.
+    # One narrow row per bucket: where it starts in the whole order, and its size. Each bucket's permutation is drawn beside
+    # that bucket only: the rows are dealt by bucket, permutations included, so none of them travels to all tasks.
     sizes = scattered.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    drawn = sizes.select(
-        F.col("__bucket").alias("__of"),
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"),
-        F.shuffle(F.sequence(F.lit(0), (F.col("__n") - 1).cast("int")), seed).alias("__order"),
-    )
+    starts = sizes.select(F.col("__bucket").alias("__of"), "__n", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    drawn = starts.repartition("__of").select(
+        "__of", "__start", F.shuffle(F.sequence(F.lit(0), (F.col("__n") - 1).cast("int")), seed).alias("__order")).hint("merge")
     order = F.col("__start") + F.element_at("__order", F.col("__rank"))
     dealt = numbered.join(drawn, F.col("__bucket") == F.col("__of")).select(*[F.col(f"`{c}`") for c in kept], order.alias("__at"))
     return dealt.select(
