@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write a result to the shared folder and go on from the files.
 
     Cuts the lineage: a lost executor costs a reread, not a second run of what
@@ -24,7 +24,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.option("compression", codec).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

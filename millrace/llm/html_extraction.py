@@ -345,7 +345,7 @@ def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def templates(read: DataFrame) -> DataFrame:
     """group, the tokens of its valid classes with the recurring paths in doubt (``cut``), and the path that holds most text (``up``)."""
-    different = written(_different(read), "different")
+    different = written(_different(read), "different", "zstd")
     found = written(candidates(different), "candidates")
     words_of = found.select("group", "words").filter(F.size("words") > 0)
     places = F.transform(F.filter("tokens", lambda t: ~t["tag"]), lambda t: F.struct(t["token"].alias("token"), t["place"].alias("place")))
@@ -400,7 +400,7 @@ def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every page."""
-    read = written(packed(pages), "pages")
+    read = written(packed(pages), "pages", "zstd")
     found = written(templates(read), "templates")
     own = found.select(F.col("group").alias("host"), F.struct("cut", "up").alias("own"))
     pooled = found.select(F.col("group").alias("shape"), F.struct("cut", "up").alias("pooled"))
