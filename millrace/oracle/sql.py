@@ -552,7 +552,13 @@ SELECT dt, readings, coalesce(summaries, 0) AS summaries FROM (SELECT dt, count(
 LEFT JOIN (SELECT dt, count(*) AS summaries FROM sensor_daily_summary GROUP BY dt) USING (dt)""")
 SQL["delimited_dir_sink"] = SQL["x1_hourly_traffic"]
 SQL["archive_snapshot"] = SQL["scan_clf"]
+SQL["archive_incremental"] = (SQL["scan_clf"][0], f"SELECT *, TRUE AS only_new_copied FROM ({SQL['scan_clf'][1]})")
 SQL["compact_partition"] = SQL["etl_sensor_readings"]
+SQL["compact_table"] = (
+    SQL["etl_sensor_readings"][0], f"SELECT *, TRUE AS large_files_kept, TRUE AS files_as_planned FROM ({SQL['etl_sensor_readings'][1]})")
+SQL["multi_insert_one_pass"] = ((SENSORS,), " UNION ALL ".join(
+    f"SELECT '{_target}' AS target, dt, zone, count(*) AS n, count(DISTINCT device_id) AS devices FROM sensor_readings WHERE {_rows} GROUP BY dt, zone"
+    for _target, _rows in (("readings", "TRUE"), ("anomalies", "status = 'ANOMALY'"), ("missing", "status = 'MISSING'"))))
 SQL["retention_prune"] = ((WEB,), "SELECT * FROM web_traffic WHERE dt >= '2024-01-10'")
 SQL["join_smb_bucket"] = SQL["join_map_broadcast"]
 SQL["bucket_sample_files"] = ((WEB,), "SELECT client_ip, count(*) AS requests FROM web_traffic GROUP BY client_ip")

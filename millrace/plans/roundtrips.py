@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.measures import rows
 from ..operators import sampling, statistics
 from ..session import bucketed_scans, checkpointed
-from ..sources import catalog, raw, sinks
+from ..sources import archive, catalog, files, raw, sinks
+from ..sources.split_insert import Branch, split_insert
 from ..streaming import ingest
 from ..tables import Tables
-from . import curate, incremental, upkeep, web
+from . import compaction, curate, incremental, upkeep, web
 
 
 def log_files(lines: DataFrame) -> DataFrame:
@@ -156,6 +157,70 @@ def archived_logs(lines: DataFrame) -> DataFrame:
         return checkpointed(raw.scan_clf(spark, sinks.archive_snapshot(spark, f"{path}/web", f"{path}/old", "2024-01-31", "web_logs")))
 
 
+def archived_additions(lines: DataFrame) -> DataFrame:
+    """Log files of two days, archived after each, brought back from the second snapshot and scanned.
+
+    ``only_new_copied`` tells whether the second snapshot copied the second day's files alone.
+    """
+    spark = lines.sparkSession
+    with sinks.staging_folder(spark, "archive") as path:
+        copied = []
+        for (portion, rows), day in zip(_portions(lines), ("2024-01-30", "2024-01-31"), strict=True):
+            rows.write.text(f"{path}/web/{portion}")
+            copied.append(archive.snapshot(spark, f"{path}/web", f"{path}/old", "web_logs", day))
+        only_new = copied[1].filter(~F.col("name").startswith("second/")).isEmpty() and not copied[1].isEmpty()
+        archive.restore(spark, f"{path}/old", "web_logs", "2024-01-31", f"{path}/back")
+        return checkpointed(raw.scan_clf(spark, f"{path}/back/*").withColumn("only_new_copied", F.lit(only_new)))
+
+
+def readings_by_outcome(t: Tables) -> DataFrame:
+    """Readings dealt in one pass to three tables: all, anomalies with a label, missing; rows of each by day and zone."""
+    readings = t.sensor_readings
+    spark, names = readings.sparkSession, ("readings", "anomalies", "missing")
+    with _scratch(spark, bucketed=False) as database:
+        for name in names:
+            label = ", label STRING" if name == "anomalies" else ""
+            spark.sql(f"CREATE TABLE {database}.{name} (reading_id STRING, device_id STRING, temperature DOUBLE{label}, dt STRING, zone STRING) "
+                      "USING orc PARTITIONED BY (dt, zone)")
+        source = readings.withColumn("reading_id", F.col("reading_id").cast("string"))
+        split_insert(source, [
+            Branch(f"{database}.readings"),
+            Branch(f"{database}.anomalies", F.col("status") == "ANOMALY", {"label": F.concat_ws("/", "zone", "device_id")}),
+            Branch(f"{database}.missing", F.col("status") == "MISSING"),
+        ])
+        counted = [
+            spark.table(f"{database}.{n}").groupBy("dt", "zone").agg(rows().alias("n"), F.countDistinct("device_id").alias("devices"))
+            .select(F.lit(n).alias("target"), "*") for n in names
+        ]
+        return checkpointed(counted[0].unionByName(counted[1]).unionByName(counted[2]))
+
+
+def compacted_table(t: Tables) -> DataFrame:
+    """Readings in large and small files, joined by the planner: the rows, and whether the files are as planned.
+
+    ``large_files_kept``: every file over the limit is still there. ``files_as_planned``:
+    the number of files fell by the joined ones less one for each group.
+    """
+    readings = t.sensor_readings
+    spark = readings.sparkSession
+    with _scratch(spark, bucketed=False) as database:
+        table = f"{database}.sensor_readings"
+        (_, most), (_, rest) = _portions(readings.withColumn("_key", F.col("reading_id").cast("string")).select("_key", *readings.columns))
+        sinks.overwrite_table(most, "sensor_readings", database)
+        listing = files.listed(spark, files.table_folder(spark, table))
+        limit = int(listing.agg(F.percentile_approx("bytes", 0.5)).first()[0])  # half of these files count as large
+        rest.select(*spark.table(table).columns).repartition(3).write.insertInto(table)
+        before = checkpointed(files.listed(spark, files.table_folder(spark, table)))
+        planned = checkpointed(compaction.plan_compaction(spark, table, small_bytes=limit))
+        groups = planned.select("folder", "bucket", "bin").distinct().count()
+        done = compaction.compact_table(spark, "sensor_readings", database, small_bytes=limit)
+        after = files.listed(spark, files.table_folder(spark, table))
+        kept = before.filter(F.col("bytes") >= limit).join(after, ["path", "bytes", "modified"], "left_anti").isEmpty()
+        as_planned = groups > 0 and done.groups == groups and after.count() == before.count() - planned.count() + groups
+        found = spark.table(table).withColumns({"large_files_kept": F.lit(kept), "files_as_planned": F.lit(as_planned)})
+        return checkpointed(found)
+
+
 def compacted_readings(t: Tables, day: str = "2024-01-03", zone: str = "zone-5") -> DataFrame:
     """Readings with one partition in small files, compacted: the rows stay."""
     spark = t.sensor_readings.sparkSession

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import math
-from urllib.parse import unquote
 
 from pyspark.sql import SparkSession, functions as F
 
 from ..functions.measures import rows
 from ..session import TARGET_FILE_BYTES
-from ..sources.catalog import LAYOUTS, PROCESSED_DB, is_bucketed
+from ..sources.catalog import LAYOUTS, PROCESSED_DB, is_bucketed, partition_clause
 from ..sources.sinks import staged
 
 SMALL_FILE_BYTES = 16 * 1024 * 1024
@@ -57,21 +56,10 @@ def compact_partition(
     return True
 
 
-def _partition_clause(listed: str) -> str:
-    """``dt=2024-01-15/zone=lab`` as SHOW PARTITIONS gives it, as a clause for DROP."""
-    parts = []
-    for piece in listed.split("/"):
-        column, _, value = piece.partition("=")
-        text = unquote(value)
-        literal = "null" if text == "__HIVE_DEFAULT_PARTITION__" else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        parts.append(f"`{column}` = {literal}")
-    return f"PARTITION ({', '.join(parts)})"
-
-
 def drop_partitions(spark: SparkSession, table: str, listed: list[str]) -> None:
     """Drop partitions named as SHOW PARTITIONS does."""
     for at in range(0, len(listed), DROPPED_AT_ONCE):
-        clauses = ", ".join(_partition_clause(p) for p in listed[at:at + DROPPED_AT_ONCE])
+        clauses = ", ".join(partition_clause(p) for p in listed[at:at + DROPPED_AT_ONCE])
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
 
 

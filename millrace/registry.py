@@ -198,7 +198,9 @@ TABLE_PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "full_overwrite": roundtrips.replaced_registry,
     "multi_insert": roundtrips.several_tables,
     "delimited_dir_sink": roundtrips.delimited_report,
+    "multi_insert_one_pass": roundtrips.readings_by_outcome,
     "compact_partition": roundtrips.compacted_readings,
+    "compact_table": roundtrips.compacted_table,
     "retention_prune": roundtrips.pruned_traffic,
     "join_smb_bucket": roundtrips.bucketed_join,
     # sets and scalars
@@ -219,6 +221,7 @@ QUERIES: dict[str, Query] = {name: _on_tables(plan) for name, plan in TABLE_PLAN
     "w_row_number_dedup": _on_readings(rel.dedup),
     "scan_clf_files": lambda spark, sf_dir: roundtrips.log_files(adapters.web_log_lines(spark, sf_dir)),
     "archive_snapshot": lambda spark, sf_dir: roundtrips.archived_logs(adapters.web_log_lines(spark, sf_dir)),
+    "archive_incremental": lambda spark, sf_dir: roundtrips.archived_additions(adapters.web_log_lines(spark, sf_dir)),
     "scan_sensor_csv": lambda spark, sf_dir: roundtrips.sensor_csv(adapters.raw_sensor_readings(spark, sf_dir)),
     "scan_social_csv": lambda spark, sf_dir: roundtrips.social_csv(adapters.raw_social_posts(spark, sf_dir)),
     "scan_social_csv_blocks": lambda spark, sf_dir: roundtrips.social_csv_in_blocks(adapters.raw_social_posts(spark, sf_dir)),

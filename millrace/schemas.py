@@ -98,3 +98,8 @@ PROCESSED = {
     "sensor_daily_summary": _schema(SENSOR_DAILY_SUMMARY),
     "trending_hashtags_daily": _schema(TRENDING_HASHTAGS_DAILY),
 }
+
+# One row per piece of an archived file.
+MANIFEST = _schema(
+    "name string, bytes bigint, modified bigint, piece int, start bigint, length bigint, sha256 string, stored string"
+)

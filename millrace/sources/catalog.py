@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,15 +90,19 @@ def create_raw_tables(spark: SparkSession, root: str, database: str = RAW_DB) ->
         )
 
 
+def orc_options(layout: Layout) -> dict[str, str]:
+    """How the files of a table are written."""
+    bloom = {"orc.bloom.filter.columns": ",".join(layout.bloom)} if layout.bloom else {}
+    return {"orc.compress": layout.compress, **layout.orc, **bloom}
+
+
 def create_processed_table(
     spark: SparkSession, name: str, database: str = PROCESSED_DB, bucketed: bool = True
 ) -> None:
     """``bucketed=False`` suits tables of a few gigabytes, which buckets would cut into tiny files."""
     layout = LAYOUTS[name]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.PROCESSED[name])
-    options = {"orc.compress": layout.compress, **layout.orc}
-    if layout.bloom:
-        options["orc.bloom.filter.columns"] = ",".join(layout.bloom)
+    options = orc_options(layout)
     if layout.partitions:
         # An overwrite replaces the days it holds, whatever the session says.
         options["partitionOverwriteMode"] = "dynamic"
@@ -120,6 +125,17 @@ def is_bucketed(spark: SparkSession, table: str) -> bool:
     return any(c.isBucket for c in spark.catalog.listColumns(table))
 
 
+def partition_clause(listed: str) -> str:
+    """``dt=2024-01-15/zone=lab`` as SHOW PARTITIONS gives it, as a clause for ALTER TABLE."""
+    parts = []
+    for piece in listed.split("/"):
+        column, _, value = piece.partition("=")
+        text = unquote(value)
+        literal = "null" if text == "__HIVE_DEFAULT_PARTITION__" else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        parts.append(f"`{column}` = {literal}")
+    return f"PARTITION ({', '.join(parts)})"
+
+
 def describe_database(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE DATABASE EXTENDED {name}")
 
