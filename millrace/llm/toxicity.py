@@ -224,11 +224,12 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
         return unlearnt
 
     # All terms of at most 2 * per_class examples, a bound of the settings.
-    by_term = seen.filter("role = 0").select(F.explode("terms").alias("term"), "y").groupBy("term").agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("n")).toPandas()
-    term = by_term["term"].to_numpy(np.int64).view(np.uint64)
+    by_term = seen.filter("role = 0").select(F.explode("terms").alias("term"), "y").groupBy("term").agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("n")).toArrow()
+    term, a, n = (by_term[c].to_numpy() for c in ("term", "a", "n"))
+    term = term.astype(np.int64).view(np.uint64)
     order = np.argsort(term)
-    vocabulary, by_term = term[order], by_term.iloc[order]
-    a, n, all_n = by_term["a"].to_numpy(float), by_term["n"].to_numpy(float), float(toxic + clean)
+    vocabulary, a, n, all_n = term[order], a[order].astype(float), n[order].astype(float), float(toxic + clean)
+    del by_term, term, order
     chi2 = all_n * (a * clean - (n - a) * toxic) ** 2 / np.maximum(n * (all_n - n) * toxic * clean, 1)
     words = spark.sparkContext.broadcast(vocabulary)
 
@@ -243,10 +244,11 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
         yield pd.DataFrame({"term": np.concatenate([[-1], some]), "df": np.concatenate([[total], df[some]])})
 
     counted = small.select("text").mapInPandas(frequencies, "term int, df long").groupBy("term").agg(F.sum("df").alias("df"))
-    counted = counted.toPandas()  # one row per term of the vocabulary
-    total, df = counted.loc[counted["term"] < 0, "df"].sum(), np.zeros(len(vocabulary))
-    counted = counted[counted["term"] >= 0]
-    df[counted["term"].to_numpy(int)] = counted["df"]
+    counted = counted.toArrow()  # one row per term of the vocabulary
+    place, often = counted["term"].to_numpy(), counted["df"].to_numpy()
+    total, df = often[place < 0].sum(), np.zeros(len(vocabulary))
+    df[place[place >= 0]] = often[place >= 0]
+    del counted, place, often
     weights = (np.log((1 + total) / (1 + df)) + 1) * (1 + chi2)
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -264,6 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     vectors = _weighed(ends, *(np.frombuffer(b"".join(r[c] for r in rows), np.int32) for c in ("at", "n")), weights)
     y, role, names = (np.array([r[c] for r in rows]) for c in ("y", "role", "doc_id"))
     del rows
+    words.destroy()
 
     learn = role == 0
     own = vectors.take(np.flatnonzero(learn))
