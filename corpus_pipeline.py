@@ -3,8 +3,9 @@
 Each stage gets the Parquet files of the one before; all but the last return the
 columns of ``documents``.
 
-Near-duplicates: five-word shingles of a Jaccard similarity of 0.8 or more, found by
-``near_copies``; SimHash within six bits missed many of these pairs.
+Near-duplicates: five-word shingles of a Jaccard similarity of 0.8 or more. SimHash
+(``op6``) links fingerprints within three bits, an exact comparison follows, and
+``near_copies`` finds the similar pairs whose fingerprints lie further apart.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: by SimHash, then by what lies beyond its radius."""
     return near_copies.group_firsts(docs)
 
 

@@ -1,20 +1,23 @@
 """Near copies: documents whose five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Words and shingles are those of ``simhash``; a text of fewer words is one shingle.
-
-Candidates: ``BANDS`` keys of ``ROWS`` minimum hashes each. A pair of similarity s
-shares a key with probability 1 - (1 - s^5)^32: 0.999997 at 0.8, more above. Every
-candidate is compared by the exact Jaccard similarity of its shingles, so no
-document goes for a likeness of hashes. A 64-bit SimHash cannot do this: pairs of
-0.8 lie up to about twenty bits apart, and no covering of so many bits is small.
-
-Documents with equal shingle sets fold into one node, named by a 64-bit hash. The
-nodes of a key are first compared with the smallest of them, so a large group of near
-copies costs one comparison per node and key, not its pairs. Nodes of keys whose nodes
-are still in different components, such as documents around one long common passage,
-go through an exact prefix filter: with shingles ordered from rare to frequent, two
-sets of similarity 0.8 share one among the first fifth (and one more) of each. Passages
-that many documents have come last in this order and form no pairs.
+Words are those of ``simhash``; a text of fewer words is one shingle. Documents with
+equal shingle sets fold into one node, named by a 64-bit hash. Every pair below is
+compared by the exact Jaccard similarity of its shingles, so no document goes for a
+likeness of hashes.
+
+1. SimHash: fingerprints and links are those of ``simhash`` (``op6``): every pair of
+   fingerprints within its radius of 3 bits meets, and a forest of links joins them.
+2. The pairs beyond that radius: those of 0.8 lie up to about twenty bits apart, and no
+   covering of so many bits is small. ``BANDS`` keys of ``ROWS`` minimum hashes each
+   find them: a pair of similarity s shares a key with probability 1 - (1 - s^5)^32,
+   0.999997 at 0.8, more above. The nodes of a key are compared with the smallest of
+   them where SimHash has not joined the two, so a large group of near copies costs one
+   comparison per node and key, not its pairs.
+3. Nodes of keys whose nodes are still in different components, such as documents around
+   one long common passage, go through an exact prefix filter: with shingles ordered from
+   rare to frequent, two sets of similarity 0.8 share one among the first fifth (and one
+   more) of each. Passages that many documents have come last in this order and form no
+   pairs.
 
 Cases: null and blank texts have no shingle and are alike; rows that share an id
 share its fate; rows without an id stay; an empty table gives an empty result.
@@ -30,6 +33,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import simhash
 from .common import written
 from .components import components
 
@@ -72,7 +76,8 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         own = [_hashes(shingles(t)) for t in rows["text"]]
-        yield pd.DataFrame({"doc_id": rows["doc_id"].array, "node": [_node(h) for h in own], "n": [len(h) for h in own], "keys": [band_keys(h) for h in own]})
+        yield pd.DataFrame({"doc_id": rows["doc_id"].array, "node": [_node(h) for h in own], "n": [len(h) for h in own], "keys": [band_keys(h) for h in own],
+                            "fp": np.array([simhash.fingerprint(t) for t in rows["text"]], np.uint64).view(np.int64)})
 
 
 def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -111,6 +116,24 @@ def _sizes_allow(a: Column, b: Column) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * F.lit(SIMILAR)
 
 
+def simhash_pairs(prints: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes (fp, node, n) whose fingerprints are equal or linked: one node stands for each fingerprint."""
+    heads = written(prints.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("head")), "simhash-classes")
+    found = written(simhash.links(heads.select("fp")), "simhash-links")
+    one, other = (heads.select(F.col("fp").alias(x), F.col("head").alias(f"head_{x}")) for x in "ab")
+    linked = found.join(one, "a").join(other, "b").select(F.col("head_a").alias("x"), F.col("head_b").alias("y"))
+    equal = prints.join(heads, "fp").select(F.col("head").alias("x"), F.struct("node", "n").alias("y"))
+    near = linked.unionByName(equal).filter("x.node <> y.node").filter(_sizes_allow(F.col("x.n"), F.col("y.n")))
+    return near.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not in one component of ``joined`` (node, component)."""
+    one, other = (joined.select(F.col("node").alias(x), F.col("component").alias(f"component_{x}")) for x in "ab")
+    both = pairs.join(one, "a", "left").join(other, "b", "left")
+    return both.filter(F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b")
+
+
 def prefix_pairs(nodes: DataFrame, firsts: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of nodes (node, n, component) that may be similar and lie in different components; none that is similar is left out."""
     read = _texts_of(nodes, firsts, texts).dropDuplicates(["node"])
@@ -135,20 +158,25 @@ def prefix_pairs(nodes: DataFrame, firsts: DataFrame, texts: DataFrame) -> DataF
 def linked(docs: DataFrame) -> DataFrame:
     """doc_id and component_id, the smallest doc_id of all reachable documents; rows without an id are left out."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
-    signed = written(texts.mapInPandas(_signed, "doc_id long, node long, n int, keys array<long>"), "near-keys")
+    signed = written(texts.mapInPandas(_signed, "doc_id long, node long, n int, keys array<long>, fp long"), "near-keys")
     firsts = written(signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n")), "near-nodes")
+    alike = written(simhash_pairs(signed.select("fp", "node", "n").distinct()), "near-simhash")
+    by_simhash = written(_similar(alike, firsts, texts), "near-links")
+    joined = components(by_simhash)
+
     keyed = signed.select("node", "n", F.explode("keys").alias("key")).distinct()
     buckets = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("last")).filter("least.node < last")
     shared = written(keyed.join(buckets.select("key", "least"), "key"), "near-buckets")
 
     beside = shared.filter("node <> least.node").filter(_sizes_allow(F.col("n"), F.col("least.n")))
-    stars = written(beside.select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct(), "near-stars")
-    links = written(_similar(stars, firsts, texts), "near-links")
+    beyond = beside.select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct()
+    stars = written(_apart(beyond, joined).join(alike, ["a", "b"], "left_anti"), "near-stars")
+    links = by_simhash.unionByName(written(_similar(stars, firsts, texts), "near-links"))
     joined = components(links).withColumnRenamed("node", "of")
     named = shared.join(joined, F.col("node") == F.col("of"), "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     split = named.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key")
     left = written(named.join(split, "key").select("node", "n", "component").distinct(), "near-left")
-    pairs = prefix_pairs(left, firsts, texts).join(stars, ["a", "b"], "left_anti")
+    pairs = prefix_pairs(left, firsts, texts).join(stars.unionByName(alike), ["a", "b"], "left_anti")
     more = written(_similar(written(pairs, "near-pairs"), firsts, texts), "near-links")
     joined = components(links.unionByName(more)).withColumnRenamed("node", "of")
 

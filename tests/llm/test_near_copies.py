@@ -8,7 +8,7 @@ from itertools import combinations
 import pandas as pd
 
 import corpus_pipeline
-from millrace.llm import near_copies
+from millrace.llm import near_copies, simhash
 from tests.llm.rows import rows_of  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
@@ -100,6 +100,33 @@ def test_recall_at_the_limit(spark, rows_of):
     assert sum(got[i + 1] == i for i in near) >= 0.99 * len(near) and not any(got[i + 1] == i for i in below)
 
 
+def test_simhash_links_come_first(spark, rows_of, monkeypatch):
+    """The stage goes through SimHash: its links within 3 bits are compared first, and what they join is not compared again."""
+    rng, texts, compared = random.Random(11), {}, []
+    for k in range(4):
+        words = ["w%d" % rng.randrange(10**6) for _ in range(900)]
+        for c in range(25):
+            own = list(words)
+            own[rng.randrange(900)] = "other%d" % c
+            texts[100 * k + c] = " ".join(own)
+    similar = near_copies._similar
+
+    def counted(pairs, *rest):
+        compared.append({(r["a"], r["b"]) for r in pairs.collect()})
+        return similar(pairs, *rest)
+
+    monkeypatch.setattr(near_copies, "_similar", counted)
+    assert kept(spark, rows_of, texts) == {0, 100, 200, 300}
+    prints = {near_copies._node(near_copies._hashes(near_copies.shingles(t))): simhash.fingerprint(t) for t in texts.values()}
+    within = {(a, b) for a, b in combinations(sorted(prints), 2) if (prints[a] ^ prints[b]).bit_count() <= 3}
+    group = {n: n for n in prints}
+    for _ in prints:
+        for a, b in compared[0]:
+            group[a] = group[b] = min(group[a], group[b])
+    assert len(within) > 500 and compared[0] <= within and all(group[a] == group[b] for a, b in within)
+    assert not any(group[a] == group[b] for later in compared[1:] for a, b in later)
+
+
 def test_whole_table(spark, rows_of):
     texts = dict(pd.read_parquet(f"{SMALL}/documents.parquet")[["doc_id", "text"]].itertuples(index=False))
     assert kept(spark, rows_of, texts) == brute(texts)
