@@ -35,6 +35,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -217,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     seen = written(sample.mapInPandas(terms_of, "doc_id long, y int, role int, terms array<long>, counts array<int>"), "toxic-examples")
     sizes = {int(r["y"]): int(r["n"]) for r in seen.filter("role = 0").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    natural = seen.filter("role = 1").agg(F.avg("y")).first()[0]
+    natural, known = seen.filter("role = 1").agg(F.avg("y"), F.count(F.lit(1))).first()
     base = float(natural) if natural is not None else toxic / max(1, toxic + clean)
     unlearnt = Model(np.zeros(0, np.uint64), np.zeros(0), BlockMaxIndex(np.zeros((0, 0), np.float32)), np.zeros((0, 2)), [], base, np.zeros(0), np.zeros(0), s)
     if not toxic or not clean:
@@ -250,6 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     df[place[place >= 0]] = often[place >= 0]
     del counted, place, often
     weights = (np.log((1 + total) / (1 + df)) + 1) * (1 + chi2)
+    del a, n, df, chi2
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -258,35 +261,58 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
                 place = _placed(words.value, np.asarray(terms, np.int64).view(np.uint64))
                 at.append(place[place >= 0].astype(np.int32).tobytes())
                 n.append(np.asarray(counts, np.int32)[place >= 0].tobytes())
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "y": rows["y"], "role": rows["role"], "at": at, "n": n})
-
-    # One row per example: bounded by the settings.
-    rows = seen.mapInPandas(packed, "doc_id long, y int, role int, at binary, n binary").orderBy("doc_id").collect()
-    ends = np.cumsum([0, *(len(r["at"]) // 4 for r in rows)])
-    vectors = _weighed(ends, *(np.frombuffer(b"".join(r[c] for r in rows), np.int32) for c in ("at", "n")), weights)
-    y, role, names = (np.array([r[c] for r in rows]) for c in ("y", "role", "doc_id"))
-    del rows
+            yield pd.DataFrame({"doc_id": rows["doc_id"], "y": rows["y"], "at": at, "n": n})
+
+    # One row per example: bounded by the settings. The calibration rows stay with the executors.
+    learnt = seen.filter("role = 0").mapInPandas(packed, "doc_id long, y int, at binary, n binary").orderBy("doc_id").toArrow()
+    own = _weighed(*_unpacked(learnt), weights)
+    y, ids = learnt["y"].to_numpy(), learnt["doc_id"].to_numpy()
+    del learnt
     words.destroy()
 
-    learn = role == 0
-    own = vectors.take(np.flatnonzero(learn))
     places: dict[tuple[bytes, bytes], int] = {}
     ends, rounded = own.ends, np.round(own.data, 5)
     group = np.array([places.setdefault((own.at[i:j].tobytes(), rounded[i:j].tobytes()), len(places)) for i, j in zip(ends, ends[1:])], int)
+    del places, rounded
     first = np.unique(group, return_index=True)[1]
-    unique = own.take(first)
     # The classes are sampled apart: weigh them back to their shares.
-    share = np.where(y[learn] == 1, base / toxic, (1 - base) / clean) * (toxic + clean)
-    votes = np.zeros((len(unique), 2))
-    np.add.at(votes[:, 0], group, share * (y[learn] == 1))
+    share = np.where(y == 1, base / toxic, (1 - base) / clean) * (toxic + clean)
+    votes = np.zeros((len(first), 2))
+    np.add.at(votes[:, 0], group, share * (y == 1))
     np.add.at(votes[:, 1], group, share)
-    ids = [int(names[i]) for i in np.flatnonzero(learn)[first]] if len(first) else []
-    model = Model(vocabulary, weights, BlockMaxIndex(unique), votes, ids, base, np.zeros(0), np.zeros(0), s)
-    if (role == 1).sum() >= s.least_calibration:
-        model.cuts, model.levels = _isotonic(model.raw(vectors.take(np.flatnonzero(role == 1)))[0], y[role == 1])
+    index = BlockMaxIndex(own if len(first) == len(own) else own.take(first))
+    del own
+    model = Model(vocabulary, weights, index, votes, [int(i) for i in ids[first]], base, np.zeros(0), np.zeros(0), s)
+    if known >= s.least_calibration:
+        model.cuts, model.levels = _isotonic(*_calibration(seen.filter("role = 1"), model))
     return model
 
 
+def _unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ends of the rows, and the places and counts of all of them side by side."""
+    at, n = (np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x.as_buffer(), np.int32) for x in rows[c])]) for c in ("at", "n"))
+    return np.cumsum([0, *pc.binary_length(rows["at"]).to_pylist()]) // 4, at, n
+
+
+def _calibration(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Votes and labels of the calibration rows: two numbers for each, bounded by the settings."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def votes_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m: Model = shared.value
+        for batch in batches:
+            for _, one in batch.groupby(np.arange(len(batch)) // _ROWS_AT_ONCE):
+                at = [_placed(m.vocabulary, np.asarray(t, np.int64).view(np.uint64)) for t in one["terms"]]
+                n = [np.asarray(c, np.int32)[a >= 0] for c, a in zip(one["counts"], at, strict=True)]
+                at = [a[a >= 0].astype(np.int32) for a in at]
+                vectors = _weighed(np.cumsum([0, *map(len, at)]), np.concatenate(at), np.concatenate(n), m.weights)
+                yield pd.DataFrame({"vote": m.raw(vectors)[0], "y": one["y"].array})
+
+    found = rows.mapInPandas(votes_of, "vote double, y int").toArrow()
+    shared.destroy()
+    return found["vote"].to_numpy(), found["y"].to_numpy()
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted, evidence (ids of the nearest examples) and their similarities."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by Settings

@@ -109,3 +109,12 @@ def test_every_word_and_example_counts(rows_of):
         own = model.vectors([texts[r["doc_id"]]]).toarray()[0]
         scores = np.sort(examples @ own)[::-1]
         assert len(r["evidence"]) == 3 and np.allclose(r["similarity"], scores[:3], atol=1e-4)
+
+
+def test_calibration_rows_stay_with_the_executors(rows_of, monkeypatch):
+    """The driver searches no neighbours; what it calibrates with are two numbers a row."""
+    rows, labels = planted(random.Random(6), 600)
+    searched = []
+    monkeypatch.setattr(BlockMaxIndex, "search", lambda *a: searched.append(a))
+    model = toxicity.fit(rows_of(rows, "doc_id long, text string, lang string"), rows_of(labels, "doc_id long, quality int, toxic int"))
+    assert not searched and len(model.cuts) and (np.diff(model.levels) >= 0).all()
