@@ -86,9 +86,10 @@ class _Batch:
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
 # One row is 40 bits of the anchor's hash, 32 of the region's, the id, the place and
 # the kind. Full words keep the shuffled rows small: ``mark`` is the anchor with the
-# region's upper 24 bits, ``rest`` the place, its lower eight bits and the kind. ``h``
-# is the anchor where ``mark`` has a random one to spread the rows.
-_SENT = "mark long, id long, rest long, h long"
+# region's upper 24 bits, ``rest`` the place, its lower eight bits and the kind, with its
+# halves swapped. ``h`` is the anchor where ``mark`` has a random one to spread the rows.
+# In this order the zero bytes of a row and the next are one run, which packs better.
+_SENT = "h long, rest long, mark long, id long"
 # What a sent row is: an occurrence to judge, a note about its anchor, one that is
 # removed for sure, one that is open for sure.
 _JUDGE, _NOTE, _GONE, _OPEN = 0, 1, 2, 3
@@ -133,11 +134,12 @@ def _sent(batch: _Batch, ids: np.ndarray, at: np.ndarray, h: np.ndarray, row: np
     region = np.concatenate([region, np.zeros(len(note), np.uint64), np.full(len(note), np.uint64(2**32 - 1))])
     place = np.concatenate([at - batch.starts[row], np.zeros(2 * len(note), np.int64)])
     kind = np.concatenate([kind, np.full(2 * len(note), _NOTE, np.int64)])
+    rest = ((place << 10) | ((region & np.uint64(255)).astype(np.int64) << 2) | kind).view(np.uint64)
     return pd.DataFrame({
+        "h": pd.arrays.IntegerArray(np.concatenate([h.view(np.int64), np.zeros(2 * len(note), np.int64)]), kind != _OPEN),
+        "rest": ((rest << np.uint64(32)) | (rest >> np.uint64(32))).view(np.int64),
         "mark": ((key << np.uint64(24)) | (region >> np.uint64(8))).view(np.int64),
         "id": np.concatenate([ids[row], low[note] * shared, high[note] * shared]),
-        "rest": (place << 10) | ((region & np.uint64(255)).astype(np.int64) << 2) | kind,
-        "h": pd.arrays.IntegerArray(np.concatenate([h.view(np.int64), np.zeros(2 * len(note), np.int64)]), kind != _OPEN),
     })
 
 
@@ -145,8 +147,9 @@ def _judged(sent: DataFrame, shared: int) -> DataFrame:
     """id and its removed (gone) and open occurrences."""
     doc = F.expr(f"id div {shared}")
     key = F.shiftrightunsigned("mark", 24)
+    swapped = F.shiftleft("rest", 32).bitwiseOR(F.shiftrightunsigned("rest", 32))
     # One exchange serves both windows.
-    rows = sent.repartition(key).select(
+    rows = sent.repartition(key).withColumn("rest", swapped).select(
         key.alias("key"), (F.shiftleft(F.col("mark").bitwiseAND(F.lit(0xFFFFFF)), 8) + F.shiftright("rest", 2).bitwiseAND(F.lit(255))).alias("region"),
         "id", F.shiftright("rest", 10).alias("at"), F.col("rest").bitwiseAND(F.lit(3)).alias("kind"), "h")
     same, anchor = Window.partitionBy("key", "region"), Window.partitionBy("key")
@@ -272,7 +275,9 @@ def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard
     """doc_id, text, starts, sizes: the stretches of bytes to remove (they may overlap)."""
     rows, shared = with_ids(docs)
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    shards = partitions_for(total, shard_bytes, docs.sparkSession.sparkContext.defaultParallelism)
+    # A shard's arrays grow with its regions, which overlap: where all are open, each byte lies in so many.
+    overlap = -(-2 * (2 * window - gram) // (window - gram + 2))
+    shards = partitions_for(total * overlap, shard_bytes, docs.sparkSession.sparkContext.defaultParallelism)
     judged = _judged(rows.mapInPandas(_occurrences(window, gram, shared), _SENT), shared)
     routed = rows.join(judged, "id").mapInPandas(_routed(window, gram, shards), _ROUTED)
     found = routed.groupBy("shard").applyInPandas(_sorted_shard(window, shared, shards), _FOUND)

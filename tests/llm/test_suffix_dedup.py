@@ -84,3 +84,33 @@ def test_edges(rows_of):
     docs = rows_of([(i, t, 1, "z") for i, t in rows], "doc_id long, text string, id int, at string")
     assert collected(suffix_dedup.deduplicated(docs)) == plain(rows, 50)
     assert suffix_dedup.deduplicated(rows_of([], "doc_id long, text string")).collect() == []
+
+
+def test_shards_hold_what_they_are_sized_for(rows_of, monkeypatch):
+    """Near copies leave all regions open, and regions overlap: a shard's bytes stay near ``shard_bytes``."""
+    rng, rows, original = random.Random(2), [], suffix_dedup._sorted_shard
+    for k in range(50):
+        base = rng.choices("abcdefghijklmnopqrstuvwxyz", k=2000)
+        for c in range(4):
+            rows.append((4 * k + c, "".join(rng.choice("ABCDEFGH") if rng.random() < 1 / 60 else x for x in base)))
+
+    def checked(*args):
+        one = original(*args)
+
+        def bounded(frame):
+            assert sum(len(b) for b in frame["bytes"] if b is not None) <= 60_000, "a shard is too large"
+            return one(frame)
+
+        return bounded
+
+    monkeypatch.setattr(suffix_dedup, "_sorted_shard", checked)
+    assert collected(suffix_dedup.deduplicated(rows_of(rows, "doc_id long, text string"), shard_bytes=20_000)) == plain(rows, 50)
+
+
+def test_places_far_into_a_text(rows_of):
+    """A place of over 22 bits fills both halves of ``rest``."""
+    rng = random.Random(7)
+    passage = "".join(rng.choices("abcdefghij", k=300))
+    long_text = rng.randbytes(2_200_000).hex() + passage + "z"
+    got = collected(suffix_dedup.deduplicated(rows_of([(1, "y" + passage + "x"), (2, long_text)], "doc_id long, text string")))
+    assert [r[:4] for r in got] == [(1, 302, 0, 0), (2, len(long_text), 300, 1)]
