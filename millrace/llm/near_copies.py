@@ -17,7 +17,15 @@ likeness of hashes.
    one long common passage, go through an exact prefix filter: with shingles ordered from
    rare to frequent, two sets of similarity 0.8 share one among the first fifth (and one
    more) of each. Passages that many documents have come last in this order and form no
-   pairs.
+   pairs. This filter is for nodes of different families: a component's family is the
+   largest component it meets in a key, and its centre the node that meets most there.
+4. A family may be many copies of one text, each changed so much that most are not similar
+   to one another; what the text has in common would then make pairs of them all. Inside a
+   family each set stands for what it changes, its symmetric difference from the centre. Nodes
+   similar to the centre link with it. With r = (1 - 0.8) / (1 + 0.8), sets a and b are similar
+   when they differ in at most r (|a| + |b|) shingles, so their changes A and B share at least
+   (|A| + |B| - r (|a| + |b|)) / 2. If that is 0 or less, both are similar to the centre, as
+   |A| >= ||a| - |centre||; else the same order from rare to frequent finds a common change.
 
 Cases: null and blank texts have no shingle and are alike; rows that share an id
 share its fate; rows without an id stay; an empty table gives an empty result.
@@ -134,25 +142,75 @@ def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b")
 
 
+def _families(members: DataFrame) -> DataFrame:
+    """node, n, component, family (a component) and centre (a node of that component) for the nodes of keys (key, node, n, component)."""
+    weights = members.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
+    keys = members.join(weights, "component").groupBy("key").agg(F.max(F.struct("weight", "component")).alias("top"), F.count(F.lit(1)).alias("many"))
+    nodes = members.join(keys, "key").groupBy("node", "n", "component").agg(F.max("top").alias("top"), F.sum("many").alias("met"))
+    nodes = written(nodes, "near-left")
+    found = nodes.groupBy("component").agg(F.max("top")["component"].alias("family"), F.max(F.struct("met", "node"))["node"].alias("centre"))
+    found = written(found, "near-families")
+    centres = found.select(F.col("component").alias("family"), "centre")
+    return nodes.select("node", "n", "component").join(found.select("component", "family"), "component").join(centres, "family")
+
+
+def _ordered(tokens: DataFrame, within: list[str]) -> DataFrame:
+    """The rows of tokens (node, hash, size, least and others) that have a double ``within``, and ``rest``: how many of the node's tokens
+    come here or later, from rare to frequent. Rows with fewer than ``least`` left are not needed."""
+    counts = tokens.groupBy(*within, "hash").agg(F.count(F.lit(1)).alias("df"))
+    others = [c for c in tokens.columns if c != "hash"]
+    ordered = tokens.join(counts, [*within, "hash"]).groupBy(*others).agg(F.sort_array(F.collect_list(F.struct("df", "hash"))).alias("order"))
+    placed = ordered.select(*others, F.posexplode("order").alias("at", "token")).withColumn("rest", F.col("size") - F.col("at"))
+    return placed.filter("token.df > 1").filter(F.col("rest") >= F.col("least") - 1e-6).select(*others, "rest", F.col("token.hash").alias("hash"))
+
+
+def _meeting(tokens: DataFrame, within: list[str], part: str, shared: Column) -> DataFrame:
+    """Pairs (a, b) of nodes of different parts with a common token that leaves at least ``shared`` (of x and y) to have in common."""
+    several = tokens.groupBy(*within, "hash").agg(F.min(part).alias("c"), F.max(part).alias("d")).filter("c < d").select(*within, "hash")
+    kept = written(tokens.join(several, [*within, "hash"], "left_semi"), "near-prefixes")
+    met = (F.col(f"x.{part}") < F.col(f"y.{part}")) & _sizes_allow(F.col("x.n"), F.col("y.n")) & (F.least("x.rest", "y.rest") >= shared - 1e-6)
+    for name in [*within, "hash"]:
+        met = (F.col(f"x.{name}") == F.col(f"y.{name}")) & met
+    pairs = kept.alias("x").join(kept.alias("y"), met)
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def _changes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in batches:
+        sets = [[np.asarray(h, np.int64) for h in rows[c]] for c in ("hashes", "base")]
+        changed = [np.setxor1d(h, c, assume_unique=True) for h, c in zip(*sets, strict=True)]
+        both = [(len(h) + len(c) - len(e)) // 2 for h, c, e in zip(*sets, changed, strict=True)]
+        near = [not k + len(e) or k / (k + len(e)) >= SIMILAR for k, e in zip(both, changed, strict=True)]
+        yield pd.DataFrame({**{c: rows[c].array for c in ("node", "n", "component", "family", "centre")}, "base_n": [len(c) for c in sets[1]], "near": near, "changed": changed})
+
+
 def prefix_pairs(nodes: DataFrame, firsts: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes (node, n, component) that may be similar and lie in different components; none that is similar is left out."""
-    read = _texts_of(nodes, firsts, texts).dropDuplicates(["node"])
-    tokens = written(read.mapInPandas(_tokens, "node long, hashes array<long>").select("node", F.explode("hashes").alias("hash")), "near-tokens")
-    counts = tokens.groupBy("hash").agg(F.count(F.lit(1)).alias("df"))
-    ordered = tokens.join(counts, "hash").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "hash"))).alias("order"))
-    size = F.size("order")
-    # One more than fits into the part two similar sets need not share.
-    prefix = size - F.ceil(size * SIMILAR - 1e-9).cast("int") + 1
-    firsts_of = ordered.select("node", F.posexplode(F.slice("order", 1, prefix)).alias("at", "token")).filter("token.df > 1")
-    keyed = written(firsts_of.select("node", "at", "token.hash").join(nodes, "node"), "near-prefixes")
-    one, other = keyed.alias("x"), keyed.alias("y")
+    """Pairs (a, b) of nodes (node, n, component, family, centre) that may be similar and lie in different components.
+
+    Components of all similar pairs of the nodes are those of the similar ones among these.
+    """
+    read = _texts_of(nodes.select("node"), firsts, texts).dropDuplicates(["node"])
+    sets = written(read.mapInPandas(_tokens, "node long, hashes array<long>"), "near-tokens")
     n, m = F.col("x.n"), F.col("y.n")
-    # The first shared shingle leaves at most so many to share behind it.
-    reachable = F.least(n - F.col("x.at"), m - F.col("y.at"))
-    together = reachable >= (n + m) * F.lit(SIMILAR / (1 + SIMILAR)) - 1e-6
-    met = (F.col("x.hash") == F.col("y.hash")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-    pairs = one.join(other, met & _sizes_allow(n, m) & together)
-    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    # The smallest share of a set of n that a similar one has, and of two sets.
+    alone = sets.join(nodes.select("node", "n", "family"), "node").select("node", "n", "family", F.col("n").alias("size"), (F.col("n") * F.lit(SIMILAR)).alias("least"), F.explode("hashes").alias("hash"))
+    pairs = _meeting(_ordered(alone, []), [], "family", (n + m) * F.lit(SIMILAR / (1 + SIMILAR)))
+
+    several = nodes.groupBy("family").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d or c <> family").select("family")
+    bases = sets.select(F.col("node").alias("centre"), F.col("hashes").alias("base"))
+    inside = nodes.join(several, "family", "left_semi").join(sets, "node").join(bases, "centre")
+    kind = "node long, n int, component long, family long, centre long, base_n int, near boolean, changed array<long>"
+    changes = written(inside.mapInPandas(_changes, kind), "near-changes")
+    to_centre = changes.filter("near and component <> family").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+
+    allowed = F.lit((1 - SIMILAR) / (1 + SIMILAR))
+    size, base = F.size("changed"), F.col("base_n")
+    # What any node must share with this one: one that is similar to the centre meets none like it.
+    least = (size + F.when(F.col("near"), base - F.col("n")).otherwise(-base - F.col("n")) * allowed) / 2
+    part = F.when(F.col("near"), F.col("family")).otherwise(F.col("component"))
+    tokens = changes.select("node", "n", "family", part.alias("part"), size.alias("size"), least.alias("least"), F.explode("changed").alias("hash"))
+    pairs = pairs.unionByName(_meeting(_ordered(tokens, ["family"]), ["family"], "part", (F.col("x.size") + F.col("y.size") - (n + m) * allowed) / 2))
+    return pairs.unionByName(to_centre).distinct()
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -175,7 +233,7 @@ def linked(docs: DataFrame) -> DataFrame:
     joined = components(links).withColumnRenamed("node", "of")
     named = shared.join(joined, F.col("node") == F.col("of"), "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     split = named.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key")
-    left = written(named.join(split, "key").select("node", "n", "component").distinct(), "near-left")
+    left = written(_families(written(named.join(split, "key"), "near-split")), "near-left")
     pairs = prefix_pairs(left, firsts, texts).join(stars.unionByName(alike), ["a", "b"], "left_anti")
     more = written(_similar(written(pairs, "near-pairs"), firsts, texts), "near-links")
     joined = components(links.unionByName(more)).withColumnRenamed("node", "of")

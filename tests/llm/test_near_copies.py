@@ -83,6 +83,31 @@ def test_a_common_passage_forms_few_pairs(spark, rows_of, monkeypatch):
     assert sum(compared) < 20 * len(texts)
 
 
+def test_changed_copies_of_one_text_form_few_pairs(spark, rows_of, monkeypatch):
+    """360 copies of one text, a sixth of them changed too much to be near copies, and near copies of some of these."""
+    rng, texts, compared = random.Random(12), {}, []
+    base = ["w%d" % i for i in range(150)]
+    for k in range(360):
+        own = list(base)
+        for at in rng.sample(range(150), rng.randint(4, 5) if k % 6 == 5 else rng.randint(1, 3)):
+            own[at] = "other%d" % rng.randrange(10**6)
+        texts[k] = " ".join(own)
+    for k in range(20):
+        words = texts[18 * k + 5].split()
+        words[rng.randrange(150)] = "changed%d" % k
+        texts[1000 + k] = " ".join(words)
+    similar = near_copies._similar
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return similar(pairs, *rest)
+
+    monkeypatch.setattr(near_copies, "_similar", counted)
+    want = brute(texts)
+    assert 50 < len(want) < 70 and kept(spark, rows_of, texts) == want
+    assert sum(compared) < 10 * len(texts)
+
+
 def test_recall_at_the_limit(spark, rows_of):
     """Pairs of similarity 0.80 to 0.85: nearly all are found, and nothing below."""
     rng, texts = random.Random(9), {}
