@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 64
-_AT_ONCE = 64
+_AT_ONCE = 256
+_RARE_AT_ONCE = 8
+_POSTING = np.dtype([("row", np.int32), ("weight", np.float32)])
 #: Terms in more than one of so many vectors are kept as full rows, the others as postings.
 _COMMON = 16
 
@@ -69,8 +71,10 @@ class BlockMaxIndex:
         self.starts = np.arange(0, count, block)
         self.maxima = np.maximum.reduceat(self.full, self.starts, axis=1) if count else self.full
         by_term = np.argsort(arranged.at[~own], kind="stable")
-        self.holders, self.weights = row[~own][by_term].astype(np.int32), arranged.data[~own][by_term]
+        self.postings = np.empty(len(by_term), _POSTING)
+        self.postings["row"], self.postings["weight"] = row[~own][by_term], arranged.data[~own][by_term]
         self.first = np.searchsorted(arranged.at[~own][by_term], np.arange(terms + 1))
+        self.lengths = np.diff(self.first)
 
     def search(self, queries, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Similarities and positions of the k best for each query, the best first; ties by position."""
@@ -85,12 +89,28 @@ class BlockMaxIndex:
         return best, places
 
     def _rare(self, queries: Rows) -> np.ndarray:
-        lengths = self.first[queries.at + 1] - self.first[queries.at]
-        ends = np.cumsum(lengths)
-        from_ = np.repeat(self.first[queries.at] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
-        cell = np.repeat(queries.row_numbers() * self.count, lengths) + self.holders[from_]
-        found = np.bincount(cell, np.repeat(queries.data, lengths) * self.weights[from_], len(queries) * self.count)
-        return found.reshape(len(queries), self.count).astype(np.float32)
+        """Similarities by rare terms. A few queries at a time, in the same buffers, stay in the processor's cache."""
+        out = np.empty((len(queries), self.count), np.float32)
+        held = np.flatnonzero(self.lengths[queries.at])
+        terms, data = queries.at[held], queries.data[held]
+        lengths = self.lengths[terms]
+        before = self.first[terms]
+        starts = np.arange(0, len(queries), _RARE_AT_ONCE)
+        groups = np.searchsorted(held, queries.ends[np.append(starts, len(queries))])
+        cells = (queries.row_numbers()[held] % _RARE_AT_ONCE) * self.count
+        most = max((int(lengths[i:j].sum()) for i, j in zip(groups, groups[1:])), default=0)
+        steps, places, taken, products = np.arange(most), np.empty(most, np.int64), np.empty(most, np.int64), np.empty(most)
+        for start, i, j in zip(starts, groups, groups[1:]):
+            n, rows = lengths[i:j], min(_RARE_AT_ONCE, len(queries) - start)
+            ends = np.cumsum(n)
+            total = int(ends[-1]) if len(ends) else 0
+            place, product = places[:total], products[:total]
+            np.add(np.repeat(before[i:j] - ends + n, n), steps[:total], out=place)
+            found = np.take(self.postings.view(np.int64), place, out=taken[:total], mode="clip").view(_POSTING)
+            np.add(np.repeat(cells[i:j], n), found["row"], out=place)
+            np.multiply(np.repeat(data[i:j], n), found["weight"], out=product)
+            out[start:start + rows] = np.bincount(place, product, rows * self.count).reshape(rows, self.count)
+        return out
 
     def _search(self, queries: Rows, k: int) -> tuple[np.ndarray, np.ndarray]:
         many, rare = len(queries), self._rare(queries)

@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,6 +47,7 @@ _WORD = re.compile(r"[^\W_]+")
 PREFIXES = (4, 5)
 _ROWS_AT_ONCE = 512
 _CHARS_AT_ONCE = 1 << 22
+_HEADS_HELD = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -76,27 +77,61 @@ def term_hash(term: str) -> int:
     return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"))
 
 
-def occurrences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, feature (as a hash) and count, sorted, of each feature of each text."""
+class _Heads(dict):
+    """Hashes of the beginnings of words; there are far fewer of them than words."""
+
+    def __missing__(self, head: str) -> int:
+        if len(self) >= _HEADS_HELD:
+            self.clear()
+        self[head] = hashed = term_hash("^" + head)
+        return hashed
+
+
+_heads = _Heads()
+
+
+def _features(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For words and each kind of beginning: hashes of the different ones, and text number and hash number of all that occur."""
     words = [_WORD.findall((t or "").lower()) for t in texts]
     text = np.repeat(np.arange(len(words)), [len(w) for w in words])
     flat = np.empty(len(text), object)
     flat[:] = [w for own in words for w in own]
-    codes, unique = pd.factorize(flat)
-    cell, n = np.unique(text * max(1, len(unique)) + codes, return_counts=True)
-    text, code = np.divmod(cell, max(1, len(unique)))
-    hashed = [np.array([term_hash(w) for w in unique], np.uint64)]
-    long_enough = [np.ones(len(unique), bool)]
+    code, unique = pd.factorize(flat)
+    unique = list(unique)
+    # As term_hash: words hold no lone surrogates.
+    yield np.fromiter(map(xxhash.xxh64_intdigest, unique), np.uint64, len(unique)), text, code
     for size in PREFIXES:
-        long_enough.append(np.array([len(w) >= size for w in unique], bool))
-        hashed.append(np.array([term_hash("^" + w[:size]) for w in unique], np.uint64))
-    kept = [fits[code] for fits in long_enough]
-    text, count = (np.concatenate([x[k] for k in kept]) for x in (text, n))
-    term = np.concatenate([h[code[k]] for h, k in zip(hashed, kept, strict=True)])
-    order = np.lexsort((term, text))
-    text, term, count = text[order], term[order], count[order]
-    starts = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (text[1:] != text[:-1]))) if len(text) else np.zeros(0, int)
-    return text[starts], term[starts], np.add.reduceat(count, starts) if len(starts) else count
+        fits = np.fromiter(map(len, unique), np.int64, len(unique)) >= size
+        number = np.cumsum(fits) - 1
+        own = fits[code]
+        yield np.fromiter(map(_heads.__getitem__, [w[:size] for w in unique if len(w) >= size]), np.uint64, int(fits.sum())), text[own], number[code[own]]
+
+
+def _counted(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in order, and how often each occurs."""
+    cell = np.sort(cell)
+    starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else np.zeros(0, np.int64)
+    return cell[starts], np.diff(np.append(starts, len(cell)))
+
+
+def occurrences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, feature (as a hash) and count, sorted, of each feature of each text."""
+    found = list(_features(texts))
+    every = np.unique(np.concatenate([hashes for hashes, _, _ in found]))
+    text, at, n = placed_occurrences(found, every)
+    return text, every[at], n
+
+
+def placed_occurrences(found: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, place in the vocabulary (sorted hashes) and count, sorted, of each of the ``_features`` that the vocabulary has."""
+    cells = [np.zeros(0, np.int64)]
+    for hashes, text, number in found:
+        at = _placed(vocabulary, hashes)[number]
+        known = at >= 0
+        cells.append(text[known] * len(vocabulary) + at[known])
+    cell, n = _counted(np.concatenate(cells))
+    text, at = np.divmod(cell, max(1, len(vocabulary)))
+    return text, at, n
 
 
 def _placed(vocabulary: np.ndarray, term: np.ndarray) -> np.ndarray:
@@ -150,11 +185,9 @@ class Model:
     settings: Settings
 
     def vectors(self, texts) -> Rows:
-        text, term, n = occurrences(list(texts))
-        at = _placed(self.vocabulary, term)
-        known = at >= 0
-        ends = np.searchsorted(text[known], np.arange(len(texts) + 1))
-        return _weighed(ends, at[known].astype(np.int32), n[known], self.weights)
+        text, at, n = placed_occurrences(_features(list(texts)), self.vocabulary)
+        ends = np.searchsorted(text, np.arange(len(texts) + 1))
+        return _weighed(ends, at.astype(np.int32), n, self.weights)
 
     def raw(self, vectors: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Votes, and the similarities and places of the neighbours."""
@@ -239,8 +272,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
         df, total = np.zeros(len(words.value), np.int64), 0
         for rows in batches:
             for texts in _portions(rows["text"]):
-                at = _placed(words.value, occurrences(texts)[1])
-                df += np.bincount(at[at >= 0], minlength=len(df))
+                df += np.bincount(placed_occurrences(_features(texts), words.value)[1], minlength=len(df))
             total += len(rows)
         some = np.flatnonzero(df)
         yield pd.DataFrame({"term": np.concatenate([[-1], some]), "df": np.concatenate([[total], df[some]])})

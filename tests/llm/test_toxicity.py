@@ -118,3 +118,27 @@ def test_calibration_rows_stay_with_the_executors(rows_of, monkeypatch):
     monkeypatch.setattr(BlockMaxIndex, "search", lambda *a: searched.append(a))
     model = toxicity.fit(rows_of(rows, "doc_id long, text string, lang string"), rows_of(labels, "doc_id long, quality int, toxic int"))
     assert not searched and len(model.cuts) and (np.diff(model.levels) >= 0).all()
+
+
+def test_beginnings_are_hashed_once(monkeypatch):
+    """Counts equal those of ``features``, in whole and in a vocabulary, and work follows the different beginnings, not the words."""
+    rng, hashed = random.Random(13), []
+    heads = ["Abcde", "abcd", "\u00e9t\u00e9s\u00fc", "\U0001f600wxyz", "xyz", "\u0130stan"]
+    texts = [" ".join(rng.choice(heads) + "-" * (k % 3 == 0) + rng.choice(heads) + str(k + 7 * i) for k in range(600)) for i in range(20)] + ["", None, "a\udc80b _ 12345"]
+    want = [{toxicity.term_hash(f): n for f, n in toxicity.features(toxicity.word_counts(t)).items()} for t in texts]
+    vocabulary = np.sort(np.array(sorted({h for own in want for h in own})[::3], np.uint64))
+    original = toxicity.term_hash
+    monkeypatch.setattr(toxicity, "term_hash", lambda term: (hashed.append(term), original(term))[1])
+    text, term, n = toxicity.occurrences(texts)
+    got = [{} for _ in texts]
+    for i, h, k in zip(text.tolist(), term.tolist(), n.tolist(), strict=True):
+        got[i][h] = k
+    assert got == want and len(hashed) < 200
+    model = toxicity.Model(vocabulary, np.ones(len(vocabulary)), None, None, [], 0.0, None, None, toxicity.Settings())
+    rows = model.vectors(texts)
+    known = set(vocabulary.tolist())
+    for i, own in enumerate(want):
+        at, data = rows.at[rows.ends[i]:rows.ends[i + 1]], rows.data[rows.ends[i]:rows.ends[i + 1]]
+        counts = np.array([own[h] for h in vocabulary[at].tolist()])
+        assert set(vocabulary[at].tolist()) == known & set(own)
+        assert not len(at) or np.allclose(data, (1 + np.log(counts)) / np.sqrt(((1 + np.log(counts)) ** 2).sum()), atol=1e-5)
