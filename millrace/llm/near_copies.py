@@ -144,7 +144,8 @@ def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
 
 def _families(members: DataFrame) -> DataFrame:
     """node, n, component, family (a component) and centre (a node of that component) for the nodes of keys (key, node, n, component)."""
-    weights = members.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
+    # Stored, so that the join can divide the rows of a large component.
+    weights = written(members.groupBy("component").agg(F.count(F.lit(1)).alias("weight")), "near-weights")
     keys = members.join(weights, "component").groupBy("key").agg(F.max(F.struct("weight", "component")).alias("top"), F.count(F.lit(1)).alias("many"))
     nodes = members.join(keys, "key").groupBy("node", "n", "component").agg(F.max("top").alias("top"), F.sum("many").alias("met"))
     nodes = written(nodes, "near-left")
